@@ -42,26 +42,22 @@ def _affine_steps(n: int, repeats: int, seed: int) -> list[tuple[int, int]]:
 
 
 def permutation_importance(
-    model: PipelineModel, rows: DataFrame, label: str, metric: str, repeats: int = 10, seed: int = 42
+    model: PipelineModel, rows: DataFrame, key: str, label: str, metric: str, repeats: int = 10, seed: int = 42
 ) -> DataFrame:
     """Mean drop of ``metric`` ('recall' of class 1, or 'r2') when one feature is shuffled among the rows.
 
-    Rows are numbered; in each repeat row i borrows from row (a i + b) mod n, a one-to-one map, so every column keeps
+    Rows are numbered by their unique ``key``; in each repeat row i borrows from row (a i + b) mod n, a one-to-one map, so every column keeps
     its values.  One join brings each (row, repeat) the whole donor vector, and features are swapped in locally: the
     shuffle grows with rows x repeats, not with the number of features.  A row whose own value equals the borrowed one
     keeps its prediction and is not scored again, which is most rows of a rare 0/1 column and all of a constant one.
     """
     fitted, head = model.stages[-1], PipelineModel(model.stages[:-1])
     names = feature_names(model)
-    vectors = head.transform(rows).select("customer_id", "features", F.col(label).cast("double").alias("y"))
+    vectors = head.transform(rows).select(key, "features", F.col(label).cast("double").alias("y"))
     based = fitted.transform(vectors).select(
-        "customer_id", vector_to_array("features").alias("own"), "y", F.col("prediction").alias("base")
+        key, vector_to_array("features").alias("own"), "y", F.col("prediction").alias("base")
     )
-    base = keep(based, "permutation-base")
-    # A customer may have several rows; equal (customer, values) rows are interchangeable.
-    inside = Window.partitionBy("customer_id").orderBy(F.col("own").cast("string"), "y")
-    keyed = base.withColumn("row_key", F.concat_ws("-", "customer_id", F.row_number().over(inside)))
-    numbered = keep(assign_ids(keyed, "row_key", "i", start=0).drop("row_key"), "permutation-rows")
+    numbered = keep(assign_ids(based, key, "i", start=0), "permutation-rows")
     n = numbered.count()
     steps = F.array(
         *[

@@ -26,12 +26,17 @@ class Encoder:
 
     @classmethod
     def fit(cls, rows: DataFrame, columns: list[str]) -> Encoder:
-        """Levels are collected to the driver; a column with more than ``CATEGORY_LIMIT`` of them is refused."""
-        sets = rows.agg(*[F.sort_array(F.collect_set(c)).alias(c) for c in columns]).first() if columns else None
-        for c in columns:
-            if len(sets[c]) > CATEGORY_LIMIT:
-                raise ValueError(f"{c} has more than {CATEGORY_LIMIT} levels and is no category")
-        return cls({c: tuple(sets[c][1:]) for c in columns})
+        """Levels are collected to the driver; columns of more than ``CATEGORY_LIMIT`` levels together are refused."""
+        if not columns:
+            return cls({})
+        pairs = rows.select(
+            F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("level")) for c in columns])).alias("p")
+        )
+        distinct = pairs.select("p.c", "p.level").where(F.col("level").isNotNull()).distinct()
+        found = distinct.limit(CATEGORY_LIMIT + 1).collect()
+        if len(found) > CATEGORY_LIMIT:
+            raise ValueError(f"more than {CATEGORY_LIMIT} levels in {columns}: not categories")
+        return cls({c: tuple(sorted(r["level"] for r in found if r["c"] == c)[1:]) for c in columns})
 
     @property
     def names(self) -> list[str]:

@@ -43,6 +43,7 @@ class Study:
     """A feature table, written once and split, with what is to be predicted from what."""
 
     rows: DataFrame
+    key: str
     label: str
     numeric: tuple[str, ...]
     categories: tuple[str, ...]
@@ -56,24 +57,26 @@ class Study:
         return self.rows.where("is_test")
 
 
-def _study(features: DataFrame, label: str, numeric: list[str], categories: list[str], name: str) -> Study:
-    # Training reads the rows many times; as a table they are joined and aggregated once.
-    rows = keep(hold_out(features, "customer_id", SEED, TEST_SHARE), name)
-    return Study(rows, label, tuple(numeric), tuple(categories))
+def _study(features: DataFrame, key: str, label: str, numeric: list[str], categories: list[str]) -> Study:
+    # Training reads the rows many times; as a table they are joined and aggregated once.  The split goes by customer,
+    # so several subscriptions of one customer stay on one side.
+    rows = keep(hold_out(features, "customer_id", SEED, TEST_SHARE), f"study-{label}")
+    return Study(rows, key, label, tuple(numeric), tuple(categories))
 
 
 def churn_study(t: Tables, as_of: date, numeric: list[str] | None = None) -> Study:
-    return _study(churn_features(t, as_of), "churned", numeric or CHURN_RATE, ["plan_name"], "churn-features")
+    features = churn_features(t, as_of, keep_id=True)
+    return _study(features, "subscription_id", "churned", numeric or CHURN_RATE, ["plan_name"])
 
 
 def propensity_study(t: Tables, as_of: date) -> Study:
     features = propensity_features(t, as_of)
-    return _study(features, "purchased", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES, "propensity-features")
+    return _study(features, "customer_id", "purchased", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES)
 
 
 def ltv_study(t: Tables, as_of: date) -> Study:
     features = log_target(ltv_features(t, as_of)).drop("back")
-    return _study(features, "log_ltv", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES, "ltv-features")
+    return _study(features, "customer_id", "log_ltv", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES)
 
 
 def fit(study: Study, estimator: Estimator, balanced: bool = False) -> PipelineModel:

@@ -74,11 +74,14 @@ _CHURN_COLUMNS = (
 )
 
 
-def churn_features(t: Tables, as_of: date) -> DataFrame:
-    """Training rows: one per active or cancelled subscription; ``churned`` marks the cancelled ones."""
+def churn_features(t: Tables, as_of: date, keep_id: bool = False) -> DataFrame:
+    """Training rows: one per active or cancelled subscription; ``churned`` marks the cancelled ones.
+
+    ``keep_id`` adds the subscription id in front, for steps that need a unique key per row.
+    """
     rows = _subscription_features(t, as_of, ("active", "cancelled"))
     churned = F.when(F.col("status") == "cancelled", 1).otherwise(0).alias("churned")
-    return rows.select(*_CHURN_COLUMNS, churned)
+    return rows.select(*(["subscription_id"] if keep_id else []), *_CHURN_COLUMNS, churned)
 
 
 def churn_scoring_features(t: Tables, as_of: date, compat_zero_fill: bool = False) -> DataFrame:
