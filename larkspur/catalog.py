@@ -352,7 +352,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     # experiment
     "ab_z_test": lambda t: rounded(experiment.ab_z_test(t), rate_a=6, rate_b=6, z=6),
-    "ab_p_value": experiment.ab_p_value,
+    "ab_p_value": lambda t: rounded(experiment.ab_p_value(t), chi_square=6, p_value=6),
     "ab_decision": lambda t: rounded(experiment.ab_decision(t), z=6),
     "ab_lift": experiment.ab_lift,
     "assign_variants": lambda t: ids.assign_variants(filters.checkout_eligible_customers(t), "checkout_redesign"),

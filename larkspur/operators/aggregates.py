@@ -55,13 +55,28 @@ def _with_rate(counts: DataFrame) -> DataFrame:
     return counts.withColumn("conversion_rate_pct", rate)
 
 
+def variant_counts_by_year(t: Tables, experiment: str | None = None) -> DataFrame:
+    return variant_counts(t, experiment, F.year("assigned_date").alias("year"))
+
+
+def rates_all_time(counts: DataFrame) -> DataFrame:
+    """Conversion per variant, from counts per variant or per year and variant."""
+    sums = counts.groupBy("variant").agg(
+        F.sum("total_assigned").alias("total_assigned"), F.sum("total_converted").alias("total_converted")
+    )
+    return _with_rate(sums).orderBy("variant")
+
+
+def rates_by_year(counts: DataFrame) -> DataFrame:
+    return _with_rate(counts).orderBy("year", "variant")
+
+
 def ab_conversion(t: Tables, experiment: str | None = None) -> DataFrame:
     return _with_rate(variant_counts(t, experiment)).orderBy("variant")
 
 
 def ab_conversion_by_year(t: Tables, experiment: str | None = None) -> DataFrame:
-    counts = variant_counts(t, experiment, F.year("assigned_date").alias("year"))
-    return _with_rate(counts).orderBy("year", "variant")
+    return rates_by_year(variant_counts_by_year(t, experiment))
 
 
 def customer_growth(t: Tables) -> DataFrame:
@@ -71,38 +86,49 @@ def customer_growth(t: Tables) -> DataFrame:
     return t.customers.groupBy(*keys).agg(_rows("customers")).orderBy("year", "month_num")
 
 
-def spend_trend_by_channel(t: Tables) -> DataFrame:
-    """Spend per month and platform.  Groups are the platforms as stored: two platforms without an acquisition
-    channel give two rows that both show NULL."""
-    day = F.col("spend_date")
-    keys = [F.year(day).alias("year"), month_name(day).alias("month"), F.month(day).alias("month_num")]
-    sums = t.marketing_spend.groupBy(*keys, F.col("channel").alias("platform")).agg(
-        total(F.col("cost")).alias("spend"), F.sum("conversions").alias("conversions")
+def monthly_platform_spend(t: Tables) -> DataFrame:
+    """Spend measures per month and ad platform: a few rows per month that every spend report is built from."""
+    keys = [F.trunc("spend_date", "month").alias("month_start"), F.col("channel").alias("platform")]
+    return t.marketing_spend.groupBy(*keys).agg(
+        total(F.col("cost")).alias("cost"),
+        F.sum("clicks").alias("clicks"),
+        F.sum("impressions").alias("impressions"),
+        F.sum("conversions").alias("conversions"),
     )
-    named = sums.withColumn("channel", channel_clean(F.col("platform")))
-    return named.select("year", "month", "month_num", "channel", "spend", "conversions").orderBy("year", "month_num")
 
 
-def spend_trend_monthly(t: Tables) -> DataFrame:
+def platform_trend(monthly: DataFrame) -> DataFrame:
+    """Spend per month and platform.  Groups are the platforms as stored: two platforms without an acquisition
+    channel give two rows that both show NULL."""
+    month = F.col("month_start")
+    return monthly.select(
+        F.year(month).alias("year"),
+        month_name(month).alias("month"),
+        F.month(month).alias("month_num"),
+        channel_clean(F.col("platform")).alias("channel"),
+        F.col("cost").alias("spend"),
+        "conversions",
+    ).orderBy("year", "month_num")
+
+
+def channel_trend(monthly: DataFrame) -> DataFrame:
     """Four monthly measures per acquisition channel.  Groups are the mapped names, so platforms without one merge.
     The measures are monthly sums although they are called daily."""
-    month = F.trunc("spend_date", "month")
-    keys = [month.alias("month_sort"), channel_clean(F.col("channel")).alias("channel_clean")]
-    sums = t.marketing_spend.groupBy(*keys).agg(
+    keys = [F.col("month_start").alias("month_sort"), channel_clean(F.col("platform")).alias("channel_clean")]
+    sums = monthly.groupBy(*keys).agg(
         total(F.col("cost")).alias("daily_cost"),
-        F.sum("clicks").alias("daily_clicks"),
-        F.sum("impressions").alias("daily_impressions"),
-        F.sum("conversions").alias("daily_conversions"),
+        *[F.sum(c).alias(f"daily_{c}") for c in ("clicks", "impressions", "conversions")],
     )
-    return sums.select(
-        year_month(F.col("month_sort")).alias("year_month"),
-        "month_sort",
-        "channel_clean",
-        "daily_cost",
-        "daily_clicks",
-        "daily_impressions",
-        "daily_conversions",
-    ).orderBy("month_sort", "channel_clean")
+    shown = sums.select(year_month(F.col("month_sort")).alias("year_month"), *sums.columns)
+    return shown.orderBy("month_sort", "channel_clean")
+
+
+def spend_trend_by_channel(t: Tables) -> DataFrame:
+    return platform_trend(monthly_platform_spend(t))
+
+
+def spend_trend_monthly(t: Tables) -> DataFrame:
+    return channel_trend(monthly_platform_spend(t))
 
 
 def customer_breakdown(t: Tables) -> DataFrame:
@@ -110,21 +136,25 @@ def customer_breakdown(t: Tables) -> DataFrame:
     return t.customers.groupBy(*keys).agg(_rows("customer_count")).orderBy(F.desc("customer_count"), *keys)
 
 
-def funnel_counts(t: Tables, by_year: bool) -> DataFrame:
-    """Events per stage with the place of the stage in the funnel; unknown events come last without a place."""
-    keys = [F.year("event_date").alias("year")] if by_year else []
-    counts = t.ga4_events.groupBy(*keys, "event_name").agg(_rows("event_count"))
-    placed = counts.withColumn("stage_order", stage_order(F.col("event_name")))
-    first = ["year"] if by_year else []
-    return placed.orderBy(*first, F.col("stage_order").asc_nulls_last(), "event_name")
+def event_counts_by_year(t: Tables) -> DataFrame:
+    return t.ga4_events.groupBy(F.year("event_date").alias("year"), "event_name").agg(_rows("event_count"))
+
+
+def funnel(counts: DataFrame, by_year: bool) -> DataFrame:
+    """Events per stage with the place of the stage, from counts per year and event; unknown events come last
+    without a place."""
+    keys = ["year"] if by_year else []
+    sums = counts.groupBy(*keys, "event_name").agg(F.sum("event_count").alias("event_count"))
+    placed = sums.withColumn("stage_order", stage_order(F.col("event_name")))
+    return placed.orderBy(*keys, F.col("stage_order").asc_nulls_last(), "event_name")
 
 
 def funnel_by_year(t: Tables) -> DataFrame:
-    return funnel_counts(t, by_year=True)
+    return funnel(event_counts_by_year(t), by_year=True)
 
 
 def funnel_all_time(t: Tables) -> DataFrame:
-    return funnel_counts(t, by_year=False)
+    return funnel(event_counts_by_year(t), by_year=False)
 
 
 def _mean_prediction() -> Column:
@@ -140,23 +170,35 @@ def risk_propensity_bands(t: Tables, high: str = "0.5", medium: str = "0.3") ->
     return bands.orderBy("churn_risk_band", "propensity_band")
 
 
-def _scores_with_year(t: Tables) -> DataFrame:
+def bands_by_year(t: Tables, high: str = "0.5", medium: str = "0.3") -> DataFrame:
+    """Scored customers per sign-up year, churn band and propensity band, with the sum of predicted values: at most
+    twelve rows per year, from one join of customers and scores."""
     years = t.customers.select("customer_id", F.year("signup_date").alias("year"))
-    return years.join(t.customer_scores, "customer_id")
+    churn = churn_band(F.col("churn_risk_score"), high, medium).alias("churn_risk_band")
+    propensity = propensity_band(F.col("purchase_propensity_score"), "", high, medium).alias("propensity_band")
+    return years.join(t.customer_scores, "customer_id").groupBy("year", churn, propensity).agg(
+        _rows("customers"), total(F.col("predicted_ltv")).alias("predicted"), F.count("predicted_ltv").alias("predictions")
+    )
+
+
+def churn_bands(bands: DataFrame) -> DataFrame:
+    """Churn bands of customers with a churn score per sign-up year."""
+    scored = bands.where(F.col("churn_risk_band").isNotNull()).groupBy("year", "churn_risk_band")
+    mean = ratio(F.sum("predicted"), F.sum("predictions")).alias("avg_predicted_ltv")
+    return scored.agg(F.sum("customers").alias("customer_count"), mean).orderBy("year", "churn_risk_band")
+
+
+def propensity_bands(bands: DataFrame) -> DataFrame:
+    sums = bands.groupBy("year", "propensity_band").agg(F.sum("customers").alias("customer_count"))
+    return sums.orderBy("year", "propensity_band")
 
 
 def churn_bands_by_year(t: Tables, high: str = "0.5", medium: str = "0.3") -> DataFrame:
-    """Churn bands of scored customers per sign-up year."""
-    band = churn_band(F.col("churn_risk_score"), high, medium).alias("churn_risk_band")
-    scored = _scores_with_year(t).where(F.col("churn_risk_score").isNotNull())
-    bands = scored.groupBy("year", band).agg(_rows("customer_count"), _mean_prediction())
-    return bands.orderBy("year", "churn_risk_band")
+    return churn_bands(bands_by_year(t, high, medium))
 
 
 def propensity_bands_by_year(t: Tables, high: str = "0.5", medium: str = "0.3") -> DataFrame:
-    band = propensity_band(F.col("purchase_propensity_score"), "", high, medium).alias("propensity_band")
-    bands = _scores_with_year(t).groupBy("year", band).agg(_rows("customer_count"))
-    return bands.orderBy("year", "propensity_band")
+    return propensity_bands(bands_by_year(t, high, medium))
 
 
 def browse_stats(t: Tables) -> DataFrame:
@@ -207,22 +249,26 @@ def target_summary(rows: DataFrame, value: str) -> DataFrame:
 
     Values are counted first; everything else works on distinct values, so no task holds the whole column.
     """
-    counted = rows.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("decimal(18,2)").alias("v")).agg(_rows("n"))
+    known = rows.where(F.col(value).isNotNull()).select(F.col(value).cast("decimal(18,2)").alias("v"))
     n, v = F.col("n"), F.col("v").cast("double")
-    moments = counted.agg(
+    moments = [
         F.sum("n").alias("count"),
-        (F.sum(F.col("v") * n).cast("decimal(38,2)").cast("double") / F.sum("n")).alias("mean"),
-        F.min("v").alias("min"),
-        F.max("v").alias("max"),
+        F.sum(F.col("v") * n).cast("decimal(38,2)").cast("double").alias("whole"),
         F.sum(n * v * v).alias("squares"),
-        F.sum(n * v).alias("plain"),
-    ).withColumn(
-        "std",
-        F.sqrt((F.col("squares") - F.col("plain") * F.col("plain") / F.col("count")) / F.nullif(F.col("count") - 1, F.lit(0))),
+        F.min(v).alias("min"),
+        F.max(v).alias("max"),
+    ]
+    quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+    line = exact_percentiles(known.groupBy("v").agg(_rows("n")), "v", quartiles, also=moments)
+    spread = F.col("squares") - F.col("whole") * F.col("whole") / F.col("count")
+    return line.select(
+        "count",
+        (F.col("whole") / F.col("count")).alias("mean"),
+        F.sqrt(spread / F.nullif(F.col("count") - 1, F.lit(0))).alias("std"),
+        "min",
+        *quartiles,
+        "max",
     )
-    quartiles = exact_percentiles(counted, "v", {"p25": 0.25, "p50": 0.5, "p75": 0.75})
-    both = moments.withColumn("_one", F.lit(1)).join(quartiles.withColumn("_one", F.lit(1)), "_one")
-    return both.select("count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
 
 def class_rate(rows: DataFrame, label: str, is_test: str = "is_test") -> DataFrame:

@@ -153,19 +153,25 @@ def positions(
     )
 
 
-def exact_percentiles(counted: DataFrame, value: str, probs: dict[str, float], n: str = "n") -> DataFrame:
-    """One row with exact, linearly interpolated percentiles of the counted values, one column per name in ``probs``."""
+def exact_percentiles(
+    counted: DataFrame, value: str, probs: dict[str, float], n: str = "n", also: list[Column] | None = None
+) -> DataFrame:
+    """One row with exact, linearly interpolated percentiles of the counted values, one column per name in ``probs``.
+
+    ``also`` adds further aggregates of the counted values to the row.
+    """
     placed = positions(counted, value, n)
+    last, also = F.col("total") - 1, list(also or [])
     picks = []
     for name, p in probs.items():
-        spot = (F.col("total") - 1) * F.lit(p)
-        for side, wanted in (("lo", F.floor(spot)), ("hi", F.ceil(spot))):
+        for side, wanted in (("lo", F.floor(last * F.lit(p))), ("hi", F.ceil(last * F.lit(p)))):
             holds = (F.col("before") <= wanted) & (wanted < F.col("before") + F.col(n))
             picks.append(F.max(F.when(holds, F.col(value).cast("double"))).alias(f"{name}_{side}"))
-    spots = placed.agg(F.max("total").alias("total"), *picks)
+    spots = placed.agg(*also, F.max("total").alias("total"), *picks)
 
     def between(name: str, p: float) -> Column:
-        low, high, spot = F.col(f"{name}_lo"), F.col(f"{name}_hi"), (F.col("total") - 1) * F.lit(p)
+        low, high, spot = F.col(f"{name}_lo"), F.col(f"{name}_hi"), last * F.lit(p)
         return (low + (high - low) * (spot - F.floor(spot))).alias(name)
 
-    return spots.select(*[between(name, p) for name, p in probs.items()])
+    kept = [c for c in spots.columns if c != "total" and not c.endswith(("_lo", "_hi"))]
+    return spots.select(*kept, *[between(name, p) for name, p in probs.items()])

@@ -59,9 +59,13 @@ def funnel_stage_lag(t: Tables) -> DataFrame:
 
 
 def funnel_conversion(t: Tables) -> DataFrame:
+    return stage_shares(funnel_all_time(t))
+
+
+def stage_shares(funnel: DataFrame) -> DataFrame:
     """Each stage as a share of the first stage and of the stage before it."""
     w = _funnel_window()
-    stages = funnel_all_time(t).select(
+    stages = funnel.select(
         "*", F.first("event_count").over(w).alias("top"), F.lag("event_count").over(w).alias("previous")
     )
     return stages.orderBy(F.col("stage_order").asc_nulls_last(), "event_name").select(

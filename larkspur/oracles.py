@@ -664,6 +664,14 @@ FROM (SELECT CAST(w.total_ltv AS DOUBLE) AS a, CAST(w.total_ltv AS DOUBLE) - CAS
     "ab_z_test": text(
         "ab_test_assignments", "SELECT round(pa, 6) AS rate_a, round(pb, 6) AS rate_b, round(z, 6) AS z FROM zed", AB_CELLS, AB_Z
     ),
+    # erf(x) = exp(-x^2) * sum of x^(2k+1) / gamma(k + 3/2), all terms positive; p = 1 - erf(|z| / sqrt 2)
+    "ab_p_value": text(
+        "ab_test_assignments",
+        """SELECT round(max(z*z), 6) AS chi_square, round(1 - sum(exp((2*k + 1)*ln(greatest(abs(z), 1e-300)/sqrt(2))
+  - lgamma(k + 1.5) - z*z/2)), 6) AS p_value FROM zed, range(200) terms(k)""",
+        AB_CELLS,
+        AB_Z,
+    ),
     "ab_decision": text(
         "ab_test_assignments",
         """SELECT round(pa*100, 2) AS rate_a, round(pb*100, 2) AS rate_b, round((pb-pa)*100, 2) AS lift_pt, round(z, 6) AS z,

@@ -1,28 +1,26 @@
-"""The two publications: seven CSV datasets for a BI tool and the eleven-part JSON document of a dashboard."""
+"""The two publications: seven CSV datasets for a BI tool and the eleven-part JSON document of a dashboard.
+
+Several datasets show the same facts by year and for all time, or by platform and by channel.  Each fact table is
+therefore rolled up once to a few rows per month or year; the rollups are kept, and the datasets are built from them.
+"""
 
 from __future__ import annotations
 
 from datetime import date
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from larkspur.operators.aggregates import (
-    ab_conversion,
-    ab_conversion_by_year,
-    churn_bands_by_year,
-    customer_breakdown,
-    customer_growth,
-    funnel_all_time,
-    funnel_by_year,
-    propensity_bands_by_year,
-    risk_propensity_bands,
-    spend_trend_by_channel,
-    spend_trend_monthly,
-)
-from larkspur.operators.windows import funnel_conversion
+from larkspur.functions.labels import channel_clean
+from larkspur.functions.money import total
+from larkspur.operators import aggregates as agg
+from larkspur.operators.scale import keep
+from larkspur.operators.windows import stage_shares
 from larkspur.plans.metrics import (
     channel_performance,
-    channel_performance_by_year,
+    cohort_value,
+    performance_all_time,
+    performance_by_year,
     retention_by_year,
     retention_curve,
 )
@@ -33,28 +31,39 @@ from larkspur.sources.tables import Tables
 def csv_datasets(t: Tables, as_of: date) -> dict[str, DataFrame]:
     return {
         "channel_performance": channel_performance(t, as_of),
-        "funnel_conversion": funnel_conversion(t),
+        "funnel_conversion": stage_shares(agg.funnel_all_time(t)),
         "retention_curve": retention_curve(t.ga4_events, "event_date"),
-        "ml_risk_bands": risk_propensity_bands(t),
-        "ab_test_results": ab_conversion(t),
-        "spend_trend": spend_trend_monthly(t),
-        "customer_breakdown": customer_breakdown(t),
+        "ml_risk_bands": agg.risk_propensity_bands(t),
+        "ab_test_results": agg.ab_conversion(t),
+        "spend_trend": agg.spend_trend_monthly(t),
+        "customer_breakdown": agg.customer_breakdown(t),
     }
 
 
+def _spend_by_year(monthly: DataFrame) -> DataFrame:
+    keys = [F.year("month_start").alias("year"), channel_clean(F.col("platform")).alias("channel")]
+    return monthly.groupBy(*keys).agg(total(F.col("cost")).alias("total_spend"))
+
+
 def json_datasets(t: Tables, as_of: date) -> dict[str, DataFrame]:
+    monthly = keep(agg.monthly_platform_spend(t), "monthly-spend")
+    cohorts = keep(cohort_value(t, as_of), "cohorts")
+    events = keep(agg.event_counts_by_year(t), "event-counts")
+    bands = keep(agg.bands_by_year(t), "score-bands")
+    variants = keep(agg.variant_counts_by_year(t), "variant-counts")
+    spend = _spend_by_year(monthly)
     return {
-        "customer_growth": customer_growth(t),
-        "spend_trend": spend_trend_by_channel(t),
-        "channel_performance_by_year": channel_performance_by_year(t, as_of),
-        "channel_performance_all_time": channel_performance(t, as_of),
-        "funnel_by_year": funnel_by_year(t),
-        "funnel_all_time": funnel_all_time(t),
+        "customer_growth": agg.customer_growth(t),
+        "spend_trend": agg.platform_trend(monthly),
+        "channel_performance_by_year": performance_by_year(cohorts, spend),
+        "channel_performance_all_time": performance_all_time(cohorts, spend),
+        "funnel_by_year": agg.funnel(events, by_year=True),
+        "funnel_all_time": agg.funnel(events, by_year=False),
         "retention_by_year": retention_by_year(t.ga4_events, "event_date"),
-        "churn_risk_bands_by_year": churn_bands_by_year(t),
-        "propensity_bands_by_year": propensity_bands_by_year(t),
-        "ab_test_by_year": ab_conversion_by_year(t),
-        "ab_test_all_time": ab_conversion(t),
+        "churn_risk_bands_by_year": agg.churn_bands(bands),
+        "propensity_bands_by_year": agg.propensity_bands(bands),
+        "ab_test_by_year": agg.rates_by_year(variants),
+        "ab_test_all_time": agg.rates_all_time(variants),
     }
 
 
@@ -63,8 +72,8 @@ def export_csvs(t: Tables, as_of: date, folder: str) -> None:
 
 
 def export_bundle(t: Tables, as_of: date, folder: str) -> None:
-    """The eleven datasets as one JSON document in ``folder/document``."""
-    write_json_document(json_datasets(t, as_of), f"{folder}/document")
+    """The eleven datasets as one JSON document."""
+    write_json_document(json_datasets(t, as_of), folder)
 
 
 def export_json(t: Tables, as_of: date, folder: str) -> None:

@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.functions.dates import month_name, months_until, period_start, shift_period, year_month
+from larkspur.functions.dates import month_name, months_until, shift_period, year_month
 from larkspur.functions.labels import PAID_CHANNELS, channel_clean
 from larkspur.functions.money import percent, ratio, total
 from larkspur.operators.filters import activity_periods
@@ -58,24 +58,16 @@ def roas_by_channel(t: Tables) -> DataFrame:
 def retention(rows: DataFrame, day: str, grain: str = "month", label: str = "activity_month") -> DataFrame:
     """Customers active in a period, how many of them were active in the next one, and the share.
 
-    Each activity marks its own period as active and the period before as followed up.  One aggregation on
-    (customer, period) then knows both, so there is no self-join and no per-customer sort, and a very active customer
-    is spread by period.  Rows without a customer keep their period in the report but count nobody.
+    A customer's distinct periods are put in order, and each looks at the one after it: no self-join.  The distinct
+    step spreads a very active customer over (customer, period) and leaves the window at most one row per period and
+    customer.  Rows without a customer keep their period in the report but count nobody.
     """
-    at = period_start(F.col(day), grain)
-    marks = F.array(
-        F.struct(at.alias("period"), F.lit(True).alias("active"), F.lit(False).alias("followed")),
-        F.struct(shift_period(at, grain, -1).alias("period"), F.lit(False).alias("active"), F.lit(True).alias("followed")),
-    )
-    per_customer = (
-        rows.select("customer_id", F.explode(marks).alias("m"))
-        .groupBy("customer_id", F.col("m.period").alias(label))
-        .agg(F.max("m.active").alias("active"), F.max("m.followed").alias("followed"))
-        .where("active")
-    )
+    seen = activity_periods(rows, day, grain, label)
+    after = F.lead(label).over(Window.partitionBy("customer_id").orderBy(label))
     known = F.col("customer_id").isNotNull()
-    counts = per_customer.groupBy(label).agg(
-        F.count_if(known).alias("active_customers"), F.count_if(known & F.col("followed")).alias("retained_next_month")
+    back = F.coalesce(after == shift_period(F.col(label), grain, 1), F.lit(False))
+    counts = seen.select("customer_id", label, (known & back).alias("back")).groupBy(label).agg(
+        F.count("customer_id").alias("active_customers"), F.count_if(F.col("back")).alias("retained_next_month")
     )
     rate = percent(F.col("retained_next_month"), F.col("active_customers"), 1)
     return counts.withColumn("retention_rate_pct", rate).orderBy(label)
@@ -164,18 +156,36 @@ def top_ltv_customers(t: Tables, as_of: date, n: int = 20) -> DataFrame:
     return customer_ltv(t, as_of).orderBy(F.desc("total_ltv"), "customer_id").limit(n)
 
 
-def _value_by(t: Tables, as_of: date, *keys: Column) -> DataFrame:
-    """Customers, value and order revenue of the paid channels, from one pass over customers, orders, subscriptions."""
-    return customer_value(t, as_of, PAID_CHANNELS).groupBy(*keys, F.col("acquisition_channel").alias("channel")).agg(
+def cohort_value(t: Tables, as_of: date) -> DataFrame:
+    """Customers won, their value and their order revenue per sign-up year and paid channel, from one pass over
+    customers, orders and subscriptions: at most two rows per year."""
+    keys = [F.year("signup_date").alias("year"), F.col("acquisition_channel").alias("channel")]
+    return customer_value(t, as_of, PAID_CHANNELS).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("new_customers"),
         total(F.col("total_ltv")).alias("value"),
         total(F.col("bought")).alias("total_revenue"),
     )
 
 
+def yearly_spend(t: Tables) -> DataFrame:
+    return spend_by_channel(t, F.year("spend_date").alias("year")).withColumnRenamed("channel_clean", "channel")
+
+
+def _all_years(cohorts: DataFrame) -> DataFrame:
+    return cohorts.groupBy("channel").agg(
+        F.sum("new_customers").alias("new_customers"),
+        total(F.col("value")).alias("value"),
+        total(F.col("total_revenue")).alias("total_revenue"),
+    )
+
+
+def _spend_all_years(spend: DataFrame) -> DataFrame:
+    return spend.groupBy("channel").agg(total(F.col("total_spend")).alias("total_spend"))
+
+
 def ltv_to_cac(t: Tables, as_of: date) -> DataFrame:
     """Average value over acquisition cost, the cost being rounded to cents first."""
-    both = _value_by(t, as_of).join(spend_by_channel(t).withColumnRenamed("channel_clean", "channel"), "channel")
+    both = _all_years(cohort_value(t, as_of)).join(_spend_all_years(yearly_spend(t)), "channel")
     cac = ratio(F.col("total_spend"), F.col("new_customers"))
     return both.withColumn("cac", cac).select(
         F.col("channel").alias("acquisition_channel"),
@@ -200,27 +210,31 @@ def _performance(both: DataFrame, *keys: str) -> DataFrame:
     )
 
 
-def channel_performance(t: Tables, as_of: date) -> DataFrame:
-    """Spend, customers, cost, revenue, return and value per paid channel.  A channel without spend or without
-    revenue is left out."""
-    spend = spend_by_channel(t).withColumnRenamed("channel_clean", "channel")
-    both = spend.join(_value_by(t, as_of).where(F.col("total_revenue").isNotNull()), "channel")
-    return _performance(both).orderBy("channel")
+def performance_all_time(cohorts: DataFrame, spend: DataFrame) -> DataFrame:
+    """Per channel, from ``cohort_value`` and ``yearly_spend``.  A channel without spend or revenue is left out."""
+    earning = _all_years(cohorts).where(F.col("total_revenue").isNotNull())
+    return _performance(_spend_all_years(spend).join(earning, "channel")).orderBy("channel")
 
 
-def channel_performance_by_year(t: Tables, as_of: date) -> DataFrame:
-    """The same per sign-up year: spend of that year, value and revenue to date of the customers won in it.
-    A cohort without spend or revenue keeps its row."""
-    cohorts = _value_by(t, as_of, F.year("signup_date").alias("year"))
-    spend = spend_by_channel(t, F.year("spend_date").alias("year")).withColumnRenamed("channel_clean", "channel")
+def performance_by_year(cohorts: DataFrame, spend: DataFrame) -> DataFrame:
+    """Per sign-up year and channel.  A cohort without spend or revenue keeps its row."""
     both = cohorts.join(spend, ["year", "channel"], "left")
     return _performance(both, "year").orderBy("year", "channel")
 
 
+def channel_performance(t: Tables, as_of: date) -> DataFrame:
+    """Spend, customers, cost, revenue, return and value per paid channel."""
+    return performance_all_time(cohort_value(t, as_of), yearly_spend(t))
+
+
+def channel_performance_by_year(t: Tables, as_of: date) -> DataFrame:
+    """The same per sign-up year: spend of that year, value and revenue to date of the customers won in it."""
+    return performance_by_year(cohort_value(t, as_of), yearly_spend(t))
+
+
 def cohort_left_joins(t: Tables) -> DataFrame:
     """Customers won per year and paid channel next to the spend of that year, kept when nothing was spent."""
     won = _paid(t).groupBy(F.year("signup_date").alias("year"), F.col("acquisition_channel").alias("channel")).agg(
         F.count(F.lit(1)).alias("new_customers")
     )
-    spend = spend_by_channel(t, F.year("spend_date").alias("year")).withColumnRenamed("channel_clean", "channel")
-    return won.join(spend, ["year", "channel"], "left").orderBy("year", "channel")
+    return won.join(yearly_spend(t), ["year", "channel"], "left").orderBy("year", "channel")

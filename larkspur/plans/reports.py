@@ -6,25 +6,11 @@ over a handful of rows.
 
 from __future__ import annotations
 
-from datetime import date
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from larkspur.functions.labels import CHURN_BANDS, PAID_CHANNELS, PROPENSITY_BANDS, STAGE_TITLES, position
 from larkspur.functions.money import percent, ratio, total
-from larkspur.operators.aggregates import (
-    ab_conversion,
-    ab_conversion_by_year,
-    churn_bands_by_year,
-    customer_growth,
-    funnel_all_time,
-    funnel_by_year,
-    propensity_bands_by_year,
-    spend_trend_by_channel,
-)
-from larkspur.plans.metrics import channel_performance, channel_performance_by_year, retention_by_year
-from larkspur.sources.tables import Tables
 
 
 def in_year(rows: DataFrame, year: int | None) -> DataFrame:
@@ -51,22 +37,24 @@ def report_spend_pivot(trend: DataFrame, year: int | None = None) -> DataFrame:
 
 def report_kpis(growth: DataFrame, performance: DataFrame, year: int | None = None) -> DataFrame:
     """Customers of all channels; value, mean value and best value-to-cost ratio of the paid channels."""
-    people = in_year(growth, year).agg(F.coalesce(F.sum("customers"), F.lit(0)).alias("customers"))
+    people = in_year(growth, year).select(F.col("customers").alias("people"))
     rows = performance if year is None else in_year(performance, year)
-    worth = rows.agg(
-        F.coalesce(F.sum(F.col("avg_ltv").cast("decimal(18,2)") * F.col("new_customers")).cast("decimal(38,2)"),
-                   F.lit(0).cast("decimal(38,2)")).alias("total_ltv"),
-        F.coalesce(F.sum("new_customers"), F.lit(0)).alias("won"),
+    worth = rows.select(
+        F.col("avg_ltv").cast("decimal(18,2)").alias("mean"), "new_customers", "ltv_to_cac_ratio", "channel"
+    )
+    none = F.lit(0).cast("decimal(38,2)")
+    # One aggregation over both lists of rows.  Equal ratios: the alphabetically first channel.
+    sums = people.unionByName(worth, allowMissingColumns=True).agg(
+        F.coalesce(F.sum("people"), F.lit(0)).alias("customers"),
+        F.coalesce(F.sum(F.col("mean") * F.col("new_customers")).cast("decimal(38,2)"), none).alias("total_ltv"),
+        F.sum("new_customers").alias("won"),
         F.max("ltv_to_cac_ratio").alias("best_ratio"),
-        # Equal ratios: the alphabetically first channel.
-        F.min_by("channel", F.struct(-F.col("ltv_to_cac_ratio"), F.col("channel"))).alias("best_channel"),
+        F.min_by("channel", F.when(F.col("channel").isNotNull(), F.struct(-F.col("ltv_to_cac_ratio"), "channel"))).alias("best_channel"),
     )
-    both = people.withColumn("_one", F.lit(1)).join(worth.withColumn("_one", F.lit(1)), "_one")
-    none = F.lit(0).cast("decimal(24,6)")
-    return both.select(
+    return sums.select(
         "customers",
         "total_ltv",
-        F.coalesce(ratio(F.col("total_ltv"), F.col("won"), 6), none).alias("avg_ltv"),
+        F.coalesce(ratio(F.col("total_ltv"), F.col("won"), 6), F.lit(0).cast("decimal(24,6)")).alias("avg_ltv"),
         F.coalesce("best_ratio", F.lit(0)).alias("best_ratio"),
         F.coalesce("best_channel", F.lit("—")).alias("best_channel"),
     )
@@ -127,22 +115,22 @@ def _with_gaps(years: DataFrame, by_year: DataFrame) -> DataFrame:
     return joined.withColumn("has_data", F.col("variant").isNotNull())
 
 
-def dashboard(t: Tables, as_of: date, year: int | None = None) -> dict[str, DataFrame]:
-    """All report tables for one year or all years."""
-    growth, trend = customer_growth(t), spend_trend_by_channel(t)
-    churn, propensity = churn_bands_by_year(t), propensity_bands_by_year(t)
-    performance = channel_performance(t, as_of) if year is None else channel_performance_by_year(t, as_of)
-    churn_bands, propensity_bands = report_churn_bands(churn, year), report_propensity_bands(propensity, year)
+def dashboard(datasets: dict[str, DataFrame], year: int | None = None) -> dict[str, DataFrame]:
+    """All report tables for one year or all years, from the eleven small tables of the JSON export."""
+    growth = datasets["customer_growth"]
+    span = "all_time" if year is None else "by_year"
+    churn = report_churn_bands(datasets["churn_risk_bands_by_year"], year)
+    propensity = report_propensity_bands(datasets["propensity_bands_by_year"], year)
     return {
         "years": report_years(growth),
         "growth": report_growth(growth, year),
-        "spend": report_spend_pivot(trend, year),
-        "kpis": report_kpis(growth, performance, year),
-        "funnel": report_funnel_pct(funnel_all_time(t) if year is None else funnel_by_year(t), year),
-        "retention": report_retention(retention_by_year(t.ga4_events, "event_date"), year),
-        "churn_bands": churn_bands,
-        "churn_share": report_band_share(churn_bands),
-        "propensity_bands": propensity_bands,
-        "propensity_share": report_band_share(propensity_bands),
-        "ab_test": report_ab(growth, ab_conversion_by_year(t), ab_conversion(t), year),
+        "spend": report_spend_pivot(datasets["spend_trend"], year),
+        "kpis": report_kpis(growth, datasets[f"channel_performance_{span}"], year),
+        "funnel": report_funnel_pct(datasets[f"funnel_{span}"], year),
+        "retention": report_retention(datasets["retention_by_year"], year),
+        "churn_bands": churn,
+        "churn_share": report_band_share(churn),
+        "propensity_bands": propensity,
+        "propensity_share": report_band_share(propensity),
+        "ab_test": report_ab(growth, datasets["ab_test_by_year"], datasets["ab_test_all_time"], year),
     }
