@@ -219,14 +219,23 @@ def _labelled_reports(predictions: dict[str, DataFrame]) -> DataFrame:
     return quality.report(*reports_)
 
 
+_open: dict[tuple[str, str], Tables] = {}
 _labs: dict[tuple[str, str], Lab] = {}
 
 
+def tables(spark: SparkSession, folder: str) -> Tables:
+    """The tables of a folder, opened once per application."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _open:
+        _open[key] = star_tables(spark, folder)
+    return _open[key]
+
+
 def lab(spark: SparkSession, folder: str) -> Lab:
-    """Models live as long as the application, so that one training serves all queries about a model."""
+    """The models of a folder live as long as the application: one training serves all queries about a model."""
     key = (spark.sparkContext.applicationId, folder)
     if key not in _labs:
-        _labs[key] = Lab(star_tables(spark, folder))
+        _labs[key] = Lab(tables(spark, folder))
     return _labs[key]
 
 
@@ -396,7 +405,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
 
 
 def _table_query(build: Callable[[Tables], DataFrame]) -> Query:
-    return lambda spark, folder: plain(build(star_tables(spark, folder)))
+    return lambda spark, folder: plain(build(tables(spark, folder)))
 
 
 def _model_query(build: Callable[[SparkSession, Lab], DataFrame]) -> Query:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from larkspur.models.prepare import Encoder, assembler, with_class_weights
 from larkspur.operators.ids import hold_out
-from larkspur.operators.scale import keep
+from larkspur.operators.scale import keep, work_folder
 from larkspur.plans.features import churn_features, log_target, ltv_features, propensity_features
 from larkspur.sources.tables import Tables
 
@@ -23,6 +23,9 @@ SEED, TEST_SHARE = 42, 0.2
 TREES, TREE_DEPTH = 200, 8
 BOOST_ROUNDS, BOOST_DEPTH, BOOST_STEP = 200, 4, 0.1
 LOGISTIC_ITERATIONS = 1000
+# Not a model setting: memory a task may use for split statistics.  The default of 256 MB needs several passes over
+# the rows per tree level for 200 trees.
+STATISTICS_MB = 512
 
 _MESSAGE_NUMBERS = ["crm_emails_sent", "crm_emails_opened", "crm_emails_clicked"]
 CHURN_RAW = ["tenure_months", "mrr", "total_events", "active_days", *_MESSAGE_NUMBERS, "also_ecommerce"]
@@ -58,9 +61,12 @@ class Study:
 
 
 def _study(features: DataFrame, key: str, label: str, numeric: list[str], categories: list[str]) -> Study:
-    # Training reads the rows many times; as a table they are joined and aggregated once.  The split goes by customer,
-    # so several subscriptions of one customer stay on one side.
-    rows = keep(hold_out(features, "customer_id", SEED, TEST_SHARE), f"study-{label}")
+    # Training reads the rows many times; as a table they are joined and aggregated once.  Spread by their unique key
+    # over all cores: a feature table is small next to its sources, and training is bound by computing, not reading.
+    # The split goes by customer, so several subscriptions of one customer stay on one side.
+    split = hold_out(features, "customer_id", SEED, TEST_SHARE)
+    cores = features.sparkSession.sparkContext.defaultParallelism
+    rows = keep(split.repartition(cores, key), f"study-{label}")
     return Study(rows, key, label, tuple(numeric), tuple(categories))
 
 
@@ -109,7 +115,8 @@ def logistic(study: Study, balanced: bool = False) -> PipelineModel:
 
 
 def forest_classifier(study: Study, trees: int = TREES, depth: int = TREE_DEPTH) -> PipelineModel:
-    return fit(study, RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED), balanced=True)
+    estimator = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, maxMemoryInMB=STATISTICS_MB)
+    return fit(study, estimator, balanced=True)
 
 
 def linear(study: Study) -> PipelineModel:
@@ -118,12 +125,18 @@ def linear(study: Study) -> PipelineModel:
 
 def forest_regressor(study: Study, trees: int = TREES, depth: int = TREE_DEPTH) -> PipelineModel:
     """Every split may look at every feature."""
-    return fit(
-        study, RandomForestRegressor(numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="all")
+    estimator = RandomForestRegressor(
+        numTrees=trees, maxDepth=depth, seed=SEED, featureSubsetStrategy="all", maxMemoryInMB=STATISTICS_MB
     )
+    return fit(study, estimator)
 
 
 def boosting(study: Study, rounds: int = BOOST_ROUNDS, depth: int = BOOST_DEPTH) -> PipelineModel:
+    """Each round builds on the residuals of all before it; Spark cuts that lineage every ten rounds, given a folder
+    for checkpoints."""
+    context = study.rows.sparkSession.sparkContext
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(work_folder(study.rows.sparkSession))
     return fit(study, GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=BOOST_STEP, seed=SEED))
 
 

@@ -10,6 +10,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from functools import cache
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
@@ -50,6 +52,17 @@ def keep(rows: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(rows.schema).parquet(path)
 
 
+def in_parallel(actions: list[Callable[[], object]], at_once: int = 8) -> list:
+    """Run independent jobs side by side, so that the tail of one does not leave the cluster idle."""
+    with ThreadPoolExecutor(at_once) as pool:
+        return list(pool.map(lambda action: action(), actions))
+
+
+def keep_all(frames: Mapping[str, DataFrame]) -> list[DataFrame]:
+    """``keep`` for several independent tables at once, in the given order."""
+    return in_parallel([lambda label=label, rows=rows: keep(rows, label) for label, rows in frames.items()])
+
+
 def hot_codes(rows: DataFrame, keys: list[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS) -> list[int]:
     """Hashes of the keys that hold more than ``share`` of the rows, from one pass with a frequent-items sketch.
 

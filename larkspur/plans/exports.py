@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from larkspur.functions.labels import channel_clean
 from larkspur.functions.money import total
 from larkspur.operators import aggregates as agg
-from larkspur.operators.scale import keep
+from larkspur.operators.scale import keep_all
 from larkspur.operators.windows import stage_shares
 from larkspur.plans.metrics import (
     channel_performance,
@@ -46,11 +46,15 @@ def _spend_by_year(monthly: DataFrame) -> DataFrame:
 
 
 def json_datasets(t: Tables, as_of: date) -> dict[str, DataFrame]:
-    monthly = keep(agg.monthly_platform_spend(t), "monthly-spend")
-    cohorts = keep(cohort_value(t, as_of), "cohorts")
-    events = keep(agg.event_counts_by_year(t), "event-counts")
-    bands = keep(agg.bands_by_year(t), "score-bands")
-    variants = keep(agg.variant_counts_by_year(t), "variant-counts")
+    monthly, cohorts, events, bands, variants = keep_all(
+        {
+            "monthly-spend": agg.monthly_platform_spend(t),
+            "cohorts": cohort_value(t, as_of),
+            "event-counts": agg.event_counts_by_year(t),
+            "score-bands": agg.bands_by_year(t),
+            "variant-counts": agg.variant_counts_by_year(t),
+        }
+    )
     spend = _spend_by_year(monthly)
     return {
         "customer_growth": agg.customer_growth(t),

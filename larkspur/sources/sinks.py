@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DecimalType, NumericType, StringType
 
+from larkspur.operators.scale import in_parallel
 from larkspur.sources.schemas import SCHEMAS, STORAGE_DATES
 
 
@@ -36,9 +37,10 @@ def write_csv(rows: DataFrame, folder: str, one_file: bool = False) -> None:
 
 
 def write_csvs(datasets: Mapping[str, DataFrame], folder: str) -> None:
-    """One sub-folder per dataset."""
-    for name, rows in datasets.items():
-        write_csv(rows, f"{folder}/{name}", one_file=True)
+    """One sub-folder per dataset, written side by side."""
+    in_parallel(
+        [lambda n=name, r=rows: write_csv(r, f"{folder}/{n}", one_file=True) for name, rows in datasets.items()]
+    )
 
 
 def json_ready(rows: DataFrame) -> DataFrame:
@@ -55,10 +57,13 @@ def json_ready(rows: DataFrame) -> DataFrame:
 
 
 def write_json(datasets: Mapping[str, DataFrame], folder: str) -> None:
-    """One sub-folder of JSON lines per dataset, written by the executors."""
-    for name, rows in datasets.items():
+    """One sub-folder of JSON lines per dataset, written by the executors, side by side."""
+
+    def write(name: str, rows: DataFrame) -> None:
         json_ready(rows).write.mode("overwrite").option("ignoreNullFields", False).json(f"{folder}/{name}")
 
+    in_parallel([lambda n=name, r=rows: write(n, r) for name, rows in datasets.items()])
+
 
 def record_lines(datasets: Mapping[str, DataFrame], max_rows: int | None = None) -> DataFrame:
     """All datasets stacked as (place, dataset, at, record): ``record`` is the row as JSON, ``at`` keeps its order."""
