@@ -3,19 +3,37 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping
+from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.sources.schemas import PRIMARY_KEYS, SCHEMAS
+from larkspur.sources.schemas import PRIMARY_KEYS, SCHEMAS, STORAGE_DATES
 
 
-def read_table(spark: SparkSession, name: str, path: str, fmt: str = "parquet") -> DataFrame:
-    """Table ``name`` from files under ``path`` with its declared schema; filters and columns reach the scan."""
+def read_table(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    fmt: str = "parquet",
+    since: date | None = None,
+    until: date | None = None,
+) -> DataFrame:
+    """Table ``name`` from files under ``path`` with its declared schema; filters and columns reach the scan.
+
+    ``since`` and ``until`` limit a dated fact to a range of days.  Where it is stored by month, other months are not
+    even listed.
+    """
     reader = spark.read.schema(SCHEMAS[name]).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
-    return reader.load(path)
+    rows = reader.load(path)
+    for day, compare in ((since, "__ge__"), (until, "__le__")):
+        if day is not None:
+            rows = rows.where(getattr(F.col(STORAGE_DATES[name]), compare)(F.lit(day)))
+            if "month" in rows.columns:
+                rows = rows.where(getattr(F.col("month").cast("string"), compare)(f"{day:%Y-%m}"))
+    return rows.select(*SCHEMAS[name].names)
 
 
 def read_jdbc(
