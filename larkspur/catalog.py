@@ -5,6 +5,7 @@ Results carry plain types (bigint, double), as SQL engines agree on those.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import datetime
 from functools import cache
@@ -16,12 +17,13 @@ from pyspark.sql.types import DecimalType, FloatType, IntegerType, ShortType
 from larkspur.models import evaluate, explain, score, train
 from larkspur.models.prepare import align_features, class_weights, one_hot_drop_first
 from larkspur.operators import aggregates, experiment, filters, ids, joins, quality, windows
+from larkspur.operators.scale import work_folder
 from larkspur.oracles import BUYER_COUNTRY, MIN_ORDERS, REPORT_YEAR
 from larkspur.plans import exports, features, metrics, reports
+from larkspur.sources import sinks
 from larkspur.sources.schemas import VOCABULARY
-from larkspur.sources.sinks import record_lines
 from larkspur.sources.star import AS_OF, star_tables
-from larkspur.sources.tables import Tables
+from larkspur.sources.tables import Tables, read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 SCORED_AT = datetime(2001, 12, 31)
@@ -139,13 +141,77 @@ def _quality_sources(t: Tables) -> DataFrame:
 
 
 def _export_rows(datasets: dict[str, DataFrame]) -> DataFrame:
-    return record_lines(datasets).groupBy("dataset").agg(F.count(F.lit(1)).alias("record_count"))
+    return sinks.record_lines(datasets).groupBy("dataset").agg(F.count(F.lit(1)).alias("record_count"))
 
 
 def _ab_every_year(t: Tables) -> DataFrame:
     return reports.report_ab_every_year(aggregates.customer_growth(t), aggregates.ab_conversion_by_year(t))
 
 
+# --- writing whole tables to the shared folder and reading them back ---------------------------------------------
+
+
+def _place(rows: DataFrame, label: str) -> str:
+    return f"{work_folder(rows.sparkSession)}/{label}-{uuid.uuid4().hex}"
+
+
+def _csv_and_back(t: Tables) -> DataFrame:
+    folder = _place(t.customers, "csv")
+    sinks.write_csv(t.customers, folder)
+    return read_table(t.customers.sparkSession, "customers", folder, "csv")
+
+
+def _json_and_back(t: Tables) -> DataFrame:
+    folder = _place(t.customers, "json")
+    sinks.write_json({"customers": t.customers}, folder)
+    return read_table(t.customers.sparkSession, "customers", f"{folder}/customers", "json")
+
+
+def _append_and_back(t: Tables) -> DataFrame:
+    """The customers in two batches."""
+    folder = _place(t.customers, "append")
+    shop = F.col("customer_type") == "ecommerce"
+    sinks.bulk_append(t.customers.where(shop), folder)
+    sinks.bulk_append(t.customers.where(~shop), folder)
+    return read_table(t.customers.sparkSession, "customers", folder)
+
+
+def _load_twice(t: Tables) -> DataFrame:
+    """A first load and a second one, which must be refused."""
+    folder = _place(t.customers, "load")
+    sinks.load_once(t.customers, folder)
+    try:
+        sinks.load_once(t.customers, folder)
+    except ValueError:
+        return read_table(t.customers.sparkSession, "customers", folder)
+    raise AssertionError("the second load was not refused")
+
+
+def _refreshed(t: Tables) -> str:
+    """Name of a score table that was loaded in part and then replaced as a whole."""
+    name, folder = f"larkspur_scores_{uuid.uuid4().hex}", _place(t.customer_scores, "refresh")
+    sinks.full_refresh(t.customer_scores.where(F.col("churn_risk_score").isNotNull()), name, folder)
+    sinks.full_refresh(t.customer_scores, name, folder)
+    return name
+
+
+def _refresh_and_back(t: Tables) -> DataFrame:
+    return t.customer_scores.sparkSession.table(_refreshed(t))
+
+
+def _truncate_and_back(t: Tables) -> DataFrame:
+    spark, name = t.customer_scores.sparkSession, _refreshed(t)
+    sinks.truncate_reset(spark, name, _place(t.customer_scores, "truncate"))
+    return filters.row_count(spark.table(name))
+
+
+def _save_and_back(m: Lab) -> DataFrame:
+    """Held-out predictions of a model that was saved and loaded again."""
+    folder = f"{work_folder(m.churn().rows.sparkSession)}/model-{uuid.uuid4().hex}"
+    train.save_model(m.churn_forest(), folder)
+    return train.predict_class(train.load_model(folder), m.churn().test, "churned")
+
+
 # --- models: trained once per folder and session, used by several queries ----------------------------------------
 
 
@@ -253,6 +319,7 @@ MODEL_QUERIES: dict[str, Callable[[SparkSession, Lab], DataFrame]] = {
     "permutation_importance_propensity": lambda spark, m: m.importance("propensity"),
     "permutation_importance_ltv": lambda spark, m: m.importance("ltv"),
     "partial_dependence": lambda spark, m: m.dependence(),
+    "save_load_model": lambda spark, m: _save_and_back(m),
     "score_churn": lambda spark, m: score.score_churn(m.churn_forest(), m.t, AS_OF),
     "score_propensity": lambda spark, m: score.score_propensity(
         m.propensity_balanced(), features.propensity_scoring_features(m.t, AS_OF)
@@ -269,6 +336,12 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "preview": lambda t: filters.preview(t.customers, "customer_id"),
     "full_table": lambda t: filters.preview(t.orders, "order_id", None),
     "assign_ids": lambda t: ids.assign_ids(t.ga4_events.select("event_id"), "event_id"),
+    "sink_csv": _csv_and_back,
+    "sink_json": _json_and_back,
+    "bulk_append": _append_and_back,
+    "load_once_guard": _load_twice,
+    "full_refresh": _refresh_and_back,
+    "truncate_reset": _truncate_and_back,
     # filters
     "recent_completed_orders": filters.recent_completed_orders,
     "mobile_purchases": filters.mobile_purchases,

@@ -325,6 +325,17 @@ ORACLES: dict[str, str] = {
         "ga4_events",
         "SELECT event_id, row_number() OVER (ORDER BY substr(md5(CAST(event_id AS VARCHAR)), 1, 4), event_id) AS id FROM g_ga4_events",
     ),
+    **{
+        name: text("customers", "SELECT * FROM g_customers")
+        for name in ("sink_csv", "sink_json", "bulk_append", "load_once_guard")
+    },
+    "full_refresh": text(
+        "customer_scores",
+        """SELECT customer_id, CAST(churn_risk_score AS DOUBLE) AS churn_risk_score,
+  CAST(purchase_propensity_score AS DOUBLE) AS purchase_propensity_score, CAST(predicted_ltv AS DOUBLE) AS predicted_ltv
+FROM g_customer_scores""",
+    ),
+    "truncate_reset": "SELECT CAST(0 AS BIGINT) AS row_count",
     # filters
     "recent_completed_orders": text(
         "orders",
