@@ -21,32 +21,35 @@ def skewed(spark):
     return spark.range(3000).select("id", key.cast("long").alias("k"))
 
 
-def test_hot_key_is_found(spark, skewed):
+def test_hot_key_is_found_and_split_by_its_size(spark, skewed):
     code = spark.range(1).select(F.xxhash64(F.lit(7).cast("long"))).first()[0]
-    assert code in scale.hot_codes(skewed, ["k"], share=0.1, min_rows=0)
-    assert scale.hot_codes(skewed, ["k"]) == []
+    assert scale.hot_parts(skewed, ["k"], task_rows=300) == {4: [code]}
+    assert scale.hot_parts(skewed, ["k"], task_rows=100) == {16: [code]}
+    assert scale.hot_parts(skewed, ["k"]) == {}
+    assert scale.hot_parts(skewed.limit(0), ["k"], task_rows=1) == {}
 
 
 @pytest.mark.parametrize("how", ["inner", "left"])
-def test_salted_join_equals_plain_join(spark, skewed, how):
+@pytest.mark.parametrize("task_rows", [2, 100])
+def test_split_join_equals_plain_join(spark, skewed, how, task_rows):
     per_key = spark.range(300).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    joined = scale.skew_safe_join(skewed, per_key, ["k"], how, spread=["id"], share=0.1, min_rows=0, splits=8)
+    joined = scale.skew_safe_join(skewed, per_key, ["k"], how, spread=["id"], task_rows=task_rows)
     plain = skewed.join(per_key, "k", how).select("id", "k", "v")
     assert sorted(map(tuple, joined.select("id", "k", "v").collect()), key=str) == sorted(
         map(tuple, plain.collect()), key=str
     )
 
 
-def test_salt_spreads_the_hot_key(spark, skewed):
-    hot = scale.hot_codes(skewed, ["k"], 0.1, 0)
-    part = F.pmod(F.xxhash64("id"), F.lit(8))
-    sizes = skewed.where(F.xxhash64("k").isin(hot)).groupBy(part).count().collect()
-    assert len(sizes) == 8 and max(r["count"] for r in sizes) < 250
+def test_parts_spread_the_hot_key_evenly(skewed):
+    parts = scale._parts(["k"], scale.hot_parts(skewed, ["k"], task_rows=100))
+    part = F.pmod(F.xxhash64("id"), parts).alias("part")
+    sizes = skewed.where("k = 7").groupBy(part).count().collect()
+    assert len(sizes) == 16 and max(r["count"] for r in sizes) < 100
 
 
-def test_salted_join_matches_missing_keys_as_equal(spark, skewed):
+def test_split_join_matches_missing_keys_as_equal(spark, skewed):
     per_key = spark.createDataFrame([(None, "none"), (7, "seven")], "k long, v string")
-    joined = scale.skew_safe_join(skewed, per_key, ["k"], share=0.1, min_rows=0, splits=4)
+    joined = scale.skew_safe_join(skewed, per_key, ["k"], task_rows=10)
     counts = {r.v: r["count"] for r in joined.groupBy("v").count().collect()}
     assert counts == {"none": skewed.where("k is null").count(), "seven": skewed.where("k = 7").count()}
 
@@ -110,10 +113,16 @@ def test_rank_with_a_spend_many_share(make):
             for i, s in enumerate(spends)
         ],
     )
-    got = {r.customer_id: r.spend_rank for r in windows.spend_rank_in_country(t).collect()}
-    assert len(got) == len(spends)
-    for i, s in enumerate(spends):
-        assert got[i] == 1 + sum(1 for j, other in enumerate(spends) if j % 2 == i % 2 and other > s)
+    for group_rows in (0, 5, 100):
+        got = {r.customer_id: r.spend_rank for r in windows.spend_rank_in_country(t, group_rows).collect()}
+        assert len(got) == len(spends)
+        for i, s in enumerate(spends):
+            assert got[i] == 1 + sum(1 for j, other in enumerate(spends) if j % 2 == i % 2 and other > s)
+
+
+def test_rank_from_counts_equals_rank_by_sorting(star):
+    by_counts = windows.spend_rank_in_country(star, group_rows=0)
+    assert sorted(map(tuple, by_counts.collect())) == sorted(map(tuple, windows.spend_rank_in_country(star).collect()))
 
 
 def test_ids_are_gapless_and_do_not_depend_on_partitions(spark):
@@ -206,6 +215,6 @@ def test_skewed_rows_of_one_customer_reach_many_tasks(make, spark):
     )
     assert joins.completed_orders_with_country(t).count() == 400
     orders = joins.completed_orders(t)
-    salted = scale.skew_safe_join(orders, t.customers, ["customer_id"], spread=["order_id"], share=0.2, min_rows=0, splits=16)
+    salted = scale.skew_safe_join(orders, t.customers, ["customer_id"], spread=["order_id"], task_rows=20)
     assert salted.count() == 400
     assert "_part" in salted._jdf.queryExecution().optimizedPlan().toString()
