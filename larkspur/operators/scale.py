@@ -77,6 +77,7 @@ def hot_parts(
         .union(one)
         .groupBy((F.spark_partition_id() % 256).alias("lane"))
         .agg(F.expr(f"approx_top_k_accumulate(code, {tracked})").alias("sketch"))
+        .repartition(1)  # at most 256 sketches; combining fails in a task that got none
         .agg(F.expr(f"approx_top_k_estimate(approx_top_k_combine(sketch, {tracked}), 10000)").alias("top"))
         .first()
     )

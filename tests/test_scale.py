@@ -29,6 +29,16 @@ def test_hot_key_is_found_and_split_by_its_size(spark, skewed):
     assert scale.hot_parts(skewed.limit(0), ["k"], task_rows=1) == {}
 
 
+def test_hot_keys_with_empty_tasks(spark, skewed):
+    """Sketches in fewer tasks than there are partitions, without AQE merging the empty ones away."""
+    setting = "spark.sql.adaptive.coalescePartitions.enabled"
+    try:
+        spark.conf.set(setting, "false")
+        assert list(scale.hot_parts(skewed.coalesce(1), ["k"], task_rows=300)) == [4]
+    finally:
+        spark.conf.set(setting, "true")
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 @pytest.mark.parametrize("task_rows", [2, 100])
 def test_split_join_equals_plain_join(spark, skewed, how, task_rows):
