@@ -167,6 +167,16 @@ def _json_and_back(t: Tables) -> DataFrame:
     return read_table(t.customers.sparkSession, "customers", f"{folder}/customers", "json")
 
 
+def _document_and_back(t: Tables) -> DataFrame:
+    """Records per section of the exported JSON document."""
+    folder = _place(t.customers, "document")
+    exports.export_bundle(t, AS_OF, folder)
+    text = t.customers.sparkSession.read.text(folder, wholetext=True)
+    sections = F.from_json("value", "map<string, array<map<string, string>>>")
+    listed = text.select(F.explode(sections).alias("dataset", "records"))
+    return listed.select("dataset", F.size("records").cast("bigint").alias("record_count"))
+
+
 def _append_and_back(t: Tables) -> DataFrame:
     """The customers in two batches."""
     folder = _place(t.customers, "append")
@@ -338,6 +348,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "assign_ids": lambda t: ids.assign_ids(t.ga4_events.select("event_id"), "event_id"),
     "sink_csv": _csv_and_back,
     "sink_json": _json_and_back,
+    "sink_json_bundle": _document_and_back,
     "bulk_append": _append_and_back,
     "load_once_guard": _load_twice,
     "full_refresh": _refresh_and_back,
@@ -432,6 +443,9 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "regression_report": lambda t: rounded(
         evaluate.regression_report(_fixed_values(t), "fixed"), rmse=4, mae=4, r2=6
     ),
+    "actual_vs_predicted_fixed": lambda t: rounded(
+        evaluate.actual_vs_predicted(_fixed_values(t)), avg_actual=4, avg_predicted=4, bias=4
+    ),
     # experiment
     "ab_z_test": lambda t: rounded(experiment.ab_z_test(t), rate_a=6, rate_b=6, z=6),
     "ab_p_value": lambda t: rounded(experiment.ab_p_value(t), chi_square=6, p_value=6),

@@ -671,6 +671,14 @@ FROM (SELECT CAST(w.total_ltv AS DOUBLE) AS a, CAST(w.total_ltv AS DOUBLE) - CAS
   FROM worth w JOIN g_customer_scores s ON s.customer_id=w.customer_id) x""",
         WORTH,
     ),
+    "actual_vs_predicted_fixed": text(
+        f"{VALUE_VIEWS} customer_scores",
+        """SELECT CAST(floor((place - 1)*10.0/n) + 1 AS BIGINT) AS decile, count(*) AS n, round(avg(CAST(a AS DOUBLE)), 4) AS avg_actual,
+  round(avg(CAST(p AS DOUBLE)), 4) AS avg_predicted, round(avg(CAST(p AS DOUBLE) - CAST(a AS DOUBLE)), 4) AS bias
+FROM (SELECT w.total_ltv AS a, s.predicted_ltv AS p, rank() OVER (ORDER BY w.total_ltv) AS place, count(*) OVER () AS n
+  FROM worth w JOIN g_customer_scores s ON s.customer_id=w.customer_id) x GROUP BY 1""",
+        WORTH,
+    ),
     # experiment
     "ab_z_test": text(
         "ab_test_assignments", "SELECT round(pa, 6) AS rate_a, round(pb, 6) AS rate_b, round(z, 6) AS z FROM zed", AB_CELLS, AB_Z
@@ -759,3 +767,5 @@ FROM (SELECT DISTINCT year(signup_date) AS year FROM g_customers) c LEFT JOIN ra
     ),
     **_EXPORTS,
 }
+
+ORACLES["sink_json_bundle"] = ORACLES["export_bundle"]

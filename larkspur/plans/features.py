@@ -11,7 +11,7 @@ from larkspur.functions.dates import months_until, whole_months
 from larkspur.operators.aggregates import browse_stats, event_activity, message_engagement
 from larkspur.operators.joins import buyers
 from larkspur.operators.scale import skew_safe_join
-from larkspur.plans.metrics import customer_value
+from larkspur.plans.metrics import with_value
 from larkspur.sources.tables import Tables
 
 _MESSAGES = {
@@ -29,12 +29,14 @@ def _messages(t: Tables) -> DataFrame:
     return message_engagement(t).withColumnsRenamed(_MESSAGES)
 
 
+def _with_activity(people: DataFrame, t: Tables) -> DataFrame:
+    """``people`` with event and message totals, 0 where a customer appears in neither log."""
+    joined = people.join(event_activity(t), "customer_id", "left").join(_messages(t), "customer_id", "left")
+    return joined.select(*people.columns, *_or_zero("total_events", "active_days", *_MESSAGES.values()))
+
+
 def feature_left_joins(t: Tables) -> DataFrame:
-    """Every customer with event and message totals, 0 where a customer appears in neither log."""
-    joined = t.customers.select("customer_id").join(event_activity(t), "customer_id", "left").join(
-        _messages(t), "customer_id", "left"
-    )
-    return joined.select("customer_id", *_or_zero("total_events", "active_days", *_MESSAGES.values()))
+    return _with_activity(t.customers.select("customer_id"), t)
 
 
 def engagement_rate(rows: DataFrame) -> DataFrame:
@@ -49,10 +51,8 @@ def _subscription_features(t: Tables, as_of: date, statuses: tuple[str, ...]) ->
     The customer side is built first, one row per customer; the subscriptions join last, so a customer holding very
     many of them can be spread over tasks.
     """
-    people = feature_left_joins(t).join(
-        t.customers.select("customer_id", F.when(F.col("customer_type") == "both", 1).otherwise(0).alias("also_ecommerce")),
-        "customer_id",
-    )
+    also_shop = F.when(F.col("customer_type") == "both", 1).otherwise(0).alias("also_ecommerce")
+    people = _with_activity(t.customers.select("customer_id", also_shop), t)
     subs = t.subscriptions.where(F.col("status").isin(*statuses) & F.col("customer_id").isNotNull()).select(
         "subscription_id", "customer_id", "plan_name", "start_date", "end_date", "mrr", "status"
     )
@@ -121,8 +121,7 @@ def propensity_features(t: Tables, as_of: date) -> DataFrame:
 
 def ltv_features(t: Tables, as_of: date) -> DataFrame:
     """Training rows: the scoring features and the customer's value to date."""
-    value = customer_value(t, as_of).select("customer_id", "total_ltv")
-    return propensity_scoring_features(t, as_of).join(value, "customer_id")
+    return with_value(propensity_scoring_features(t, as_of), t, as_of).drop("bought", "subscribed")
 
 
 def log_target(rows: DataFrame, value: str = "total_ltv") -> DataFrame:

@@ -125,14 +125,13 @@ def subscription_value(t: Tables, as_of: date) -> DataFrame:
     return paid.groupBy("customer_id").agg(total(F.col("mrr") * months).alias("subscribed"))
 
 
-def customer_value(t: Tables, as_of: date, only: tuple[str, ...] | None = None) -> DataFrame:
-    """One row per customer: order and subscription revenue (NULL where there is none) and their sum.
+def with_value(people: DataFrame, t: Tables, as_of: date) -> DataFrame:
+    """``people`` (one row per customer) with order revenue ``bought`` and subscription revenue ``subscribed``, NULL
+    where there is none, and their sum ``total_ltv``.
 
-    ``only`` limits the acquisition channels.  Both revenues are summed per customer first, so the joins meet one row
-    per customer on each side, all spread by the same key.
+    Both revenues are summed per customer first, so the joins meet one row per customer on each side, all spread by
+    the same key.
     """
-    people = t.customers if only is None else t.customers.where(F.col("acquisition_channel").isin(*only))
-    people = people.select("customer_id", "acquisition_channel", "signup_date")
     joined = people.join(buyer_spend(t).withColumnRenamed("total_spend", "bought"), "customer_id", "left").join(
         subscription_value(t, as_of), "customer_id", "left"
     )
@@ -141,6 +140,12 @@ def customer_value(t: Tables, as_of: date, only: tuple[str, ...] | None = None)
     return joined.withColumn("total_ltv", value)
 
 
+def customer_value(t: Tables, as_of: date, only: tuple[str, ...] | None = None) -> DataFrame:
+    """Value of every customer, or of those of some acquisition channels."""
+    people = t.customers if only is None else t.customers.where(F.col("acquisition_channel").isin(*only))
+    return with_value(people.select("customer_id", "acquisition_channel", "signup_date"), t, as_of)
+
+
 def customer_ltv(t: Tables, as_of: date) -> DataFrame:
     zero = F.lit(0).cast("decimal(38,2)")
     return customer_value(t, as_of).select(
