@@ -26,6 +26,9 @@ LOGISTIC_ITERATIONS = 1000
 # Not a model setting: memory a task may use for split statistics.  The default of 256 MB needs several passes over
 # the rows per tree level for 200 trees.
 STATISTICS_MB = 512
+# Rows per training task: fewer than the first are not worth a task, and with more than the second per core the table
+# has files enough.
+SMALL_TASK, LARGE_TASK = 2_000, 1_000_000
 
 _MESSAGE_NUMBERS = ["crm_emails_sent", "crm_emails_opened", "crm_emails_clicked"]
 CHURN_RAW = ["tenure_months", "mrr", "total_events", "active_days", *_MESSAGE_NUMBERS, "also_ecommerce"]
@@ -61,12 +64,15 @@ class Study:
 
 
 def _study(features: DataFrame, key: str, label: str, numeric: list[str], categories: list[str]) -> Study:
-    # Training reads the rows many times; as a table they are joined and aggregated once.  Spread by their unique key
-    # over all cores: a feature table is small next to its sources, and training is bound by computing, not reading.
-    # The split goes by customer, so several subscriptions of one customer stay on one side.
-    split = hold_out(features, "customer_id", SEED, TEST_SHARE)
-    cores = features.sparkSession.sparkContext.defaultParallelism
-    rows = keep(split.repartition(cores, key), f"study-{label}")
+    # Training reads the rows many times; as a table they are joined and aggregated once.  The split goes by customer,
+    # so several subscriptions of one customer stay on one side.
+    rows = keep(hold_out(features, "customer_id", SEED, TEST_SHARE), f"study-{label}")
+    # A feature table is small next to its sources and may fit few files, while training is bound by computing: spread
+    # it over the cores, by its unique key, unless it is so small that more tasks only cost more.
+    cores, n = rows.sparkSession.sparkContext.defaultParallelism, rows.count()
+    tasks = min(cores, n // SMALL_TASK)
+    if tasks > 1 and n < cores * LARGE_TASK:
+        rows = keep(rows.repartition(tasks, key), f"study-{label}")
     return Study(rows, key, label, tuple(numeric), tuple(categories))
 
 
