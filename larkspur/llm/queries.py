@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import simhash
+from larkspur.llm import langid, simhash, substrings
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -28,3 +28,22 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, folder, "documents"))
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select(F.col("key").alias("doc_id"), shown.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@_query
+def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Words of every document, how many of them lie in repeated passages, and a digest of the rest."""
+    found = substrings.cut_repeats(_table(spark, folder, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, s: total + s.stop - s.begin)
+    return found.select(
+        "row.doc_id", "n_words", removed.alias("n_removed"), F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256")
+    )
+
+
+@_query
+def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Predicted language of every document."""
+    found = langid.identify_all(_table(spark, folder, "documents"))
+    return found.select("row.doc_id", "row", "lang_pred", "score").select(
+        "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"
+    )
