@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import langid, simhash, substrings
+from larkspur.llm import bpe, langid, simhash, substrings
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -47,3 +48,23 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.doc_id", "row", "lang_pred", "score").select(
         "doc_id", langid.held_out().alias("held_out"), "lang_pred", "score"
     )
+
+
+def token_digests(documents: DataFrame) -> DataFrame:
+    """Tokens of every document, and what they decode to, as counts and digests."""
+    path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe.encode(documents.select("doc_id", "text"), path, public_tokenizers.PATTERN)
+    back = bpe.decode(encoded.select("row.doc_id", "ids"), path)
+    listed = F.array_join(F.col("row.ids").cast("array<string>"), ",")
+    return back.select(
+        "row.doc_id",
+        F.size("row.ids").cast("bigint").alias("n_tokens"),
+        F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
+        F.sha2("bytes", 256).alias("decoded_sha256"),
+    )
+
+
+@_query
+def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    """Ids of every document, decoded again."""
+    return token_digests(_table(spark, folder, "documents"))
