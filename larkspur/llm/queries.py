@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, langid, simhash, substrings
+from larkspur.llm import bpe, langid, simhash, substrings, urls
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -68,3 +68,44 @@ def token_digests(documents: DataFrame) -> DataFrame:
 def op2_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     """Ids of every document, decoded again."""
     return token_digests(_table(spark, folder, "documents"))
+
+
+URL_RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+
+@_query
+def op9_url_filters(spark: SparkSession, folder: str) -> DataFrame:
+    """Host, path, deciding rule and verdict of every page."""
+    values = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+    rules = spark.sql(f"SELECT * FROM VALUES {values} AS rules(host, path, verdict)")
+    judged = urls.judge(_table(spark, folder, "pages").select("page_id", "url"), rules)
+    return judged.select("row.page_id", "host", "path", "rule", "verdict")
+
+
+LLM_ORACLES["op9_url_filters"] = r"""
+WITH parts AS (
+  SELECT page_id,
+         CASE WHEN contains(coalesce(url, ''), '://')
+              THEN translate(regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*'),
+                             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+         CASE WHEN contains(coalesce(url, ''), '://')
+              THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM pages),
+matched AS (
+  SELECT *, CASE
+    WHEN '.' || host LIKE '%.www.example.com' AND path LIKE '/en/%' THEN 'www.example.com/en/'
+    WHEN '.' || host LIKE '%.example.com' AND path LIKE '/en/%' THEN 'example.com/en/'
+    WHEN '.' || host LIKE '%.com' AND path LIKE '/%' THEN 'com/'
+    WHEN '.' || host LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
+    WHEN '.' || host LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/' END AS rule
+  FROM parts)
+SELECT page_id, host, path, rule,
+       CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
+FROM matched
+"""
