@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, langid, simhash, substrings, urls
+from larkspur.llm import bpe, langid, mixing, simhash, substrings, urls, warc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -109,3 +109,84 @@ SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('example.com/en/', 'net/es/', 'net/fr/') THEN 'block' ELSE 'allow' END AS verdict
 FROM matched
 """
+
+
+@_query
+def op5_pfair_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    """Block, slot and place of every document in a mix of sources weighted by their size to the power 0.7."""
+    documents = _table(spark, folder, "documents").select("doc_id", "source")
+    placed = mixing.interleave(documents, mixing.tempered_parts(documents))
+    return placed.select("row.doc_id", "row.source", "block", "slot", "place")
+
+
+@_query
+def op4_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Metadata and conversion record of every page."""
+    made = warc.derivatives(warc.responses(_table(spark, folder, "pages")))
+    return made.select(
+        "row.page_id", "record_type", "record_id", "refers_to", "block_digest", "n_bytes", "source_payload_digest", "n_links",
+        F.sha2(F.col("record").cast("binary"), 256).alias("record_sha256"),
+    )
+
+
+def _duck_regex(pattern: str) -> str:
+    return "'" + pattern.replace("'", "''") + "'"
+
+
+def _duck_replace(value: str, pattern: str, by: str) -> str:
+    return f"regexp_replace({value}, {_duck_regex(pattern)}, {by}, 'g')"
+
+
+def _duck_unescaped(value: str) -> str:
+    for entity, character in warc.ENTITIES.items():
+        value = f"replace({value}, '{entity}', '{character.replace(chr(39), chr(39) * 2)}')"
+    return value
+
+
+def _warc_oracle() -> str:
+    eol, spaces = "chr(13) || chr(10)", r"[ \t\r\n\f\x0B]+"
+    one_line = lambda v: f"trim({_duck_replace(v, spaces, repr(' '))})"
+    flat = _duck_replace(_duck_replace("payload", warc.HIDDEN, "' '"), spaces, "' '")
+    text = _duck_unescaped(_duck_replace(_duck_replace(flat, warc.BREAKS, "chr(10)"), warc.TAGS, "''"))
+    text = f"trim({_duck_replace(_duck_replace(text, ' +', repr(' ')), ' ?[\n][ \n]*', 'chr(10)')}, ' ' || chr(10))"
+    title = _duck_replace(f"regexp_extract(payload, {_duck_regex(warc.TITLE)}, 1)", warc.TAGS, "''")
+    links = f"regexp_extract_all({_duck_replace('payload', warc.HIDDEN, repr(' '))}, {_duck_regex(warc.LINK)}, 1)"
+    urn = lambda v: (
+        f"(SELECT '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-3' || h[14:16] || '-8' || h[18:20] || '-' || h[21:32] || '>' "
+        f"FROM (SELECT md5({v}) AS h))"
+    )
+    return f"""
+WITH pages_read AS (
+  SELECT page_id, replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A') AS target, coalesce(url, '') AS raw,
+         coalesce(html, '') AS payload, '{warc.CAPTURED}' AS captured, 'sha256:' || sha256(coalesce(html, '')) AS payload_digest
+  FROM pages),
+captures AS (
+  SELECT *, {urn("'response|' || raw || '|' || captured || '|' || payload_digest")} AS refers_to,
+         list_transform({links}, lambda x: {one_line(_duck_unescaped('x'))}) AS links
+  FROM pages_read),
+made AS (
+  SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS type,
+         'title: ' || {one_line(_duck_unescaped(title))} || {eol}
+         || 'language: ' || regexp_extract(payload, {_duck_regex(warc.LANGUAGE)}, 1) || {eol}
+         || 'source-payload-digest: ' || payload_digest || {eol}
+         || 'source-header: HTTP/1.1 200 OK' || {eol} || 'source-header: Content-Type: text/html; charset=utf-8' || {eol}
+         || 'source-header: Content-Length: ' || strlen(payload) || {eol}
+         || coalesce(list_aggregate(list_transform(links, lambda x: 'outlink: ' || x || {eol}), 'string_agg', ''), '') AS content
+  FROM captures
+  UNION ALL
+  SELECT *, 'conversion', 'text/plain; charset=utf-8', {text} FROM captures),
+named AS (
+  SELECT *, 'sha256:' || sha256(content) AS block_digest, strlen(content) AS size FROM made),
+numbered AS (
+  SELECT *, {urn("record_type || '|' || refers_to || '|' || block_digest")} AS record_id FROM named)
+SELECT page_id, record_type, record_id, refers_to, block_digest, size AS n_bytes, payload_digest AS source_payload_digest,
+       len(links)::BIGINT AS n_links,
+       sha256(array_to_string(['WARC/1.1', 'WARC-Type: ' || record_type, 'WARC-Record-ID: ' || record_id, 'WARC-Date: ' || captured,
+              'WARC-Target-URI: ' || target, 'WARC-Refers-To: ' || refers_to, 'WARC-Refers-To-Target-URI: ' || target,
+              'WARC-Refers-To-Date: ' || captured, 'WARC-Block-Digest: ' || block_digest, 'Content-Type: ' || type,
+              'Content-Length: ' || size, ''], {eol}) || {eol} || content) AS record_sha256
+FROM numbered
+"""
+
+
+LLM_ORACLES["op4_warc_derivatives"] = _warc_oracle()
