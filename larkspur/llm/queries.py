@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, langid, mixing, simhash, substrings, urls, warc
+from larkspur.llm import bpe, langid, lm_score, mixing, simhash, substrings, urls, warc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -190,3 +190,11 @@ FROM numbered
 
 
 LLM_ORACLES["op4_warc_derivatives"] = _warc_oracle()
+
+
+@_query
+def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
+    """Score of every document; the target is what labels call good."""
+    good = _table(spark, folder, "labels").where("quality = 1").select("doc_id")
+    scored = lm_score.score(_table(spark, folder, "documents").select("doc_id", "text"), good)
+    return scored.select("row.doc_id", "n_tokens", "loss_target", "loss_all", "score")

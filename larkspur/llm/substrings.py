@@ -146,7 +146,7 @@ def cut_repeats(
     """
     powers: dict = {}
     groups = group_total(documents, text, group_bytes)
-    dealt = packed(documents, grp=group_of(documents, key, text, groups))
+    dealt = packed(documents, grp=group_of(key, text, groups))
     told = repeated_hashes(dealt, text, window, groups)
     result = adding(dealt.select("row").schema, "n_words bigint, spans array<struct<begin: bigint, stop: bigint>>, kept string")
 
