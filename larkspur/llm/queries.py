@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bpe, langid, lm_score, mixing, simhash, substrings, urls, warc
+from larkspur.llm import bitslice, bpe, langid, lm_score, mixing, simhash, substrings, urls, warc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -198,3 +198,24 @@ def op1_lm_score(spark: SparkSession, folder: str) -> DataFrame:
     good = _table(spark, folder, "labels").where("quality = 1").select("doc_id")
     scored = lm_score.score(_table(spark, folder, "documents").select("doc_id", "text"), good)
     return scored.select("row.doc_id", "n_tokens", "loss_target", "loss_all", "score")
+
+
+@_query
+def op7_bit_sliced_topk(spark: SparkSession, folder: str) -> DataFrame:
+    """The five best inner products of every fiftieth vector with all others."""
+    vectors = _table(spark, folder, "embeddings")
+    found = bitslice.search(vectors, vectors.where("vec_id % 50 = 0"))
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")
+
+
+LLM_ORACLES["op7_bit_sliced_topk"] = """
+WITH usable AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS q FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q::DOUBLE[], b.q::DOUBLE[])::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
