@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bitslice, bpe, langid, lm_score, mixing, simhash, substrings, urls, warc
+from larkspur.llm import bitslice, bpe, epsilon, langid, lm_score, mixing, simhash, substrings, urls, warc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -219,3 +219,10 @@ ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank FROM pairs)
 SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
 """
+
+
+@_query
+def op8_epsilon_grid(spark: SparkSession, folder: str) -> DataFrame:
+    """Links, component and verdict of every vector."""
+    found = epsilon.near_duplicates(_table(spark, folder, "embeddings"))
+    return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
