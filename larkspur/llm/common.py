@@ -16,15 +16,18 @@ GROUP_BYTES = 8_000_000  # text that one Python call holds at a time
 PIECE_BYTES = 2_000_000  # text that one vectorised step handles; a longer text is a piece of its own
 
 
-def checkpoint_folder(spark: SparkSession) -> None:
-    """Leave ``spark.checkpoint.dir`` as the cluster sets it; only where it is unset (tests) choose a folder."""
-    if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext.getCheckpointDir() is None:
+def shared_folder(spark: SparkSession) -> str:
+    """The folder all executors share, as ``spark.checkpoint.dir`` names it; only where that is unset (tests), one of our own."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not folder:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-checkpoints-"))
+        folder = spark.sparkContext.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def checkpointed(rows: DataFrame) -> DataFrame:
     """``rows`` written to the shared checkpoint folder: a lost executor costs a re-read, and lineage ends here."""
-    checkpoint_folder(rows.sparkSession)
+    shared_folder(rows.sparkSession)
     return rows.checkpoint()
 
 

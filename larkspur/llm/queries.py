@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import corpus_pipeline
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -226,3 +227,13 @@ def op8_epsilon_grid(spark: SparkSession, folder: str) -> DataFrame:
     """Links, component and verdict of every vector."""
     found = epsilon.near_duplicates(_table(spark, folder, "embeddings"))
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
+
+
+@_query
+def pipeline(spark: SparkSession, folder: str) -> DataFrame:
+    """Language ID, near-dedup, substring dedup, mixing and encoding, one after the other."""
+    return corpus_pipeline.run(spark, folder)
+
+
+if corpus_pipeline.ORACLE_SQL:
+    LLM_ORACLES["pipeline"] = corpus_pipeline.ORACLE_SQL
