@@ -21,7 +21,7 @@ from larkspur.operators.scale import work_folder
 from larkspur.oracles import BUYER_COUNTRY, MIN_ORDERS, REPORT_YEAR
 from larkspur.plans import exports, features, metrics, reports
 from larkspur.sources import sinks
-from larkspur.sources.schemas import VOCABULARY
+from larkspur.sources.schemas import PRIMARY_KEYS, SCHEMAS, VOCABULARY
 from larkspur.sources.star import AS_OF, star_tables
 from larkspur.sources.tables import Tables, read_table
 
@@ -63,7 +63,7 @@ def _target_summary(t: Tables) -> DataFrame:
 
 
 def _split_churn(t: Tables) -> DataFrame:
-    return ids.hold_out(features.churn_features(t, AS_OF), "customer_id")
+    return ids.stratified_hold_out(features.churn_features(t, AS_OF), "customer_id", "churned")
 
 
 def _one_hot(t: Tables) -> DataFrame:
@@ -91,32 +91,16 @@ def _fixed_values(t: Tables) -> DataFrame:
 
 
 def _quality_keys(t: Tables) -> DataFrame:
-    keys = {
-        "customers": "customer_id",
-        "ga4_events": "event_id",
-        "orders": "order_id",
-        "subscriptions": "subscription_id",
-        "ab_test_assignments": "assignment_id",
-        "customer_scores": "customer_id",
-    }
-    return quality.report(*[quality.primary_key(getattr(t, name), name, key) for name, key in keys.items()])
+    return quality.report(*[quality.primary_key(getattr(t, name), name, key) for name, key in PRIMARY_KEYS.items()])
 
 
 def _quality_parents(t: Tables) -> DataFrame:
-    children = ("ga4_events", "orders", "subscriptions", "crm_engagement", "ab_test_assignments")
+    children = ("ga4_events", "orders", "subscriptions", "crm_engagement", "ab_test_assignments", "customer_scores")
     return quality.report(*[quality.foreign_key(getattr(t, c), t.customers, c) for c in children])
 
 
 def _quality_filled(t: Tables) -> DataFrame:
-    required = {
-        "customers": ["signup_date"],
-        "marketing_spend": ["spend_date", "channel"],
-        "ga4_events": ["event_date"],
-        "orders": ["order_date"],
-        "subscriptions": ["start_date"],
-        "crm_engagement": ["sent_date"],
-        "ab_test_assignments": ["assigned_date"],
-    }
+    required = {name: [f.name for f in schema if not f.nullable] for name, schema in SCHEMAS.items()}
     return quality.report(*[quality.not_null(getattr(t, name), name, columns) for name, columns in required.items()])
 
 
@@ -171,7 +155,9 @@ def _document_and_back(t: Tables) -> DataFrame:
     """Records per section of the exported JSON document."""
     folder = _place(t.customers, "document")
     exports.export_bundle(t, AS_OF, folder)
-    text = t.customers.sparkSession.read.text(folder, wholetext=True)
+    files = t.customers.sparkSession.read.text(folder, wholetext=True).select(F.input_file_name().alias("file"), "value")
+    ordered = F.array_sort(F.collect_list(F.struct("file", "value")))  # the document is its files in order of their names
+    text = files.agg(F.array_join(F.transform(ordered, lambda f: f["value"]), "").alias("value"))
     sections = F.from_json("value", "map<string, array<map<string, string>>>")
     listed = text.select(F.explode(sections).alias("dataset", "records"))
     return listed.select("dataset", F.size("records").cast("bigint").alias("record_count"))
@@ -206,7 +192,7 @@ def _refreshed(t: Tables) -> str:
 
 
 def _refresh_and_back(t: Tables) -> DataFrame:
-    return t.customer_scores.sparkSession.table(_refreshed(t))
+    return t.customer_scores.sparkSession.table(_refreshed(t)).drop("scored_at")
 
 
 def _truncate_and_back(t: Tables) -> DataFrame:
@@ -231,7 +217,7 @@ class Lab:
     def __init__(self, t: Tables):
         self.t = t
         self.churn = cache(lambda: train.churn_study(t, AS_OF))
-        self.churn_raw = cache(lambda: train.churn_study(t, AS_OF, train.CHURN_RAW))
+        self.churn_raw = cache(lambda: train.with_numbers(self.churn(), train.CHURN_RAW))
         self.propensity = cache(lambda: train.propensity_study(t, AS_OF))
         self.ltv = cache(lambda: train.ltv_study(t, AS_OF))
         self.churn_forest = cache(lambda: train.forest_classifier(self.churn()))

@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.ml.feature import SQLTransformer, VectorAssembler
+from pyspark.ml import Estimator, Transformer
+from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssembler
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-CATEGORY_LIMIT = 1_000
+_INDEX, _VECTOR = "__index", "__levels"  # ends of the names of columns between two stages
 
 
 def _dummy_name(column: str, level: str) -> str:
@@ -26,16 +27,14 @@ class Encoder:
 
     @classmethod
     def fit(cls, rows: DataFrame, columns: list[str]) -> Encoder:
-        """Levels are collected to the driver; columns of more than ``CATEGORY_LIMIT`` levels together are refused."""
+        """Levels are part of the model, and so come to the driver: one short text per level."""
         if not columns:
             return cls({})
         pairs = rows.select(
             F.explode(F.array(*[F.struct(F.lit(c).alias("c"), F.col(c).alias("level")) for c in columns])).alias("p")
         )
         distinct = pairs.select("p.c", "p.level").where(F.col("level").isNotNull()).distinct()
-        found = distinct.limit(CATEGORY_LIMIT + 1).collect()
-        if len(found) > CATEGORY_LIMIT:
-            raise ValueError(f"more than {CATEGORY_LIMIT} levels in {columns}: not categories")
+        found = distinct.collect()
         return cls({c: tuple(sorted(r["level"] for r in found if r["c"] == c)[1:]) for c in columns})
 
     @property
@@ -53,14 +52,30 @@ class Encoder:
             for level in levels
         }
 
-    def stage(self) -> SQLTransformer:
-        """The same columns as a pipeline stage that is saved with the model."""
-        parts = ["*"]
-        for c, levels in self.levels.items():
-            for level in levels:
-                text, name = level.replace("\\", "\\\\").replace("'", "\\'"), _dummy_name(c, level).replace("`", "``")
-                parts.append(f"CASE WHEN `{c}` = '{text}' THEN 1 ELSE 0 END AS `{name}`")
-        return SQLTransformer(statement=f"SELECT {', '.join(parts)} FROM __THIS__")
+    def stages(self) -> list[Transformer | Estimator]:
+        """The same 0/1 values as sparse vectors, one per column, by stages that are saved with the model.
+
+        The indexer knows all levels but the first and puts the first, unseen and missing ones in a place of their own,
+        which the encoder drops.
+        """
+        out: list = []
+        for c, levels in self._coded():
+            indexer = StringIndexerModel.from_labels(list(levels), c, f"{c}{_INDEX}", handleInvalid="keep")
+            out += [indexer, OneHotEncoder(inputCol=f"{c}{_INDEX}", outputCol=f"{c}{_VECTOR}", dropLast=True)]
+        return out
+
+    def _coded(self) -> list[tuple[str, tuple[str, ...]]]:
+        return [(c, levels) for c, levels in self.levels.items() if levels]
+
+    @property
+    def vectors(self) -> list[str]:
+        return [f"{c}{_VECTOR}" for c, _ in self._coded()]
+
+
+def vector_levels(indexer: StringIndexerModel) -> tuple[str, list[str]]:
+    """The vector column an indexer feeds, and the names of its places."""
+    c = indexer.getInputCol()
+    return f"{c}{_VECTOR}", [_dummy_name(c, level) for level in indexer.labels]
 
 
 def one_hot_drop_first(rows: DataFrame, columns: list[str]) -> DataFrame:
@@ -74,7 +89,7 @@ def align_features(rows: DataFrame, expected: list[str]) -> DataFrame:
 
 
 def assembler(numeric: list[str], encoder: Encoder) -> VectorAssembler:
-    return VectorAssembler(inputCols=[*numeric, *encoder.names], outputCol="features")
+    return VectorAssembler(inputCols=[*numeric, *encoder.vectors], outputCol="features")
 
 
 def class_weights(rows: DataFrame, label: str) -> DataFrame:

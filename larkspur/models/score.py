@@ -5,12 +5,11 @@ from __future__ import annotations
 from datetime import date, datetime
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from larkspur.models.train import predict_class, predict_value
-from larkspur.operators.joins import combine_scores
-from larkspur.operators.scale import keep
 from larkspur.plans.features import churn_scoring_features, propensity_scoring_features
 from larkspur.sources.sinks import full_refresh, typed
 from larkspur.sources.tables import Tables
@@ -33,12 +32,18 @@ def score_ltv(model: PipelineModel, features: DataFrame) -> DataFrame:
 def score_customers(
     churn: PipelineModel, propensity: PipelineModel, ltv: PipelineModel, t: Tables, as_of: date, scored_at: datetime
 ) -> DataFrame:
-    """Rows of the score table.  The customer features are written once and read by two models."""
-    features = keep(propensity_scoring_features(t, as_of), "scoring-features")
-    merged = combine_scores(
-        score_churn(churn, t, as_of), score_propensity(propensity, features), score_ltv(ltv, features), scored_at
-    )
-    return typed(merged, "customer_scores")
+    """Rows of the score table.  Two models run over the customer features one after the other, in one pass; only the
+    churn scores, of active subscribers, are joined."""
+    people = score_both(propensity, ltv, propensity_scoring_features(t, as_of))
+    merged = people.join(score_churn(churn, t, as_of), "customer_id", "full_outer")
+    return typed(merged.withColumn("scored_at", F.lit(scored_at).cast("timestamp")), "customer_scores")
+
+
+def score_both(propensity: PipelineModel, ltv: PipelineModel, features: DataFrame) -> DataFrame:
+    """``customer_id``, ``purchase_propensity_score``, ``predicted_ltv`` from one pass over the rows."""
+    first = propensity.transform(features).withColumn("purchase_propensity_score", vector_to_array("probability")[1])
+    second = ltv.transform(first.select(*features.columns, "purchase_propensity_score"))
+    return second.select("customer_id", "purchase_propensity_score", F.expm1("prediction").alias("predicted_ltv"))
 
 
 def batch_score_customers(

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from datetime import date
 
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor, LinearRegression, RandomForestRegressor
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.models.prepare import Encoder, assembler, with_class_weights
-from larkspur.operators.ids import hold_out
+from larkspur.models.prepare import Encoder, assembler, vector_levels, with_class_weights
+from larkspur.operators.ids import hold_out, stratified_hold_out
 from larkspur.operators.scale import keep, work_folder
 from larkspur.plans.features import churn_features, log_target, ltv_features, propensity_features
 from larkspur.sources.tables import Tables
@@ -26,9 +27,9 @@ LOGISTIC_ITERATIONS = 1000
 # Not a model setting: memory a task may use for split statistics.  The default of 256 MB needs several passes over
 # the rows per tree level for 200 trees.
 STATISTICS_MB = 512
-# Rows per training task: fewer than the first are not worth a task, and with more than the second per core the table
-# has files enough.
-SMALL_TASK, LARGE_TASK = 2_000, 1_000_000
+# A model setting too, since sampling is seeded per partition: trees depend on it, and on nothing a cluster has.  Raise it
+# with the number of training rows.
+TRAIN_PARTS = 16
 
 _MESSAGE_NUMBERS = ["crm_emails_sent", "crm_emails_opened", "crm_emails_clicked"]
 CHURN_RAW = ["tenure_months", "mrr", "total_events", "active_days", *_MESSAGE_NUMBERS, "also_ecommerce"]
@@ -53,6 +54,7 @@ class Study:
     label: str
     numeric: tuple[str, ...]
     categories: tuple[str, ...]
+    parts: int = TRAIN_PARTS
 
     @property
     def train(self) -> DataFrame:
@@ -63,50 +65,54 @@ class Study:
         return self.rows.where("is_test")
 
 
-def _study(features: DataFrame, key: str, label: str, numeric: list[str], categories: list[str]) -> Study:
-    # Training reads the rows many times; as a table they are joined and aggregated once.  The split goes by customer,
-    # so several subscriptions of one customer stay on one side.
-    rows = keep(hold_out(features, "customer_id", SEED, TEST_SHARE), f"study-{label}")
-    # A feature table is small next to its sources and may fit few files, while training is bound by computing: spread
-    # it over the cores, by its unique key, unless it is so small that more tasks only cost more.
-    cores, n = rows.sparkSession.sparkContext.defaultParallelism, rows.count()
-    tasks = min(cores, n // SMALL_TASK)
-    if tasks > 1 and n < cores * LARGE_TASK:
-        rows = keep(rows.repartition(tasks, key), f"study-{label}")
-    return Study(rows, key, label, tuple(numeric), tuple(categories))
+def _study(split: DataFrame, key: str, label: str, numeric: list[str], categories: list[str]) -> Study:
+    # Training reads the rows many times; as a table they are joined and aggregated once.
+    return Study(keep(split, f"study-{label}"), key, label, tuple(numeric), tuple(categories))
 
 
-def churn_study(t: Tables, as_of: date, numeric: list[str] | None = None) -> Study:
+def churn_study(t: Tables, as_of: date) -> Study:
+    """Class shares are the same in both parts; several subscriptions of one customer stay on one side."""
     features = churn_features(t, as_of, keep_id=True)
-    return _study(features, "subscription_id", "churned", numeric or CHURN_RATE, ["plan_name"])
+    split = stratified_hold_out(features, "customer_id", "churned", SEED, TEST_SHARE)
+    return _study(split, "subscription_id", "churned", CHURN_RATE, ["plan_name"])
+
+
+def with_numbers(study: Study, numeric: list[str]) -> Study:
+    """The same rows and split, predicted from other numbers."""
+    return replace(study, numeric=tuple(numeric))
 
 
 def propensity_study(t: Tables, as_of: date) -> Study:
-    features = propensity_features(t, as_of)
-    return _study(features, "customer_id", "purchased", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES)
+    split = stratified_hold_out(propensity_features(t, as_of), "customer_id", "purchased", SEED, TEST_SHARE)
+    return _study(split, "customer_id", "purchased", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES)
 
 
 def ltv_study(t: Tables, as_of: date) -> Study:
     features = log_target(ltv_features(t, as_of)).drop("back")
-    return _study(features, "customer_id", "log_ltv", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES)
+    split = hold_out(features, "customer_id", SEED, TEST_SHARE)
+    return _study(split, "customer_id", "log_ltv", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES)
 
 
 def fit(study: Study, estimator: Estimator, balanced: bool = False) -> PipelineModel:
     """Fit encoder, assembler and estimator on the training part.
 
     The encoder's levels come from the training rows; the fitted pipeline carries them, so a saved model needs no
-    separate list of features.
+    separate list of features.  Rows reach the estimator in ``study.parts`` partitions by their unique key, each in key
+    order, so the same rows give the same model on any cluster.
     """
     rows = with_class_weights(study.train, study.label) if balanced else study.train
     if balanced:
         estimator = estimator.copy({estimator.weightCol: "weight"})
     encoder = Encoder.fit(study.train, list(study.categories))
-    stages = [encoder.stage(), assembler(list(study.numeric), encoder)]
+    stages = [*encoder.stages(), assembler(list(study.numeric), encoder)]
+    rows = rows.repartition(study.parts, study.key).sortWithinPartitions(study.key)
     return Pipeline(stages=[*stages, estimator.copy({estimator.labelCol: study.label})]).fit(rows)
 
 
 def feature_names(model: PipelineModel) -> list[str]:
-    return list(model.stages[-2].getInputCols())
+    """One name per place of the feature vector: numbers, then the levels of each category."""
+    levels = dict(vector_levels(stage) for stage in model.stages if isinstance(stage, StringIndexerModel))
+    return [name for column in model.stages[-2].getInputCols() for name in levels.get(column, [column])]
 
 
 def logistic(study: Study, balanced: bool = False) -> PipelineModel:

@@ -247,20 +247,32 @@ def engagement_counts(t: Tables) -> DataFrame:
 def target_summary(rows: DataFrame, value: str) -> DataFrame:
     """Count, mean, spread and exact quartiles of a money column, as one row.
 
-    Values are counted first; everything else works on distinct values, so no task holds the whole column.
+    Values are counted first; everything else works on distinct values, so no task holds the whole column.  The spread
+    comes from exact sums of whole cents, taken about a whole number next to the mean: values that are all equal have a
+    spread of 0, and close ones lose no digits.
     """
     known = rows.where(F.col(value).isNotNull()).select(F.col(value).cast("decimal(18,2)").alias("v"))
     n, v = F.col("n"), F.col("v").cast("double")
     moments = [
         F.sum("n").alias("count"),
         F.sum(F.col("v") * n).cast("decimal(38,2)").cast("double").alias("whole"),
-        F.sum(n * v * v).alias("squares"),
+        F.sum((F.col("v") * 100).cast("decimal(18,0)") * n).cast("decimal(38,0)").alias("cents"),
+        F.sum(((F.col("v") * 100).cast("decimal(18,0)") * (F.col("v") * 100).cast("decimal(18,0)")).cast("decimal(26,0)") * n.cast("decimal(12,0)")).alias("squares"),
         F.min(v).alias("min"),
         F.max(v).alias("max"),
     ]
     quartiles = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
     line = exact_percentiles(known.groupBy("v").agg(_rows("n")), "v", quartiles, also=moments)
-    spread = F.col("squares") - F.col("whole") * F.col("whole") / F.col("count")
+    size = F.col("count").cast("decimal(12,0)")
+    middle = F.floor(F.col("cents") / F.col("count")).cast("decimal(16,0)")
+    # sums of (value - middle) and of its square
+    line = line.withColumn("middle", middle).select(
+        "*",
+        (F.col("cents") - size * F.col("middle")).cast("double").alias("off"),
+        (F.col("squares") - (F.col("middle") * F.col("cents").cast("decimal(20,0)")) * 2 + size * (F.col("middle") * F.col("middle")).cast("decimal(26,0)"))
+        .cast("double").alias("apart"),
+    )
+    spread = (F.col("apart") - F.col("off") * F.col("off") / F.col("count")) / 10_000
     return line.select(
         "count",
         (F.col("whole") / F.col("count")).alias("mean"),

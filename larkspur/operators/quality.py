@@ -99,9 +99,21 @@ def end_date_status(t: Tables, as_of: date) -> DataFrame:
 
 
 def spend_grid(t: Tables) -> DataFrame:
-    """Bad: (date, channel, campaign) cells with more than one row; the total counts cells."""
+    """Bad: cells of the grid of all dates by all (channel, campaign) pairs that have more than one row, or none.
+
+    The grid is counted, not built: its size is the product of two counts, and the cells that have rows are grouped.
+    """
     cells = t.marketing_spend.groupBy("spend_date", "channel", "campaign_name").agg(F.count(F.lit(1)).alias("n"))
-    return _line(cells, "spend_grid", F.col("n") != 1)
+    pair = F.struct("channel", "campaign_name")
+    sums = cells.agg(
+        F.count_distinct(F.struct("spend_date")).alias("dates"),
+        F.count_distinct(pair).alias("pairs"),
+        F.count(F.lit(1)).alias("filled"),
+        as_count(F.col("n") != 1).alias("doubled"),
+    )
+    grid = F.col("dates") * F.col("pairs")
+    bad = F.col("doubled") + grid - F.col("filled")
+    return sums.select(F.lit("spend_grid").alias("check"), bad.alias("bad_rows"), grid.alias("total_rows"))
 
 
 def channel_mapping(t: Tables) -> DataFrame:
@@ -110,18 +122,19 @@ def channel_mapping(t: Tables) -> DataFrame:
 
 
 def source_matches_channel(events: DataFrame, customers: DataFrame) -> DataFrame:
-    """Bad: events whose traffic source is not the lower-cased channel of their customer.  Events are counted per
-    (customer, source) before they meet the customers."""
-    counted = events.where(F.col("customer_id").isNotNull()).groupBy("customer_id", "traffic_source").agg(
-        F.count(F.lit(1)).alias("n")
-    )
-    joined = counted.join(customers.select("customer_id", "acquisition_channel"), "customer_id")
-    differs = ~F.col("traffic_source").eqNullSafe(F.lower("acquisition_channel"))
+    """Bad: events whose traffic source is not the lower-cased channel of their customer, those without a known customer
+    included.  Events are counted per (customer, source) before they meet the customers."""
+    counted = events.groupBy("customer_id", "traffic_source").agg(F.count(F.lit(1)).alias("n"))
+    known = customers.select("customer_id", "acquisition_channel", F.lit(True).alias("known"))
+    joined = counted.join(known, "customer_id", "left")
+    same = F.col("known") & F.col("traffic_source").eqNullSafe(F.lower("acquisition_channel"))
+    differs = ~F.coalesce(same, F.lit(False))
     return _summed(joined, "source_matches_channel", F.when(differs, F.col("n")))
 
 
 def variant_balance(t: Tables) -> DataFrame:
-    """Share of each variant in its experiment, in percent, and its distance from an even split."""
+    """Bad, per experiment: rows that would have to change sides for an even split of variants A and B, where that is
+    beyond chance.  The total counts all rows of the experiment, other variants included."""
     counts = t.ab_test_assignments.groupBy("experiment_name").agg(
         F.count_if(F.col("variant") == "A").alias("a"),
         F.count_if(F.col("variant") == "B").alias("b"),

@@ -8,24 +8,19 @@ from pyspark.sql import functions as F
 from larkspur.functions.money import percent, total
 from larkspur.operators.aggregates import funnel_all_time
 from larkspur.operators.joins import buyer_spend
-from larkspur.operators.scale import TASK_ROWS, attach_small, keep, positions, skew_safe_join
+from larkspur.operators.scale import attach_small, keep, positions, skew_safe_join
 from larkspur.sources.tables import Tables
 
 
-def spend_rank_in_country(t: Tables, group_rows: int = TASK_ROWS) -> DataFrame:
+def spend_rank_in_country(t: Tables) -> DataFrame:
     """Rank of every buyer by spend within the country, ties sharing a rank.
 
-    While no country has more than ``group_rows`` buyers, each is sorted in one task.  Beyond that a rank is worked out
-    as one plus the number of buyers who spent more: once per distinct (country, spend), from counts, and then joined
-    back to the buyers.
+    A rank is one plus the number of buyers who spent more, worked out once per distinct (country, spend) from counts
+    and then joined back to the buyers, so no task sorts the buyers of a country.
     """
     columns = ["customer_id", "country", "total_spend", "spend_rank"]
     spend = t.customers.select("customer_id", "country").join(buyer_spend(t), "customer_id")
     spend = keep(spend, "buyer-spend")
-    largest = spend.groupBy("country").count().agg(F.max("count")).first()[0] or 0
-    if largest <= group_rows:
-        order = Window.partitionBy("country").orderBy(F.desc("total_spend"))
-        return spend.withColumn("spend_rank", F.rank().over(order)).select(columns)
     counts = spend.groupBy("country", "total_spend").agg(F.count(F.lit(1)).alias("n"))
     placed = positions(counts, "total_spend", group=["country"], descending=True)
     ranks = placed.select("country", "total_spend", (F.col("before") + 1).alias("spend_rank"))

@@ -88,6 +88,14 @@ PEOPLE = f"""people AS (SELECT c.customer_id, c.acquisition_channel, c.country,
 PEOPLE_VIEWS, PEOPLE_STEPS = "customers ga4_events crm_engagement orders subscriptions", (BROWSE, MESSAGES, PEOPLE)
 HAS_BOUGHT = "has_bought AS (SELECT DISTINCT customer_id FROM g_orders WHERE order_status='completed')"
 HELD_OUT = "(substr(md5(concat(CAST(customer_id AS VARCHAR), '-42')), 1, 4) < '3333')"
+# A fifth of the customers of each class, by hash; a customer is as churned as any of their subscriptions.
+SHARES = (
+    """classed AS (SELECT customer_id, max(CASE status WHEN 'cancelled' THEN 1 ELSE 0 END) AS label
+  FROM churn WHERE status<>'paused' GROUP BY 1)""",
+    """sides AS (SELECT customer_id, row_number() OVER (PARTITION BY label
+    ORDER BY md5(concat(CAST(customer_id AS VARCHAR), '-42')), customer_id)
+  <= round(0.2 * count(*) OVER (PARTITION BY label)) AS is_test FROM classed)""",
+)
 GUESS = """guess AS (SELECT CAST(CASE WHEN b.customer_id IS NULL THEN 0 ELSE 1 END AS BIGINT) AS label,
   CAST(CASE WHEN s.purchase_propensity_score >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS prediction
   FROM g_customer_scores s LEFT JOIN has_bought b ON b.customer_id=s.customer_id)"""
@@ -186,9 +194,11 @@ def _quality() -> dict[str, str]:
 
     return {
         "dq_primary_key": stack(
-            "customers ga4_events orders subscriptions ab_test_assignments customer_scores",
+            "customers marketing_spend ga4_events orders subscriptions crm_engagement ab_test_assignments customer_scores",
             [
                 key("customers", "customer_id"),
+                key("marketing_spend", "spend_id"),
+                key("crm_engagement", "engagement_id"),
                 key("ga4_events", "event_id"),
                 key("orders", "order_id"),
                 key("subscriptions", "subscription_id"),
@@ -197,19 +207,23 @@ def _quality() -> dict[str, str]:
             ],
         ),
         "dq_foreign_key": stack(
-            "customers ga4_events orders subscriptions crm_engagement ab_test_assignments",
-            [parent(x) for x in ("ga4_events", "orders", "subscriptions", "crm_engagement", "ab_test_assignments")],
+            "customers ga4_events orders subscriptions crm_engagement ab_test_assignments customer_scores",
+            [
+                parent(x)
+                for x in ("ga4_events", "orders", "subscriptions", "crm_engagement", "ab_test_assignments", "customer_scores")
+            ],
         ),
         "dq_not_null": stack(
-            "customers marketing_spend ga4_events orders subscriptions crm_engagement ab_test_assignments",
+            "customers marketing_spend ga4_events orders subscriptions crm_engagement ab_test_assignments customer_scores",
             [
-                *filled("customers", "signup_date"),
-                *filled("marketing_spend", "spend_date", "channel"),
-                *filled("ga4_events", "event_date"),
-                *filled("orders", "order_date"),
-                *filled("subscriptions", "start_date"),
-                *filled("crm_engagement", "sent_date"),
-                *filled("ab_test_assignments", "assigned_date"),
+                *filled("customers", "customer_id", "signup_date"),
+                *filled("marketing_spend", "spend_id", "spend_date", "channel"),
+                *filled("ga4_events", "event_id", "event_date"),
+                *filled("orders", "order_id", "order_date"),
+                *filled("subscriptions", "subscription_id", "start_date"),
+                *filled("crm_engagement", "engagement_id", "sent_date"),
+                *filled("ab_test_assignments", "assignment_id", "assigned_date"),
+                *filled("customer_scores", "customer_id", "scored_at"),
             ],
         ),
         "dq_domain": stack(
@@ -255,15 +269,19 @@ def _quality() -> dict[str, str]:
         ),
         "dq_spend_grid": text(
             "marketing_spend",
-            line("spend_grid", "n <> 1",
-                 "(SELECT count(*) AS n FROM g_marketing_spend GROUP BY spend_date, channel, campaign_name) cells"),
+            """SELECT 'spend_grid' AS "check", CAST(sum(CASE WHEN n IS NULL OR n <> 1 THEN 1 ELSE 0 END) AS BIGINT) AS bad_rows,
+  count(*) AS total_rows
+FROM (SELECT DISTINCT spend_date FROM g_marketing_spend) d
+CROSS JOIN (SELECT DISTINCT channel, campaign_name FROM g_marketing_spend) p
+LEFT JOIN (SELECT spend_date, channel, campaign_name, count(*) AS n FROM g_marketing_spend GROUP BY 1, 2, 3) cells
+  USING (spend_date, channel, campaign_name)""",
         ),
         "dq_channel_mapping": text("marketing_spend", line("channel_mapping", f"{CLEAN} IS NULL", "g_marketing_spend")),
         "dq_source_matches_channel": text(
             "customers ga4_events",
-            line("source_matches_channel", "e.source <> lower(c.acquisition_channel)",
+            line("source_matches_channel", "e.source IS DISTINCT FROM lower(c.acquisition_channel)",
                  """(SELECT customer_id, CASE device_category WHEN 'desktop' THEN 'google' WHEN 'mobile' THEN 'meta' ELSE 'organic' END
-    AS source FROM g_ga4_events) e JOIN g_customers c ON c.customer_id=e.customer_id"""),
+    AS source FROM g_ga4_events) e LEFT JOIN g_customers c ON c.customer_id=e.customer_id"""),
         ),
         "dq_variant_balance": text(
             "ab_test_assignments",
@@ -349,7 +367,8 @@ WHERE order_status='completed' ORDER BY order_date DESC, order_id LIMIT 10""",
     "top_churn_risk": text(
         "customer_scores",
         """SELECT customer_id, CAST(churn_risk_score AS DOUBLE) AS churn_risk_score,
-  CAST(purchase_propensity_score AS DOUBLE) AS purchase_propensity_score, CAST(predicted_ltv AS DOUBLE) AS predicted_ltv
+  CAST(purchase_propensity_score AS DOUBLE) AS purchase_propensity_score, CAST(predicted_ltv AS DOUBLE) AS predicted_ltv,
+  scored_at
 FROM g_customer_scores s ORDER BY s.churn_risk_score DESC NULLS LAST, customer_id LIMIT 10""",
     ),
     "checkout_eligible_customers": text(
@@ -504,8 +523,9 @@ FROM active a FULL JOIN messages m ON m.customer_id=a.customer_id""",
 FROM (SELECT 'all' AS part, is_test, n, bad FROM halves UNION ALL
   SELECT CASE WHEN is_test THEN 'test' ELSE 'train' END, is_test, n, bad FROM halves) u GROUP BY part""",
         *CHURN_STEPS,
-        f"""halves AS (SELECT {HELD_OUT} AS is_test, count(*) AS n, sum(CASE status WHEN 'cancelled' THEN 1 ELSE 0 END) AS bad
-  FROM churn WHERE status<>'paused' GROUP BY 1)""",
+        *SHARES,
+        """halves AS (SELECT is_test, count(*) AS n, sum(CASE status WHEN 'cancelled' THEN 1 ELSE 0 END) AS bad
+  FROM churn JOIN sides USING (customer_id) WHERE status<>'paused' GROUP BY 1)""",
     ),
     # windows
     "spend_rank_in_country": text(
@@ -630,7 +650,10 @@ FROM people p LEFT JOIN has_bought b ON b.customer_id=p.customer_id""",
     ),
     # splits, weights and metrics of fixed predictions
     "stratified_split": text(
-        CHURN_VIEWS, f"SELECT customer_id, {CHURNED}, {HELD_OUT} AS is_test FROM churn WHERE status<>'paused'", *CHURN_STEPS
+        CHURN_VIEWS,
+        f"SELECT customer_id, {CHURNED}, is_test FROM churn JOIN sides USING (customer_id) WHERE status<>'paused'",
+        *CHURN_STEPS,
+        *SHARES,
     ),
     "random_split": text(
         VALUE_VIEWS, f"SELECT customer_id, CAST(total_ltv AS DOUBLE) AS total_ltv, {HELD_OUT} AS is_test FROM worth", WORTH

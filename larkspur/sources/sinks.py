@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import uuid
 from collections.abc import Mapping
 from functools import reduce
@@ -11,7 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DecimalType, NumericType, StringType
 
-from larkspur.operators.scale import in_parallel
+from larkspur.operators.scale import in_parallel, keep
 from larkspur.sources.schemas import SCHEMAS, STORAGE_DATES
 
 
@@ -65,11 +66,11 @@ def write_json(datasets: Mapping[str, DataFrame], folder: str) -> None:
     in_parallel([lambda n=name, r=rows: write(n, r) for name, rows in datasets.items()])
 
 
-def record_lines(datasets: Mapping[str, DataFrame], max_rows: int | None = None) -> DataFrame:
+def record_lines(datasets: Mapping[str, DataFrame]) -> DataFrame:
     """All datasets stacked as (place, dataset, at, record): ``record`` is the row as JSON, ``at`` keeps its order."""
 
     def lines(place: int, name: str, rows: DataFrame) -> DataFrame:
-        ready = json_ready(rows if max_rows is None else rows.limit(max_rows + 1))
+        ready = json_ready(rows)
         record = F.to_json(F.struct(*[F.col(c) for c in ready.columns]), {"ignoreNullFields": "false"})
         return ready.select(
             F.lit(place).alias("place"),
@@ -81,33 +82,31 @@ def record_lines(datasets: Mapping[str, DataFrame], max_rows: int | None = None)
     return reduce(DataFrame.unionByName, [lines(i, n, rows) for i, (n, rows) in enumerate(datasets.items())])
 
 
-def json_document(datasets: Mapping[str, DataFrame], max_rows: int = 10_000) -> DataFrame:
-    """All datasets as record lists in one JSON document: one row, one column.
+def document_lines(datasets: Mapping[str, DataFrame]) -> DataFrame:
+    """All datasets as record lists of one JSON document: its lines in order, one column.
 
-    For report tables only.  One document is one task, so a dataset of more than ``max_rows`` rows is refused; larger
-    ones belong in ``write_json``.
+    No task holds a dataset: lines are sorted by ranges, and written files, read in the order of their names, make up
+    the document.
     """
-    spark = next(iter(datasets.values())).sparkSession
-    names = spark.createDataFrame([(i, n) for i, n in enumerate(datasets)], "place int, dataset string")
-    per_dataset = (
-        names.join(record_lines(datasets, max_rows).drop("dataset"), "place", "left")
-        .groupBy("place", "dataset")
-        .agg(F.array_sort(F.collect_list(F.when(F.col("record").isNotNull(), F.struct("at", "record")))).alias("rows"))
-    )
-    too_long = F.concat("dataset", F.lit(f" has more than {max_rows} rows; write it with write_json"))
-    rows = F.when(F.size("rows") > max_rows, F.raise_error(too_long)).otherwise(
-        F.array_join("rows.record", ",\n    ")
-    )
-    listed = F.concat(F.lit('  "'), "dataset", F.lit('": [\n    '), rows, F.lit("\n  ]"))
-    ordered = F.array_sort(F.collect_list(F.struct("place", listed.alias("text"))))
-    document = per_dataset.agg(ordered.alias("parts"))
-    return document.select(
-        F.concat(F.lit("{\n"), F.array_join("parts.text", ",\n"), F.lit("\n}")).alias("document")
+    records = keep(record_lines(datasets), "document-records")
+    first = records.groupBy("place").agg(F.min("at").alias("first"))  # a row per dataset
+    marked = records.join(F.broadcast(first), "place")
+    body = marked.select(
+        "place",
+        F.lit(1).alias("part"),
+        "at",
+        F.concat(F.when(F.col("at") == F.col("first"), "    ").otherwise("   ,"), "record").alias("line"),
     )
+    last = len(datasets) - 1
+    frame = [(-1, 0, 0, "{"), (last + 1, 0, 0, "}")]
+    for i, name in enumerate(datasets):
+        frame += [(i, 0, 0, f"  {json.dumps(name)}: ["), (i, 2, 0, "  ]" if i == last else "  ],")]
+    edges = records.sparkSession.createDataFrame(frame, "place int, part int, at long, line string")
+    return body.unionByName(edges).orderBy("place", "part", "at").select("line")
 
 
-def write_json_document(datasets: Mapping[str, DataFrame], folder: str, max_rows: int = 10_000) -> None:
-    json_document(datasets, max_rows).coalesce(1).write.mode("overwrite").text(folder)
+def write_json_document(datasets: Mapping[str, DataFrame], folder: str) -> None:
+    document_lines(datasets).write.mode("overwrite").text(folder)
 
 
 def typed(rows: DataFrame, name: str) -> DataFrame:
@@ -119,13 +118,21 @@ def full_refresh(rows: DataFrame, table: str, folder: str) -> str:
     """Replace the contents of a catalog table; returns the folder of the new contents.
 
     The rows go to a new folder and the table is pointed there in one catalog change at the end.  Readers see the old
-    rows or the new ones, never none, and a write that fails leaves the old rows in place.
+    rows or the new ones, never none, and a write that fails leaves the old rows in place.  Rows with other columns or types
+    than the table's are refused before anything is written.  Old folders stay, for readers still at them; give the
+    parent folder an expiry rule.
     """
     spark = rows.sparkSession
     fresh = f"{folder.rstrip('/')}/run-{uuid.uuid4().hex}"
+    known = spark.catalog.tableExists(table)
+    if known:
+        kinds = [(f.name, f.dataType) for f in spark.table(table).schema]
+        if kinds != [(f.name, f.dataType) for f in rows.schema]:
+            raise ValueError(f"{table} has other columns or types than the new rows")
     rows.write.mode("errorifexists").parquet(fresh)
-    if spark.catalog.tableExists(table):
-        spark.sql(f"ALTER TABLE {table} SET LOCATION '{fresh}'")
+    if known:
+        place = fresh.replace("\\", "\\\\").replace("'", "\\'")
+        spark.sql(f"ALTER TABLE {table} SET LOCATION '{place}'")
         spark.catalog.refreshTable(table)
     else:
         spark.catalog.createTable(table, path=fresh, source="parquet", schema=rows.schema)

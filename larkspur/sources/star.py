@@ -36,7 +36,7 @@ SELECT c_custkey AS customer_id, DATE '1995-01-01' + CAST((c_custkey*37)%2404 AS
   CASE WHEN (c_custkey*7)%20<11 THEN 'ecommerce' WHEN (c_custkey*7)%20<17 THEN 'saas' ELSE 'both' END AS customer_type
 FROM {customer} JOIN {nation} ON c_nationkey=n_nationkey""",
     "marketing_spend": """
-SELECT CAST(l_shipdate AS DATE) AS spend_date,
+SELECT l_orderkey*10+l_linenumber AS spend_id, CAST(l_shipdate AS DATE) AS spend_date,
   CASE l_linestatus WHEN 'F' THEN 'Google Ads' ELSE 'Meta Ads' END AS channel, l_returnflag AS campaign_name,
   CAST(l_quantity AS INT)*60 AS impressions, CAST(l_quantity AS INT) AS clicks,
   CAST(l_extendedprice AS DECIMAL(12,2)) AS cost, CAST(FLOOR(l_quantity/10) AS INT) AS conversions
@@ -69,7 +69,7 @@ FROM (SELECT customer_id,
          WHEN CAST(FLOOR(customer_id/7) AS BIGINT)%20<19 THEN 'cancelled' ELSE 'paused' END AS status
   FROM {customers} WHERE customer_type IN ('saas','both')) q""",
     "crm_engagement": """
-SELECT o_custkey AS customer_id,
+SELECT l_orderkey*10+l_linenumber AS engagement_id, o_custkey AS customer_id,
   CASE l_suppkey%5 WHEN 0 THEN 'Welcome Series' WHEN 1 THEN 'Cart Abandonment' WHEN 2 THEN 'Weekly Newsletter'
     WHEN 3 THEN 'Win-Back' ELSE 'Product Announcement' END AS campaign_name,
   CASE WHEN l_linenumber<=5 THEN 'email' WHEN l_linenumber=6 THEN 'push' ELSE 'sms' END AS channel,
@@ -87,7 +87,8 @@ SELECT c.customer_id,
   CASE WHEN s.customer_id IS NOT NULL THEN CAST(((c.customer_id*6151)%10001)/10000.0 AS DECIMAL(5,4)) END
     AS churn_risk_score,
   CAST(((c.customer_id*7919)%10001)/10000.0 AS DECIMAL(5,4)) AS purchase_propensity_score,
-  CAST(((c.customer_id*104729)%453600)/100.0 AS DECIMAL(10,2)) AS predicted_ltv
+  CAST(((c.customer_id*104729)%453600)/100.0 AS DECIMAL(10,2)) AS predicted_ltv,
+  TIMESTAMP '2001-12-31 00:00:00' AS scored_at
 FROM {customers} c
 LEFT JOIN (SELECT customer_id FROM {subscriptions} WHERE status='active') s ON c.customer_id=s.customer_id""",
 }

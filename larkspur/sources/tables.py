@@ -27,13 +27,17 @@ def read_table(
     reader = spark.read.schema(SCHEMAS[name]).format(fmt)
     if fmt == "csv":
         reader = reader.option("header", True)
-    rows = reader.load(path)
+    return in_range(reader.load(path), name, since, until).select(*SCHEMAS[name].names)
+
+
+def in_range(rows: DataFrame, name: str, since: date | None, until: date | None) -> DataFrame:
+    """Rows of fact ``name`` from ``since`` to ``until``, both included; a ``month`` column is limited as well."""
     for day, compare in ((since, "__ge__"), (until, "__le__")):
         if day is not None:
             rows = rows.where(getattr(F.col(STORAGE_DATES[name]), compare)(F.lit(day)))
             if "month" in rows.columns:
                 rows = rows.where(getattr(F.col("month").cast("string"), compare)(f"{day:%Y-%m}"))
-    return rows.select(*SCHEMAS[name].names)
+    return rows
 
 
 def read_jdbc(
@@ -61,10 +65,24 @@ def read_jdbc(
 class Tables:
     """The named tables, each built on first use: ``t.customers``, ``t.orders``, ..."""
 
-    def __init__(self, source: Callable[[str], DataFrame]):
+    def __init__(self, source: Callable[..., DataFrame]):
         self._source = source
         self._seen: dict[str, DataFrame] = {}
 
+    def between(self, since: date | None = None, until: date | None = None) -> Tables:
+        """The same tables with the dated facts limited to a range of days.
+
+        Of facts stored by month only the months of the range are read; other tables are whole.
+        """
+
+        def limited(name: str) -> DataFrame:
+            if name not in STORAGE_DATES:
+                return getattr(self, name)
+            ranged = getattr(self._source, "ranged", None)
+            return ranged(name, since, until) if ranged else in_range(getattr(self, name), name, since, until)
+
+        return Tables(limited)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name.startswith("_") or name not in SCHEMAS:
             raise AttributeError(name)
@@ -75,7 +93,11 @@ class Tables:
     @classmethod
     def from_folder(cls, spark: SparkSession, folder: str, fmt: str = "parquet") -> Tables:
         """One sub-folder per table."""
-        return cls(lambda name: read_table(spark, name, f"{folder.rstrip('/')}/{name}", fmt))
+        def whole(name: str, since: date | None = None, until: date | None = None) -> DataFrame:
+            return read_table(spark, name, f"{folder.rstrip('/')}/{name}", fmt, since, until)
+
+        whole.ranged = whole
+        return cls(whole)
 
     @classmethod
     def from_frames(cls, frames: Mapping[str, DataFrame]) -> Tables:

@@ -4,6 +4,7 @@ from datetime import date, datetime, timedelta
 from decimal import Decimal as D
 
 import pytest
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -157,16 +158,41 @@ def test_unseen_and_quoted_levels(spark):
     assert encoder.names == ["kind_back\\slash", "kind_it's"]
     new = spark.createDataFrame([(1, "it's"), (2, "new"), (3, None), (4, "back\\slash")], rows.schema)
     want = [(0, 1), (0, 0), (0, 0), (1, 0)]
-    for encoded in (encoder.apply(new), encoder.stage().transform(new)):
-        assert [tuple(r) for r in encoded.orderBy("customer_id").select(*[f"`{c}`" for c in encoder.names]).collect()] == want
+    encoded = encoder.apply(new).orderBy("customer_id")
+    assert [tuple(r) for r in encoded.select(*[f"`{c}`" for c in encoder.names]).collect()] == want
+    staged = Pipeline(stages=[*encoder.stages(), prepare.assembler([], encoder)]).fit(rows).transform(new).orderBy("customer_id")
+    assert [tuple(r.features.toArray()) for r in staged.select("features").collect()] == want
     aligned = prepare.align_features(encoder.apply(new), ["kind_it's", "kind_other", "customer_id"])
     assert [tuple(r) for r in aligned.orderBy("customer_id").collect()] == [(1, 0, 1), (0, 0, 2), (0, 0, 3), (0, 0, 4)]
 
 
-def test_too_many_levels_are_refused(spark):
-    rows = spark.range(1500).select(F.col("id").cast("string").alias("kind"))
-    with pytest.raises(ValueError, match="not categories"):
-        prepare.Encoder.fit(rows, ["kind"])
+def test_many_levels_fit_and_score(spark):
+    levels = [F.concat(F.lit(c), (F.col("customer_id") * k % 400).cast("string")).alias(c) for c, k in (("a", 1), ("b", 3), ("c", 7))]
+    rows = spark.range(1, 1201).withColumnRenamed("id", "customer_id").select(
+        "customer_id", (F.col("customer_id") % 400).cast("double").alias("v"), (F.col("customer_id") % 5 == 0).alias("is_test"), *levels
+    )
+    study = Study(rows, "customer_id", "v", (), ("a", "b", "c"))
+    model = train.linear(study)
+    known = {c: {r[c] for r in study.train.select(c).distinct().collect()} for c in ("a", "b", "c")}
+    assert len(train.feature_names(model)) == sum(len(v) - 1 for v in known.values()) > 900
+    assert model.transform(study.test).count() == 240
+
+
+def test_one_level_is_no_feature(spark):
+    rows = spark.createDataFrame([(i, "x", float(i), False) for i in range(8)], "customer_id long, kind string, v double, is_test boolean")
+    model = train.linear(Study(rows.withColumn("w", F.col("v") * 2), "customer_id", "w", ("v",), ("kind",)))
+    assert train.feature_names(model) == ["v"]
+
+
+def test_models_do_not_depend_on_how_rows_arrive(forest, planted):
+    """The same rows in another number of partitions, in another order: the same trees."""
+    moved = Study(planted.repartition(7).sortWithinPartitions(F.desc("x1")), "customer_id", "y", ("x1", "x2", "x3"), ("kind",))
+    few = Study(planted.coalesce(1), "customer_id", "y", ("x1", "x2", "x3"), ("kind",))
+    scores = [
+        [tuple(r) for r in train.predict_class(train.forest_classifier(s, 8, 4), planted).orderBy("customer_id").collect()]
+        for s in (moved, few)
+    ]
+    assert scores[0] == scores[1]
 
 
 def test_class_weights_balance(spark):

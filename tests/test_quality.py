@@ -78,7 +78,7 @@ def test_rules_between_columns(t):
 def test_rules_between_tables(t):
     assert check(quality.orders_vs_purchases(t)) == {"orders_vs_purchases": (1, 2)}
     one_each = t.customers.where("signup_date is not null")
-    assert check(quality.source_matches_channel(t.ga4_events, one_each)) == {"source_matches_channel": (1, 3)}
+    assert check(quality.source_matches_channel(t.ga4_events, one_each)) == {"source_matches_channel": (3, 5)}
 
 
 def test_distributions(t):
@@ -86,6 +86,13 @@ def test_distributions(t):
     assert check(quality.variant_balance(t)) == {"variant_balance:x": (20, 40)}
 
 
+def test_absent_cells_of_the_grid_are_bad(make):
+    cells = [(5, "a"), (6, "a"), (5, "b"), (5, None), (6, None), (6, None)]
+    spend = [{"spend_id": i, "spend_date": date(2026, 1, d), "channel": "Google Ads", "campaign_name": c} for i, (d, c) in enumerate(cells)]
+    assert check(quality.spend_grid(make(marketing_spend=spend))) == {"spend_grid": (2, 6)}  # (6, b) absent, (6, none) doubled
+    assert check(quality.spend_grid(make())) == {"spend_grid": (0, 0)}
+
+
 def test_report_stacks_checks(t):
     both = quality.report(quality.spend_grid(t), quality.order_total(t.orders))
     assert set(check(both)) == {"spend_grid", "order_total"}

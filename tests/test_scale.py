@@ -9,7 +9,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from larkspur.catalog import MODEL_QUERIES, QUERIES
-from larkspur.operators import ids, scale, windows
+from larkspur.operators import aggregates, ids, scale, windows
 from larkspur.operators.aggregates import target_summary
 from larkspur.plans import features, metrics
 
@@ -123,16 +123,35 @@ def test_rank_with_a_spend_many_share(make):
             for i, s in enumerate(spends)
         ],
     )
-    for group_rows in (0, 5, 100):
-        got = {r.customer_id: r.spend_rank for r in windows.spend_rank_in_country(t, group_rows).collect()}
-        assert len(got) == len(spends)
-        for i, s in enumerate(spends):
-            assert got[i] == 1 + sum(1 for j, other in enumerate(spends) if j % 2 == i % 2 and other > s)
-
+    got = {r.customer_id: r.spend_rank for r in windows.spend_rank_in_country(t).collect()}
+    assert len(got) == len(spends)
+    for i, s in enumerate(spends):
+        assert got[i] == 1 + sum(1 for j, other in enumerate(spends) if j % 2 == i % 2 and other > s)
+
+
+@pytest.mark.parametrize("digits", [1, 4])
+def test_stratified_parts_hold_every_class_share(spark, digits):
+    rows = spark.range(1000).selectExpr("id AS k", "cast(id % 7 = 0 AS int) AS y").repartition(5)
+    rows = rows.union(spark.createDataFrame([(3, 1), (7, 0)], "k long, y int"))  # a second row, of another class
+    split = ids.stratified_hold_out(rows, "k", "y", digits=digits).collect()
+    label, side = {}, {}
+    for r in split:
+        label[r.k] = max(label.get(r.k, 0), r.y)
+        assert side.setdefault(r.k, r.is_test) == r.is_test
+    for y in (0, 1):
+        mine = [k for k in label if label[k] == y]
+        assert sum(side[k] for k in mine) == round(0.2 * len(mine))
+    assert len(split) == 1002 and ids.stratified_hold_out(rows.where("false"), "k", "y").count() == 0
+
+
+@pytest.mark.parametrize("values", [["0.35"] * 7, ["4.35"] * 7, ["0.29"] * 3, ["1.13"] * 1000, ["0.07"] * 3, ["1000000.01", "1000000.02"], ["-3.00", "5.50", "1.25"]])
+def test_spread_of_close_values(spark, values):
+    import statistics
+    from decimal import Decimal as D
 
-def test_rank_from_counts_equals_rank_by_sorting(star):
-    by_counts = windows.spend_rank_in_country(star, group_rows=0)
-    assert sorted(map(tuple, by_counts.collect())) == sorted(map(tuple, windows.spend_rank_in_country(star).collect()))
+    rows = spark.createDataFrame([(D(v),) for v in values] + [(None,)], "v decimal(12,2)")
+    got = aggregates.target_summary(rows, "v").first()
+    assert got.std == pytest.approx(float(statistics.stdev(map(D, values))), abs=1e-12) and got["count"] == len(values)
 
 
 def test_ids_are_gapless_and_do_not_depend_on_partitions(spark):

@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from larkspur import Tables
+from larkspur.operators import aggregates
 from larkspur.plans import exports, reports
 from larkspur.sources import sinks
 from larkspur.sources.schemas import PRIMARY_KEYS, SCHEMAS
@@ -57,9 +58,7 @@ def datasets(star):
 
 def test_json_document(star, datasets, tmp_path):
     exports.export_bundle(star, AS_OF, str(tmp_path / "doc"))
-    files = list((tmp_path / "doc").glob("*.txt"))
-    assert len(files) == 1
-    document = json.loads(files[0].read_text())
+    document = json.loads("".join(p.read_text() for p in sorted((tmp_path / "doc").glob("*.txt"))))
     assert list(document) == SECTIONS == list(datasets)
     for name, frame in datasets.items():
         assert len(document[name]) == frame.count()
@@ -69,11 +68,38 @@ def test_json_document(star, datasets, tmp_path):
     assert set(document["ab_test_all_time"][0]) == {"variant", "total_assigned", "total_converted", "conversion_rate_pct"}
 
 
-def test_json_document_keeps_empty_sections_and_refuses_large_ones(spark):
-    frames = {"none": spark.range(0), "some": spark.range(3)}
-    assert json.loads(sinks.json_document(frames).first()[0]) == {"none": [], "some": [{"id": 0}, {"id": 1}, {"id": 2}]}
-    with pytest.raises(Exception, match="more than 2 rows"):
-        sinks.json_document(frames, max_rows=2).collect()
+def test_json_document_keeps_empty_and_large_sections(spark, tmp_path):
+    frames = {"none": spark.range(0), "some": spark.range(3), 'large "one"': spark.range(10_001), "last": spark.range(0)}
+    sinks.write_json_document(frames, str(tmp_path / "doc"))
+    document = json.loads("".join(p.read_text() for p in sorted((tmp_path / "doc").glob("*.txt"))))
+    assert document == {n: [{"id": i} for i in range(k)] for n, k in zip(frames, (0, 3, 10_001, 0), strict=True)}
+
+
+def test_refresh_refuses_other_columns(spark, tmp_path):
+    sinks.full_refresh(spark.range(3), "refresh_shape", str(tmp_path / "it's"))
+    with pytest.raises(ValueError, match="other columns"):
+        sinks.full_refresh(spark.range(3).selectExpr("cast(id AS string) AS id"), "refresh_shape", str(tmp_path / "it's"))
+    sinks.full_refresh(spark.range(5), "refresh_shape", str(tmp_path / "it's"))
+    assert spark.table("refresh_shape").count() == 5
+
+
+def test_a_year_reads_only_its_months(spark, make, tmp_path):
+    days = [date(y, m, 3) for y in (2025, 2026) for m in (1, 6, 12)]
+    t = make(
+        ga4_events=[{"event_id": i, "event_date": d, "event_name": "page_view"} for i, d in enumerate(days)],
+        marketing_spend=[{"spend_id": i, "spend_date": d, "channel": "Google Ads", "cost": D("5")} for i, d in enumerate(days)],
+    )
+    for name in ("ga4_events", "marketing_spend"):
+        sinks.store_table(getattr(t, name), name, str(tmp_path / name))
+    stored = Tables.from_folder(spark, str(tmp_path))
+    year = stored.between(date(2026, 1, 1), date(2026, 12, 31))
+    for build in (
+        lambda x: reports.report_funnel_pct(aggregates.funnel_by_year(x), 2026),
+        lambda x: reports.report_spend_pivot(aggregates.spend_trend_by_channel(x), 2026),
+    ):
+        pruned, whole = build(year), build(stored)
+        assert pruned.collect() == whole.collect() == build(t).collect() == build(t.between(date(2026, 1, 1), date(2026, 12, 31))).collect()
+        assert "PartitionFilters: [isnotnull(month" in pruned._jdf.queryExecution().executedPlan().toString()
 
 
 def test_json_folders(spark, datasets, tmp_path):
