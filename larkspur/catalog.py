@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, FloatType, IntegerType, ShortType
 
+from larkspur.model_facts import FACT_ORACLES, fact_queries
 from larkspur.models import evaluate, explain, score, train
 from larkspur.models.prepare import align_features, class_weights, one_hot_drop_first
 from larkspur.operators import aggregates, experiment, filters, ids, joins, quality, windows
 from larkspur.operators.scale import work_folder
-from larkspur.oracles import BUYER_COUNTRY, MIN_ORDERS, REPORT_YEAR
+from larkspur.oracles import BUYER_COUNTRY, MIN_ORDERS, ORACLES, REPORT_YEAR
 from larkspur.plans import exports, features, metrics, reports
 from larkspur.sources import sinks
 from larkspur.sources.schemas import PRIMARY_KEYS, SCHEMAS, VOCABULARY
@@ -477,6 +478,9 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+ORACLES.update(FACT_ORACLES)
+
+
 def _table_query(build: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, folder: plain(build(tables(spark, folder)))
 
@@ -485,7 +489,10 @@ def _model_query(build: Callable[[SparkSession, Lab], DataFrame]) -> Query:
     return lambda spark, folder: plain(build(spark, lab(spark, folder)))
 
 
+FACT_QUERIES = fact_queries(_save_and_back)
+
 QUERIES: dict[str, Query] = {
     **{name: _table_query(build) for name, build in TABLE_QUERIES.items()},
     **{name: _model_query(build) for name, build in MODEL_QUERIES.items()},
+    **{name: _model_query(build) for name, build in FACT_QUERIES.items()},
 }
