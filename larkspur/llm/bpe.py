@@ -11,17 +11,16 @@ from __future__ import annotations
 import base64
 import json
 import re
+from array import array
 from collections.abc import Iterator
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from larkspur.llm.common import adding, decoded, packed
+from larkspur.llm.common import BATCH_ROWS, adding, decoded, packed, small
 
-CACHE_PIECES = 400_000  # distinct pieces whose ids a task remembers before it starts anew
-BATCH_ROWS = 500
+CACHE_PIECES = 300_000  # distinct pieces whose ids a task remembers before it starts anew
 
 
 def byte_characters() -> list[str]:
@@ -61,23 +60,22 @@ def library_model(ranks: dict[bytes, int]) -> str:
     )
 
 
-def _class(name: str) -> str:
-    """The characters of a Unicode class as the tokenizers library sees them, as ranges for a character set."""
-    from tokenizers import Regex, pre_tokenizers
+def _class(name: str, last: int) -> str:
+    """The characters up to ``last`` of a Unicode class, as the tokenizers library sees it, as ranges of a character set."""
+    from tokenizers import Regex, normalizers
 
-    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
-    rest = pre_tokenizers.Split(Regex(f"{name}+"), "removed").pre_tokenize_str(every)
-    inside = np.ones(0x110000 + 1, bool)
-    inside[0xD800:0xE000] = inside[0x110000] = False
-    inside[[ord(c) for part, _ in rest for c in part]] = False
+    every = "".join(chr(c) for c in range(last + 1) if not 0xD800 <= c < 0xE000)
+    inside = np.zeros(last + 2, bool)
+    inside[[ord(c) for c in normalizers.Replace(Regex(f"[^{name}]+"), "").normalize_str(every)]] = True
     edges = np.flatnonzero(np.diff(inside.astype(np.int8), prepend=0))
     return "".join(f"\\U{a:08x}-\\U{b - 1:08x}" for a, b in edges.reshape(-1, 2).tolist())
 
 
-def python_pattern(pattern: str) -> str:
-    """``pattern`` for Python's ``re``: Unicode classes written out, so that both libraries' Unicode versions agree."""
+def python_pattern(pattern: str, last: int = 0x10FFFF) -> str:
+    """``pattern`` for Python's ``re`` and characters up to ``last``: Unicode classes are written out, so that both
+    libraries' Unicode versions agree."""
     for name, negated in ((r"\p{L}", None), (r"\p{N}", None), (r"\s", r"\S")):
-        ranges = _class(name)
+        ranges = _class(name, last)
         inside = re.sub(r"\[[^\]]*\]", lambda m, name=name, ranges=ranges: m[0].replace(name, ranges), pattern)
         pattern = "".join(
             part if part.startswith("[") else part.replace(name, f"[{ranges}]").replace(negated or name, f"[^{ranges}]")
@@ -86,19 +84,23 @@ def python_pattern(pattern: str) -> str:
     return pattern
 
 
-def encode(documents: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False) -> DataFrame:
+def encode(
+    documents: DataFrame, path: str, pattern: str, text: str = "text", offsets: bool = False, back: bool = False
+) -> DataFrame:
     """``(row, ids)`` per row: the token ids of its whole text, without special tokens; null texts are empty.
 
     With ``offsets`` also ``begins`` and ``stops``: the characters of the text that each token touches, so tokens that
-    split a character all report it.  Text is cut into the matches of ``pattern``, each encoded by itself; characters no
+    split a character all report it.  With ``back`` also ``bytes``: the ids decoded again, as ``decode`` does, in the same
+    pass.  Text is cut into the matches of ``pattern``, each encoded by itself; characters no
     match covers have no token.  Nothing in a text stands for a special token.  Repeated rows, extra columns and empty
     tables are as good as any.  The rank file is read once, by the driver.
     """
     rows = packed(documents)
     ranks = read_ranks(path)
     model, cut = library_model(ranks), python_pattern(pattern)
-    lengths = np.zeros(max(ranks.values()) + 1, np.int64)
-    lengths[list(ranks.values())] = [len(t) for t in ranks]
+    short = python_pattern(pattern, 0xFFFF)  # the same for texts without characters beyond, and much faster
+    table = _token_table(ranks)
+    lengths = np.array([len(t or b"") for t in table])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -106,27 +108,32 @@ def encode(documents: DataFrame, path: str, pattern: str, text: str = "text", of
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        library, matches = Tokenizer.from_str(model), re.compile(cut)
-        seen: dict[str, list[int]] = {}
-        for batch in batches:
-            for low in range(0, batch.num_rows, BATCH_ROWS):
-                row = batch.column(0).slice(low, BATCH_ROWS)
-                cuts = [matches.findall(t or "") for t in decoded(row.field(text))]
-                fresh = list(set().union(*cuts).difference(seen))
-                if len(seen) + len(fresh) > CACHE_PIECES:
-                    seen.clear()
-                    fresh = list(set().union(*cuts))
-                seen.update(zip(fresh, (e.ids for e in library.encode_batch_fast(fresh, add_special_tokens=False)), strict=True))
-                ids = [np.fromiter(chain.from_iterable(map(seen.__getitem__, c)), np.int32) for c in cuts]
-                ends = np.concatenate([[0], np.cumsum([len(i) for i in ids])]).astype(np.int32)
-                flat = np.concatenate([*ids, np.zeros(0, np.int32)])
-                columns = [row, pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
-                if offsets:
-                    touched = [_touched(t or "", i, lengths, matches) for t, i in zip(decoded(row.field(text)), ids, strict=True)]
-                    columns += [pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([t[k] for t in touched]))) for k in (0, 1)]
-                yield pa.record_batch(columns, ["row", "ids", "begins", "stops"][: len(columns)])
-
-    shape = "ids array<int>" + (", begins array<int>, stops array<int>" if offsets else "")
+        library, beyond = Tokenizer.from_str(model), re.compile("[\U00010000-\U0010ffff]")
+        whole, basic = re.compile(cut), re.compile(short)
+        seen: dict[str, bytes] = {}  # ids of a piece as 32-bit integers
+        for batch in small(batches):
+            row = batch.column(0)
+            texts = [t or "" for t in decoded(row.field(text))]
+            cuts = [(whole if beyond.search(t) else basic).findall(t) for t in texts]
+            fresh = list(set().union(*cuts).difference(seen))
+            if len(seen) + len(fresh) > CACHE_PIECES:
+                seen.clear()
+                fresh = list(set().union(*cuts))
+            for low in range(0, len(fresh), BATCH_ROWS):
+                part = fresh[low : low + BATCH_ROWS]
+                seen.update(zip(part, (array("i", e.ids).tobytes() for e in library.encode_batch_fast(part, add_special_tokens=False)), strict=True))
+            ids = [b"".join(map(seen.__getitem__, c)) for c in cuts]
+            ends = pa.array(np.cumsum([0, *(len(i) // 4 for i in ids)]).astype(np.int32))
+            columns = [row, pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), np.int32)))]
+            if offsets:
+                touched = [_touched(t, np.frombuffer(i, np.int32), lengths, whole) for t, i in zip(texts, ids, strict=True)]
+                columns += [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([t[k] for t in touched]))) for k in (0, 1)]
+            if back:
+                columns.append(pa.array([_bytes_of(np.frombuffer(i, np.int32).tolist(), table) for i in ids], pa.binary()))
+            yield pa.record_batch(columns, names)
+
+    shape = "ids array<int>" + ", begins array<int>, stops array<int>" * offsets + ", bytes binary" * back
+    names = ["row", "ids"] + ["begins", "stops"] * offsets + ["bytes"] * back
     return rows.mapInArrow(run, adding(rows.schema, shape))
 
 
@@ -140,6 +147,18 @@ def _touched(text: str, ids: np.ndarray, lengths: np.ndarray, matches: re.Patter
     return character_of[begins].astype(np.int32), (character_of[stops - 1] + 1).astype(np.int32)
 
 
+def _token_table(ranks: dict[bytes, int]) -> list[bytes | None]:
+    table: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+    for token, i in ranks.items():
+        table[i] = token
+    return table
+
+
+def _bytes_of(ids: list[int], table: list[bytes | None]) -> bytes:
+    """The bytes of tokens joined: parts of a split character meet again."""
+    return b"".join(map(table.__getitem__, ids))
+
+
 def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     """``(row, bytes)`` per row of ``encoded``: the bytes that its ids stand for; null ids give no bytes.
 
@@ -147,16 +166,12 @@ def decode(encoded: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     An id that the rank file lacks is an error.
     """
     rows = packed(encoded)
-    ranks = read_ranks(path)
-    table: list[bytes | None] = [None] * (max(ranks.values()) + 1)
-    for token, i in ranks.items():
-        table[i] = token
+    table = _token_table(read_ranks(path))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for low in range(0, batch.num_rows, BATCH_ROWS):
-                row = batch.column(0).slice(low, BATCH_ROWS)
-                out = [b"".join(map(table.__getitem__, i or ())) for i in row.field(ids).to_pylist()]
-                yield pa.record_batch([row, pa.array(out, pa.binary())], ["row", "bytes"])
+        for batch in small(batches):
+            row = batch.column(0)
+            out = [_bytes_of(i or [], table) for i in row.field(ids).to_pylist()]
+            yield pa.record_batch([row, pa.array(out, pa.binary())], ["row", "bytes"])
 
     return rows.mapInArrow(run, adding(rows.schema, "bytes binary"))

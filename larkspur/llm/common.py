@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 GROUP_BYTES = 8_000_000  # text that one Python call holds at a time
-PIECE_BYTES = 2_000_000  # text that one vectorised step handles; a longer text is a piece of its own
+BATCH_ROWS = 500  # rows whose Python objects a task holds at a time; Arrow batches may be larger
+PIECE_BYTES = 500_000  # text that one vectorised step handles; a longer text is a piece of its own
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -58,6 +59,13 @@ def group_of(key: str, text: str | None, groups: int) -> Column:
     return F.pmod(F.xxhash64(k, spread), F.lit(groups)).cast("int")
 
 
+def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of at most ``BATCH_ROWS``, without copying them."""
+    for batch in batches:
+        for low in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(low, BATCH_ROWS)
+
+
 def decoded(column: pa.Array | pa.ChunkedArray) -> list[str | None]:
     """Python strings of a string column; bytes that are no UTF-8 become replacement characters."""
     try:

@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import PIECE_BYTES, adding, codepoints, decoded, packed
+from larkspur.llm.common import PIECE_BYTES, adding, codepoints, decoded, packed, small
 
 LENGTH = 400  # n-grams in a profile
 UNKNOWN = "und"
@@ -77,7 +77,7 @@ def profiles(labelled: DataFrame, text: str = "text", lang: str = "lang", length
                 )
             held.clear()
 
-        for batch in batches:
+        for batch in small(batches):
             for name, t in zip(batch.column(0).to_pylist(), decoded(batch.column(1)), strict=True):
                 held.setdefault(name, []).append(ngrams(t, letters))
                 size += len(t)
@@ -122,7 +122,7 @@ def identify(documents: DataFrame, known: DataFrame, text: str = "text", length:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         letters = _letters()
-        for batch in batches:
+        for batch in small(batches):
             row = batch.column(0)
             said = [judge(t, letters) for t in decoded(row.field(text))]
             lang = pa.array([s[0] for s in said], pa.string())

@@ -54,12 +54,11 @@ def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
 def token_digests(documents: DataFrame) -> DataFrame:
     """Tokens of every document, and what they decode to, as counts and digests."""
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
-    encoded = bpe.encode(documents.select("doc_id", "text"), path, public_tokenizers.PATTERN)
-    back = bpe.decode(encoded.select("row.doc_id", "ids"), path)
-    listed = F.array_join(F.col("row.ids").cast("array<string>"), ",")
-    return back.select(
+    encoded = bpe.encode(documents.select("doc_id", "text"), path, public_tokenizers.PATTERN, back=True)
+    listed = F.array_join(F.col("ids").cast("array<string>"), ",")
+    return encoded.select(
         "row.doc_id",
-        F.size("row.ids").cast("bigint").alias("n_tokens"),
+        F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(listed.cast("binary"), 256).alias("ids_sha256"),
         F.sha2("bytes", 256).alias("decoded_sha256"),
     )

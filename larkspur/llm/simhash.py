@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import adding, checkpointed, packed, text_bytes
+from larkspur.llm.common import adding, checkpointed, packed, small, text_bytes
 from larkspur.llm.graph import components, forest
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
@@ -52,7 +52,7 @@ def fingerprints(documents: DataFrame, text: str = "text", shingle: int = SHINGL
     rows = packed(documents)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             row = batch.column(0)
             found = [fingerprint(t, shingle, seed) for t in text_bytes(row.field(text))]
             yield pa.record_batch([row, pa.array(np.array(found, np.uint64).view(np.int64), pa.int64())], ["row", "fp"])
