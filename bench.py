@@ -5,7 +5,8 @@ BENCH_CPUS     local cores (default 8)
 BENCH_REPEATS  timed runs per query after one warm-up (default 3); the median counts
 
 Every run builds the query anew and consumes every column of every row; nothing is cached between runs.  Models are
-trained once, timed as ``train_models``, since the scoring job reads finished models.
+trained once, timed as ``train_models`` and ``permutation_importance``, since the scoring job reads finished models; both
+cold runs count in the sum.
 """
 
 from __future__ import annotations
@@ -68,15 +69,16 @@ def main() -> None:
         models.churn_forest(), models.propensity_balanced(), models.ltv_forest()
 
     seconds = {"train_models": timed(train_models)}
+    seconds["permutation_importance"] = timed(lambda: consume(QUERIES["permutation_importance"](spark, folder)))
     for name in HEADLINES:
         run = lambda name=name: consume(QUERIES[name](spark, folder))
         run()
         seconds[name] = statistics.median(timed(run) for _ in range(repeats))
-    total = sum(seconds[name] for name in HEADLINES)
+    total = sum(seconds.values())
     print(
         json.dumps(
             {
-                "metric": "headline queries, sum of warm medians",
+                "metric": "training, importance (cold) and headline queries (warm medians), summed",
                 "value": round(total, 3),
                 "unit": "sec",
                 "queries": {name: round(s, 3) for name, s in seconds.items()},

@@ -27,9 +27,9 @@ LOGISTIC_ITERATIONS = 1000
 # Not a model setting: memory a task may use for split statistics.  The default of 256 MB needs several passes over
 # the rows per tree level for 200 trees.
 STATISTICS_MB = 512
-# A model setting too, since sampling is seeded per partition: trees depend on it, and on nothing a cluster has.  Raise it
-# with the number of training rows.
-TRAIN_PARTS = 16
+# Partitions that training rows are dealt into.  A model setting too, since sampling is seeded per partition: trees depend
+# on it, and on nothing a cluster has.  For large tables pass more to the studies, about one per million rows.
+TRAIN_PARTS = 8
 
 _MESSAGE_NUMBERS = ["crm_emails_sent", "crm_emails_opened", "crm_emails_clicked"]
 CHURN_RAW = ["tenure_months", "mrr", "total_events", "active_days", *_MESSAGE_NUMBERS, "also_ecommerce"]
@@ -65,16 +65,16 @@ class Study:
         return self.rows.where("is_test")
 
 
-def _study(split: DataFrame, key: str, label: str, numeric: list[str], categories: list[str]) -> Study:
+def _study(split: DataFrame, key: str, label: str, numeric: list[str], categories: list[str], parts: int) -> Study:
     # Training reads the rows many times; as a table they are joined and aggregated once.
-    return Study(keep(split, f"study-{label}"), key, label, tuple(numeric), tuple(categories))
+    return Study(keep(split, f"study-{label}"), key, label, tuple(numeric), tuple(categories), parts)
 
 
-def churn_study(t: Tables, as_of: date) -> Study:
+def churn_study(t: Tables, as_of: date, parts: int = TRAIN_PARTS) -> Study:
     """Class shares are the same in both parts; several subscriptions of one customer stay on one side."""
     features = churn_features(t, as_of, keep_id=True)
     split = stratified_hold_out(features, "customer_id", "churned", SEED, TEST_SHARE)
-    return _study(split, "subscription_id", "churned", CHURN_RATE, ["plan_name"])
+    return _study(split, "subscription_id", "churned", CHURN_RATE, ["plan_name"], parts)
 
 
 def with_numbers(study: Study, numeric: list[str]) -> Study:
@@ -82,15 +82,15 @@ def with_numbers(study: Study, numeric: list[str]) -> Study:
     return replace(study, numeric=tuple(numeric))
 
 
-def propensity_study(t: Tables, as_of: date) -> Study:
+def propensity_study(t: Tables, as_of: date, parts: int = TRAIN_PARTS) -> Study:
     split = stratified_hold_out(propensity_features(t, as_of), "customer_id", "purchased", SEED, TEST_SHARE)
-    return _study(split, "customer_id", "purchased", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES)
+    return _study(split, "customer_id", "purchased", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES, parts)
 
 
-def ltv_study(t: Tables, as_of: date) -> Study:
+def ltv_study(t: Tables, as_of: date, parts: int = TRAIN_PARTS) -> Study:
     features = log_target(ltv_features(t, as_of)).drop("back")
     split = hold_out(features, "customer_id", SEED, TEST_SHARE)
-    return _study(split, "customer_id", "log_ltv", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES)
+    return _study(split, "customer_id", "log_ltv", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES, parts)
 
 
 def fit(study: Study, estimator: Estimator, balanced: bool = False) -> PipelineModel:
