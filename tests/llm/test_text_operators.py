@@ -176,6 +176,8 @@ def test_tokens_equal_the_reference_library(spark, docs):
         assert list(r.ids) == reference.encode_ordinary(text), text
         for token, begin, stop in zip(r.ids, r.begins, r.stops, strict=True):
             assert reference.decode_single_token_bytes(token) in text[begin:stop].encode()
+    once = bpe.encode(frame, RANKS, public_tokenizers.PATTERN, back=True).select("row.doc_id", "bytes").collect()
+    assert all(bytes(r.bytes).decode() == (texts[r.doc_id] or "") for r in once) and len(once) == len(texts)
     back = bpe.decode(encoded.select("row.doc_id", "ids"), RANKS).select("row.doc_id", "bytes").collect()
     assert all(bytes(r.bytes).decode() == (texts[r.doc_id] or "") for r in back) and len(back) == len(texts)
 
