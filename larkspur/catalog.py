@@ -8,9 +8,9 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 from datetime import datetime
-from functools import cache
+from functools import cache, reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, FloatType, IntegerType, ShortType
 
@@ -125,10 +125,6 @@ def _quality_sources(t: Tables) -> DataFrame:
     return quality.source_matches_channel(t.ga4_events.withColumn("traffic_source", source), t.customers)
 
 
-def _export_rows(datasets: dict[str, DataFrame]) -> DataFrame:
-    return sinks.record_lines(datasets).groupBy("dataset").agg(F.count(F.lit(1)).alias("record_count"))
-
-
 def _ab_every_year(t: Tables) -> DataFrame:
     return reports.report_ab_every_year(aggregates.customer_growth(t), aggregates.ab_conversion_by_year(t))
 
@@ -152,8 +148,15 @@ def _json_and_back(t: Tables) -> DataFrame:
     return read_table(t.customers.sparkSession, "customers", f"{folder}/customers", "json")
 
 
+def _fields(records: DataFrame) -> DataFrame:
+    """Every value of ``records(dataset, place, record)``, a record being a map of text: numbers as numbers, the rest as text."""
+    values = records.select("dataset", F.col("place").cast("bigint").alias("place"), F.explode("record").alias("field", "shown"))
+    number = F.col("shown").try_cast("double")
+    return values.select("dataset", "place", "field", number.alias("number"), F.when(number.isNull(), F.col("shown")).alias("words"))
+
+
 def _document_and_back(t: Tables) -> DataFrame:
-    """Records per section of the exported JSON document."""
+    """Every value of the exported JSON document."""
     folder = _place(t.customers, "document")
     exports.export_bundle(t, AS_OF, folder)
     files = t.customers.sparkSession.read.text(folder, wholetext=True).select(F.input_file_name().alias("file"), "value")
@@ -161,7 +164,21 @@ def _document_and_back(t: Tables) -> DataFrame:
     text = files.agg(F.array_join(F.transform(ordered, lambda f: f["value"]), "").alias("value"))
     sections = F.from_json("value", "map<string, array<map<string, string>>>")
     listed = text.select(F.explode(sections).alias("dataset", "records"))
-    return listed.select("dataset", F.size("records").cast("bigint").alias("record_count"))
+    return _fields(listed.select("dataset", F.posexplode("records").alias("place", "record")).withColumn("place", F.col("place") + 1))
+
+
+def _csvs_and_back(t: Tables) -> DataFrame:
+    """Every value of the exported CSV files."""
+    spark, folder = t.customers.sparkSession, _place(t.customers, "csvs")
+    names = exports.export_csvs(t, AS_OF, folder)
+
+    def read(name: str) -> DataFrame:
+        rows = spark.read.option("header", True).csv(f"{folder}/{name}")
+        record = F.create_map(*[x for c in rows.columns for x in (F.lit(c), F.col(c))])
+        placed = Window.orderBy(F.monotonically_increasing_id())  # a report of a few rows in one file
+        return rows.select(F.lit(name).alias("dataset"), F.row_number().over(placed).alias("place"), record.alias("record"))
+
+    return _fields(reduce(DataFrame.unionByName, map(read, names)))
 
 
 def _append_and_back(t: Tables) -> DataFrame:
@@ -473,8 +490,8 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         reports.report_propensity_bands(aggregates.propensity_bands_by_year(t))
     ),
     "report_ab": _ab_every_year,
-    "export_bundle": lambda t: _export_rows(exports.json_datasets(t, AS_OF)),
-    "export_csvs": lambda t: _export_rows(exports.csv_datasets(t, AS_OF)),
+    "export_bundle": _document_and_back,
+    "export_csvs": _csvs_and_back,
 }
 
 

@@ -108,7 +108,7 @@ def platform_trend(monthly: DataFrame) -> DataFrame:
         channel_clean(F.col("platform")).alias("channel"),
         F.col("cost").alias("spend"),
         "conversions",
-    ).orderBy("year", "month_num")
+    ).orderBy("year", "month_num", F.col("channel").asc_nulls_last(), "spend", "conversions")
 
 
 def channel_trend(monthly: DataFrame) -> DataFrame:

@@ -35,7 +35,8 @@ def work_folder(spark: SparkSession) -> str:
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     return _local_folder()
 

@@ -293,46 +293,6 @@ FROM (SELECT experiment_name, sum(CASE WHEN variant='A' THEN 1 ELSE 0 END) AS a,
     }
 
 
-def _export_rows(parts: dict[str, tuple[str, str]], views: str, *steps: str) -> str:
-    lines = [f"SELECT '{name}' AS dataset, count(*) AS record_count FROM ({sql}) x" for name, sql in parts.items()]
-    return text(views, "\nUNION ALL ".join(lines), *steps)
-
-
-_PER_YEAR_MONTH = "SELECT DISTINCT year({0}), month({0}){2} FROM {1}"
-_SEEN = visits("g_ga4_events", "event_date", "month")[0]
-_EXPORTS = {
-    "export_bundle": _export_rows(
-        {
-            "customer_growth": _PER_YEAR_MONTH.format("signup_date", "g_customers", ""),
-            "spend_trend": _PER_YEAR_MONTH.format("spend_date", "g_marketing_spend", ", channel"),
-            "channel_performance_by_year": f"SELECT DISTINCT year(signup_date), acquisition_channel FROM g_customers WHERE acquisition_channel IN {PAID}",
-            "channel_performance_all_time": "SELECT * FROM perf",
-            "funnel_by_year": "SELECT DISTINCT year(event_date), event_name FROM g_ga4_events",
-            "funnel_all_time": "SELECT * FROM funnel",
-            "retention_by_year": "SELECT DISTINCT p FROM seen",
-            "churn_risk_bands_by_year": f"SELECT DISTINCT year(c.signup_date), {CHURN_BAND} FROM g_customers c JOIN g_customer_scores s ON s.customer_id=c.customer_id WHERE s.churn_risk_score IS NOT NULL",
-            "propensity_bands_by_year": f"SELECT DISTINCT year(c.signup_date), {PROPENSITY} FROM g_customers c JOIN g_customer_scores s ON s.customer_id=c.customer_id",
-            "ab_test_by_year": "SELECT DISTINCT year(assigned_date), variant FROM g_ab_test_assignments",
-            "ab_test_all_time": "SELECT DISTINCT variant FROM g_ab_test_assignments",
-        },
-        f"{VALUE_VIEWS} ga4_events customer_scores ab_test_assignments",
-        WORTH, SPENT, PERFORMANCE, FUNNEL, _SEEN,
-    ),
-    "export_csvs": _export_rows(
-        {
-            "channel_performance": "SELECT * FROM perf",
-            "funnel_conversion": "SELECT * FROM funnel",
-            "retention_curve": "SELECT DISTINCT p FROM seen",
-            "ml_risk_bands": f"SELECT DISTINCT coalesce({CHURN_BAND}, 'none'), {PROPENSITY} FROM g_customer_scores s",
-            "ab_test_results": "SELECT DISTINCT variant FROM g_ab_test_assignments",
-            "spend_trend": _PER_YEAR_MONTH.format("spend_date", "g_marketing_spend", ", channel"),
-            "customer_breakdown": "SELECT DISTINCT acquisition_channel, country, customer_type FROM g_customers",
-        },
-        f"{VALUE_VIEWS} ga4_events customer_scores ab_test_assignments",
-        WORTH, SPENT, PERFORMANCE, FUNNEL, _SEEN,
-    ),
-}
-
 ORACLES: dict[str, str] = {
     # sources
     "src_table": text("customers", "SELECT * FROM g_customers"),
@@ -788,7 +748,56 @@ FROM bands GROUP BY band""",
 FROM (SELECT DISTINCT year(signup_date) AS year FROM g_customers) c LEFT JOIN rates v ON v.year=c.year""",
         f"rates AS (SELECT year(assigned_date) AS year, variant, {AB_RATE} FROM g_ab_test_assignments GROUP BY 1, 2)",
     ),
-    **_EXPORTS,
 }
 
-ORACLES["sink_json_bundle"] = ORACLES["export_bundle"]
+
+def _published(parts: dict[str, tuple[str, str]]) -> str:
+    """Every value of the named queries, their rows numbered in the stated order; numbers as numbers, the rest as text."""
+    records = "\nUNION ALL\n".join(
+        f"SELECT '{name}' AS dataset, row_number() OVER (ORDER BY {order}) AS place, to_json(x) AS record FROM ({sql}) x"
+        for name, (sql, order) in parts.items()
+    )
+    return f"""WITH records AS (
+{records}),
+fields AS (SELECT dataset, place, record, unnest(json_keys(record)) AS field FROM records),
+shown AS (SELECT dataset, place, field, json_extract_string(record, concat('$."', field, '"')) AS shown FROM fields)
+SELECT dataset, CAST(place AS BIGINT) AS place, field, try_cast(shown AS DOUBLE) AS number,
+  CASE WHEN try_cast(shown AS DOUBLE) IS NULL THEN shown END AS words
+FROM shown"""
+
+
+_SEEN_BY_EVENT = visits("g_ga4_events", "event_date", "month")
+_MONTH_OF_YEAR = "year(p) AS year, strftime(p, '%b') AS month, month(p) AS month_num"
+_STAGE_LAST = "stage_order NULLS LAST, event_name"
+_BY_YEAR = {
+    "customer_growth": (ORACLES["customer_growth"], "year, month_num"),
+    "spend_trend": (ORACLES["spend_trend_by_channel"], "year, month_num, channel, spend, conversions"),
+    "channel_performance_by_year": (ORACLES["channel_performance_by_year"], "year, channel"),
+    "channel_performance_all_time": (ORACLES["channel_performance"], "channel"),
+    "funnel_by_year": (ORACLES["funnel_by_year"], f"year, {_STAGE_LAST}"),
+    "funnel_all_time": (ORACLES["funnel_all_time"], _STAGE_LAST),
+    "retention_by_year": (text("ga4_events", f"SELECT {_MONTH_OF_YEAR}, {RETAINED} FROM kept", *_SEEN_BY_EVENT), "year, month_num"),
+    "churn_risk_bands_by_year": (ORACLES["churn_bands_by_year"], "year, churn_risk_band"),
+    "propensity_bands_by_year": (ORACLES["propensity_bands_by_year"], "year, propensity_band"),
+    "ab_test_by_year": (ORACLES["ab_conversion_by_year"], "year, variant"),
+    "ab_test_all_time": (ORACLES["ab_conversion"], "variant"),
+}
+_STAGE_OF = STAGE.replace("event_name", "x.event_name")
+ORACLES["sink_json_bundle"] = ORACLES["export_bundle"] = _published(_BY_YEAR)
+ORACLES["export_csvs"] = _published(
+    {
+        "channel_performance": _BY_YEAR["channel_performance_all_time"],
+        "funnel_conversion": (ORACLES["funnel_conversion"], f"{_STAGE_OF} NULLS LAST, event_name"),
+        "retention_curve": (
+            text("ga4_events", f"SELECT strftime(p, '%Y-%m') AS activity_month, {RETAINED} FROM kept", *_SEEN_BY_EVENT),
+            "activity_month",
+        ),
+        "ml_risk_bands": (ORACLES["risk_propensity_bands"], "churn_risk_band NULLS FIRST, propensity_band"),
+        "ab_test_results": _BY_YEAR["ab_test_all_time"],
+        "spend_trend": (ORACLES["spend_trend_monthly"], "month_sort, channel_clean NULLS FIRST"),
+        "customer_breakdown": (
+            ORACLES["customer_breakdown"],
+            "customer_count DESC, acquisition_channel NULLS FIRST, country NULLS FIRST, customer_type NULLS FIRST",
+        ),
+    }
+)

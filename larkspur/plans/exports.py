@@ -17,7 +17,6 @@ from larkspur.operators import aggregates as agg
 from larkspur.operators.scale import keep_all
 from larkspur.operators.windows import stage_shares
 from larkspur.plans.metrics import (
-    channel_performance,
     cohort_value,
     performance_all_time,
     performance_by_year,
@@ -29,13 +28,14 @@ from larkspur.sources.tables import Tables
 
 
 def csv_datasets(t: Tables, as_of: date) -> dict[str, DataFrame]:
+    monthly, cohorts = keep_all({"monthly-spend": agg.monthly_platform_spend(t), "cohorts": cohort_value(t, as_of)})
     return {
-        "channel_performance": channel_performance(t, as_of),
+        "channel_performance": performance_all_time(cohorts, _spend_by_year(monthly)),
         "funnel_conversion": stage_shares(agg.funnel_all_time(t)),
         "retention_curve": retention_curve(t.ga4_events, "event_date"),
         "ml_risk_bands": agg.risk_propensity_bands(t),
         "ab_test_results": agg.ab_conversion(t),
-        "spend_trend": agg.spend_trend_monthly(t),
+        "spend_trend": agg.channel_trend(monthly),
         "customer_breakdown": agg.customer_breakdown(t),
     }
 
@@ -71,8 +71,11 @@ def json_datasets(t: Tables, as_of: date) -> dict[str, DataFrame]:
     }
 
 
-def export_csvs(t: Tables, as_of: date, folder: str) -> None:
-    write_csvs(csv_datasets(t, as_of), folder)
+def export_csvs(t: Tables, as_of: date, folder: str) -> list[str]:
+    """The seven datasets as one CSV file each; returns their names."""
+    datasets = csv_datasets(t, as_of)
+    write_csvs(datasets, folder)
+    return list(datasets)
 
 
 def export_bundle(t: Tables, as_of: date, folder: str) -> None:
