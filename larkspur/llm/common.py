@@ -18,11 +18,19 @@ PIECE_BYTES = 500_000  # text that one vectorised step handles; a longer text is
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors share, as ``spark.checkpoint.dir`` names it; only where that is unset (tests), one of our own."""
+    """The folder all executors share, as ``spark.checkpoint.dir`` names it.
+
+    Only a local master may leave it unset (tests) and gets a folder of its own; on a cluster others could not read that.
+    """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not folder:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="llm-checkpoints-"))
         folder = spark.sparkContext.getCheckpointDir()
+    elif not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(folder)
     return folder.rstrip("/")
 
 

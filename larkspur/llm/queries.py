@@ -42,6 +42,26 @@ def op6_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+LLM_ORACLES["op6_substring_dedup"] = r"""
+WITH texts AS (
+  SELECT row_number() OVER () AS place, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+spread AS (SELECT place, unnest(range(1, len(words) + 1)) AS pos, len(words) AS n, unnest(words) AS word FROM texts),
+starts AS (
+  SELECT place, pos, word, CASE WHEN pos + 34 <= n THEN
+           md5(string_agg(word, ' ') OVER (PARTITION BY place ORDER BY pos ROWS BETWEEN CURRENT ROW AND 34 FOLLOWING)) END AS win
+  FROM spread),
+repeats AS (SELECT win FROM starts WHERE win IS NOT NULL GROUP BY win HAVING count(*) > 1),
+covered AS (
+  SELECT place, pos, word, count(r.win) OVER (PARTITION BY place ORDER BY pos ROWS BETWEEN 34 PRECEDING AND CURRENT ROW) > 0 AS goes
+  FROM starts LEFT JOIN repeats r USING (win)),
+cut AS (
+  SELECT place, count(*) FILTER (goes) AS gone, string_agg(word, ' ' ORDER BY pos) FILTER (NOT goes) AS kept
+  FROM covered GROUP BY place)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(gone, 0)::BIGINT AS n_removed, sha256(coalesce(kept, '')) AS kept_sha256
+FROM texts LEFT JOIN cut USING (place)
+"""
+
+
 @_query
 def op3_language_id(spark: SparkSession, folder: str) -> DataFrame:
     """Predicted language of every document."""
@@ -228,6 +248,24 @@ def op8_epsilon_grid(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(F.col("id").alias("vec_id"), "n_links", F.col("component").alias("component_id"), "kept")
 
 
+LLM_ORACLES["op8_epsilon_grid"] = """
+WITH RECURSIVE
+sound AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM sound a JOIN sound b ON a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95),
+reached AS (
+  SELECT a AS vec_id, a AS other FROM links
+  UNION
+  SELECT reached.vec_id, links.b FROM reached JOIN links ON links.a = reached.other),
+roots AS (SELECT vec_id, min(other) AS root FROM reached GROUP BY vec_id),
+degrees AS (SELECT a AS vec_id, count(*) AS n FROM links GROUP BY a)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
+FROM embeddings LEFT JOIN degrees USING (vec_id) LEFT JOIN roots USING (vec_id)
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Language ID, near-dedup, substring dedup, mixing and encoding, one after the other."""

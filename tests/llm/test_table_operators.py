@@ -221,6 +221,15 @@ def test_vector_links_equal_brute_force(spark, monkeypatch, n, block):
     assert epsilon.near_duplicates(frame.where("false")).count() == epsilon.near_duplicates(frame.where("embedding is null")).count() - 1 == 0
 
 
+def test_vector_links_equal_the_sql(spark, in_duckdb, tmp_path):
+    rows = [(i, v, 0) for i, v in dict(awkward_vectors(300, 7, 5)).items() if i is not None and (v is None or len(v) == 5)]
+    frame = spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int")
+    frame.write.parquet(f"{tmp_path}/embeddings.parquet")
+    ours = queries.LLM_QUERIES["op8_epsilon_grid"](spark, str(tmp_path))
+    names, want = in_duckdb(queries.LLM_ORACLES["op8_epsilon_grid"], embeddings=frame)
+    assert Counter(map(tuple, ours.select(*names).collect())) == Counter(want) and any(n for _, n, _, _ in want)
+
+
 def test_components_of_paths_stars_and_rings(spark):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)]
     links += [(5, 4), (7, 7), (None, 3), (300, None), (999, 400), (400, 500)]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import plain  # noqa: E402
-from larkspur.llm import bpe, langid, simhash, substrings  # noqa: E402
+from larkspur.llm import bpe, langid, queries, simhash, substrings  # noqa: E402
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 ODD = [None, "", "  \t\n ", "12 34 !?", "a", "A b", "ß É 日本語 テキスト", "x y z", "word " * 30, "é \U0001f600 𝒜𝒷"]
@@ -144,6 +144,16 @@ def test_passages_equal_the_plain_version(docs, group_bytes):
     assert Counter(map(tuple, laid)) == Counter((k, None if t is None else plain.cut_layout(t, g)) for k, t, g in zip(keys, texts, gone, strict=True))
 
 
+def test_passages_equal_the_sql(spark, docs, in_duckdb, tmp_path):
+    shared = prose(500, 50)
+    texts = [*ODD, prose(1, 34), prose(2, 35), prose(2, 35), f"{shared} {shared}", f"a {shared}", "ba " * 200, f"{prose(9, 3_000, 10**6)} {shared}"]
+    frame = docs(texts).union(docs({3: f"again {shared}", None: "no id"}))
+    frame.write.parquet(f"{tmp_path}/documents.parquet")
+    ours = queries.LLM_QUERIES["op6_substring_dedup"](spark, str(tmp_path))
+    names, want = in_duckdb(queries.LLM_ORACLES["op6_substring_dedup"], documents=frame)
+    assert Counter(map(tuple, ours.select(*names).collect())) == Counter(want) and any(r[2] for r in want)
+
+
 def test_passages_of_no_documents(docs):
     assert substrings.cut_repeats(docs([]).where("false")).count() == 0
 
