@@ -77,6 +77,24 @@ def test_documents_come_in_the_order_of_the_mix(spark, rows):
     assert mixed == [r.doc_id for r in sorted(placed, key=lambda r: (r.slot, r.place))]
 
 
+def test_run_returns_the_mix_whatever_the_order_of_files(spark, tmp_path):
+    words = WORDS["en"].split()
+    made = [(i, " ".join(random.Random(i).choices(words, k=60)), "en", f"src{min(i % 10, 3)}", 0, "") for i in range(1_500)]
+    spark.createDataFrame(made, COLUMNS).repartition(7).write.parquet(f"{tmp_path}/documents.parquet")
+    final = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    at = sorted((r.slot, r.place, r.source) for r in final)
+    assert len(at) > 1_400 and len({a[:2] for a in at}) == len(at)
+    slots = {slot: {a[2] for a in at if a[0] == slot} for slot in {a[0] for a in at}}
+    assert all(len(s) == 1 for s in slots.values())  # a slot is a block of one source
+    size = Counter(r.source for r in final)
+    total = sum(n**0.7 for n in size.values())
+    for source, n in size.items():
+        mine = sorted(slot for slot, s in slots.items() if s == {source})
+        assert len(mine) == -(-n // 32)
+        for k, slot in enumerate(mine):  # to within a block, and what rounding to thousandths moves
+            assert abs(k - slot * n**0.7 / total) < 1.2
+
+
 def test_no_documents(spark, tmp_path):
     spark.createDataFrame([], COLUMNS).write.parquet(f"{tmp_path}/documents.parquet")
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == 0
