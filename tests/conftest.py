@@ -8,12 +8,12 @@ import pytest
 sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
+from places import STAR  # noqa: E402
+
 from larkspur import Tables, build_session  # noqa: E402
 from larkspur.sources.schemas import SCHEMAS  # noqa: E402
 from larkspur.sources.star import star_tables  # noqa: E402
 
-STAR = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():

@@ -2,7 +2,7 @@
 
 import pytest
 from check import differences, duck
-from conftest import STAR
+from places import STAR
 
 from larkspur.catalog import QUERIES
 from larkspur.oracles import ORACLES

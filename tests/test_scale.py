@@ -4,7 +4,7 @@ import re
 
 import numpy as np
 import pytest
-from conftest import STAR
+from places import STAR
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
