@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -111,3 +111,19 @@ def mixed(h: np.ndarray) -> np.ndarray:
 def codepoints(text: str) -> np.ndarray:
     """Unicode code points as unsigned 32-bit integers."""
     return np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+
+
+def in_order(rows: DataFrame, *keys: Column, name: str = "at") -> DataFrame:
+    """``rows`` with their place (0, 1, ...) in the order of ``keys``.
+
+    Rows are dealt by ranges of the keys, sorted, and written; a running sum over the sizes of the written parts gives each
+    part its first number.  A key that many rows share is split if a later key tells them apart.
+    """
+    part, inside = f"{name}_part", f"{name}_inside"
+    written = checkpointed(rows.repartitionByRange(*keys).sortWithinPartitions(*keys))
+    numbered = written.withColumns({part: F.spark_partition_id(), inside: F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1))})
+    sizes = numbered.groupBy(part).agg(F.count("*").alias("n"))
+    ahead = Window.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)  # a row per written part
+    starts = sizes.select(part, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("first"))
+    placed = numbered.join(F.broadcast(starts), part)  # a row per written part
+    return placed.select(*written.columns, (F.col("first") + F.col(inside)).alias(name))

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bitslice, bpe, epsilon, langid, lm_score, mixing, simhash, substrings, urls, warc
+from larkspur.llm import bitslice, bpe, epsilon, langid, lm_score, mixing, resampling, simhash, substrings, urls, warc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -266,6 +266,56 @@ FROM embeddings LEFT JOIN degrees USING (vec_id) LEFT JOIN roots USING (vec_id)
 """
 
 
+@_query
+def op11_importance_resampling(spark: SparkSession, folder: str) -> DataFrame:
+    """Weight, score and rank in the draw of every document, towards the benchmark's texts."""
+    weighed = resampling.weigh(_table(spark, folder, "documents").select("doc_id", "text"), _table(spark, folder, "benchmark"))
+    return resampling.draw(weighed).select("row.doc_id", "n_features", "weight", "score", "rank")
+
+
+# CRC-32 of every distinct word, byte by byte, over the table of its 256 one-byte remainders.
+LLM_ORACLES["op11_importance_resampling"] = r"""
+WITH RECURSIVE
+remainders AS (
+  SELECT list(r ORDER BY b) AS table_of FROM (
+    SELECT b, list_reduce(list_prepend(b, range(8)), lambda r, i: CASE WHEN r % 2 = 1 THEN xor(r // 2, 3988292384) ELSE r // 2 END) AS r
+    FROM range(256) AS bytes(b)) t),
+listed AS (
+  SELECT 'd' AS kind, row_number() OVER () AS place, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+') AS words
+  FROM documents
+  UNION ALL
+  SELECT 't', 0, NULL, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\x{00}-\x{2F}\x{3A}-\x{60}\x{7B}-\x{7F}]+')
+  FROM benchmark),
+used AS (SELECT kind, place, word, count(*) AS n FROM (SELECT kind, place, unnest(words) AS word FROM listed) u GROUP BY ALL),
+codes AS (
+  SELECT word, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(strlen(word)), lambda i:
+             ('0x' || substr(hex(encode(word)), 2 * i::INTEGER + 1, 2))::BIGINT)),
+           lambda c, b: xor(c // 256, table_of[(xor(c % 256, b) + 1)::INTEGER]))) % 10000 AS bucket
+  FROM (SELECT DISTINCT word FROM used) w, remainders),
+spread AS (SELECT kind, place, bucket, sum(n) AS n FROM used JOIN codes USING (word) GROUP BY ALL),
+sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (kind = 'd'), 0)::DOUBLE AS s, coalesce(sum(n) FILTER (kind = 't'), 0)::DOUBLE AS t
+  FROM (SELECT * FROM spread UNION ALL SELECT 'none', 0, unnest(range(10000)), 0) e GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1) * ((SELECT sum(s) FROM sums) + 10000) / ((s + 1) * ((SELECT sum(t) FROM sums) + 10000))))::BIGINT AS gain
+  FROM sums),
+weights AS (SELECT place, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS total FROM spread JOIN gains USING (bucket) WHERE kind = 'd' GROUP BY place),
+scored AS (
+  SELECT doc_id, place, coalesce(n_features, 0) AS n_features,
+         coalesce((total - ((total % n_features) + n_features) % n_features) // n_features, 0)::BIGINT AS weight,
+         floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE) / 4294967296::DOUBLE)))::BIGINT AS noise
+  FROM (SELECT * FROM listed WHERE kind = 'd') l LEFT JOIN weights USING (place)),
+ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n_features >= 20 ORDER BY weight + noise DESC, doc_id) AS rank,
+         (10 * count(*) FILTER (n_features >= 20) OVER ()) // 100 AS wanted
+  FROM scored)
+SELECT doc_id, n_features, weight, weight + noise AS score, CASE WHEN n_features >= 20 AND rank <= wanted THEN rank END AS rank FROM ranked
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Language ID, near-dedup, substring dedup, mixing and encoding, one after the other."""
