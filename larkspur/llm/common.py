@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 import tempfile
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,6 +41,13 @@ def checkpointed(rows: DataFrame) -> DataFrame:
     return rows.checkpoint()
 
 
+def written(rows: DataFrame, label: str) -> DataFrame:
+    """``rows`` as a Parquet table in the shared folder: lineage ends, and Spark knows the size and reads only what it needs."""
+    path = f"{shared_folder(rows.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def packed(rows: DataFrame, **extra: Column) -> DataFrame:
     """The whole row as one struct column ``row`` beside the ``extra`` columns, so that no name can clash."""
     return rows.select(F.struct(*[F.col(f"`{c}`") for c in rows.columns]).alias("row"), *[v.alias(k) for k, v in extra.items()])

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bitslice, bpe, epsilon, langid, lm_score, mixing, resampling, simhash, substrings, urls, warc
+from larkspur.llm import bitslice, bpe, epsilon, langid, lm_score, mixing, pagetext, resampling, simhash, substrings, urls, warc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -316,6 +316,13 @@ SELECT doc_id, n_features, weight, weight + noise AS score, CASE WHEN n_features
 """
 
 
+@_query
+def op12_page_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Main text of every page."""
+    found = pagetext.extract(_table(spark, folder, "pages").select("page_id", "url", "html"))
+    return found.select("row.page_id", "row.url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Language ID, near-dedup, substring dedup, mixing and encoding, one after the other."""
