@@ -15,6 +15,8 @@ from pyspark.sql.types import StructType
 
 GROUP_BYTES = 8_000_000  # text that one Python call holds at a time
 BATCH_ROWS = 500  # rows whose Python objects a task holds at a time; Arrow batches may be larger
+EXACT = float(1 << 52)  # whole numbers below it are exact in double precision
+FAR = (1 << 63) - 1  # stands for scores beyond 64 bits
 PIECE_BYTES = 500_000  # text that one vectorised step handles; a longer text is a piece of its own
 
 
@@ -107,6 +109,32 @@ def pieces(texts: list[bytes], size: int = PIECE_BYTES) -> Iterator[tuple[int, i
         yield start, len(texts)
 
 
+def finite_vector(x: Column) -> Column:
+    """Whether an array of doubles has neither null nor non-finite components; false for null."""
+    fine = F.forall(x, lambda c: F.coalesce(~F.isnan(c) & (F.abs(c) < float("inf")), F.lit(False)))
+    return F.coalesce(fine, F.lit(False))
+
+
+def whole_numbers(vector: np.ndarray, scale: float) -> list[int]:
+    """floor(scale * component), exactly, whatever the size of the components; ``scale`` is a power of two."""
+    return [math.floor(scale * c) if abs(c) < 1e300 else int(c) * int(scale) for c in vector.tolist()]
+
+
+def whole_products(rows: np.ndarray, query: np.ndarray, scale: float) -> np.ndarray:
+    """Inner products of the whole numbers of ``rows`` and ``query``: in doubles where no sum can leave them, else unbounded."""
+    if rows.size == 0 or np.abs(rows).max() < 1e100 and np.abs(query).max() < 1e100:
+        near, far = np.floor(rows * scale), np.floor(query * scale)
+        if np.abs(near).max(initial=0) * np.abs(far).sum() < EXACT:
+            return (near @ far).astype(np.int64)
+    asked = whole_numbers(query, scale)
+    return np.array([sum(a * b for a, b in zip(whole_numbers(r, scale), asked, strict=True)) for r in rows] or [0], object)[: len(rows)]
+
+
+def within_64_bits(score: Column) -> Column:
+    """``score``, an error where it stands for one beyond 64 bits; far below zero it may, since no answer needs its value."""
+    return F.when(score < F.lit(FAR), score).otherwise(F.raise_error("a score leaves 64 bits").cast("bigint"))
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """64-bit finaliser: every output bit depends on every input bit."""
     h = h ^ (h >> np.uint64(31))

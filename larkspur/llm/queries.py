@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larkspur.llm import bitslice, bpe, epsilon, langid, lm_score, mixing, pagetext, resampling, simhash, substrings, urls, warc
+from larkspur.llm import bitslice, bpe, epsilon, langid, lm_score, mixing, negatives, pagetext, resampling, simhash, substrings, urls, warc
 
 LLM_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 LLM_ORACLES: dict[str, str] = {}
@@ -323,6 +323,34 @@ def op12_page_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.page_id", "row.url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+@_query
+def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every fiftieth vector; every seventh vector has the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = negatives.mine(_table(spark, folder, "embeddings"), F.col("vec_id") % 50 == 0, label=label)
+    return found.select("anchor_id", "positive_id", "rank", "negative_id", "positive_score", "negative_score")
+
+
+LLM_ORACLES["op13_hard_negatives"] = """
+WITH usable AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pairs AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS alike, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM usable a JOIN usable b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT *, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place FROM pairs WHERE alike),
+windows AS (
+  SELECT p.anchor_id, p.vec_id AS positive_id, p.score AS positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id)::INTEGER AS rank
+  FROM positives p JOIN pairs n ON p.anchor_id = n.anchor_id AND NOT n.alike
+   AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+  WHERE p.place <= 5)
+SELECT anchor_id, positive_id, rank, negative_id, positive_score, negative_score FROM windows WHERE rank <= 3
+"""
+
+
 @_query
 def pipeline(spark: SparkSession, folder: str) -> DataFrame:
     """Language ID, near-dedup, substring dedup, mixing and encoding, one after the other."""
