@@ -195,6 +195,22 @@ def test_top_rows_equal_brute_force(spark, monkeypatch, n, blocks):
     assert {tuple(r) for r in got} == want and len(got) == len(want)
 
 
+def test_large_vectors_are_found(spark):
+    """Components whose products 32 bits, 64 bits or doubles do not hold, beside small ones and in signs of both kinds."""
+    rows = [(0, [0.5, 0.5]), (50, [0.25, -1.0]), (1, [1.0, 1.0]), (2, [2e5, 0.0]), (3, [1e9, -2e5]), (4, [-1e9, 7.0]), (5, [3.0, -1e12]),
+            (6, [0.001, 2e5]), (7, [-1e300, 1e-3]), (8, [2e5 + 1 / 512, 0.0]), (9, [2e5, -1 / 512]), (8, [2e5 + 3 / 512, 0.0])]
+    frame = spark.createDataFrame(rows, VECTORS)
+    whole = lambda v: [math.floor(256 * x) for x in v]
+    want = set()
+    for i, q in rows[:2]:
+        best = sorted((-sum(a * b for a, b in zip(whole(q), whole(v), strict=True)), j) for j, v in rows if j != i)[:9]
+        want |= {(i, r + 1, j, -s) for r, (s, j) in enumerate(best)}
+    got = bitslice.search(frame, frame.where("vec_id % 50 = 0"), k=9).collect()
+    assert {tuple(r) for r in got} == want and len(got) == 18
+    with pytest.raises(Exception, match="64 bits"):
+        bitslice.search(spark.createDataFrame([(0, [1e30]), (1, [1e30])], VECTORS), frame.where("vec_id = 0")).collect()
+
+
 def test_top_rows_of_few_or_no_vectors(spark):
     two = spark.createDataFrame([(0, [1.0, -1.0]), (1, [0.5, 0.5])], VECTORS)
     assert [tuple(r) for r in bitslice.search(two, two.where("vec_id = 0")).collect()] == [(0, 1, 1, 0)]
