@@ -22,8 +22,8 @@ def tell_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents no two of which are near copies: of five-word shingles with similarity 0.8 or more the smallest id stays."""
-    return simhash.keep_dissimilar(docs)
+    """One document of each group that near-equal fingerprints of three-word shingles link: the one with the smallest id."""
+    return simhash.keep_first(docs, shingle=3, distance=2)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
