@@ -7,7 +7,7 @@ distance.  Only distinct fingerprints are compared: exact and equal copies weigh
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Iterator
 from itertools import combinations
 
 import numpy as np
@@ -20,10 +20,6 @@ from larkspur.llm.common import adding, checkpointed, packed, small, text_bytes
 from larkspur.llm.graph import components, forest
 
 SHINGLE, SEED, DISTANCE = 3, 42, 2
-SIMILAR_SHINGLE, SIMILAR_PERCENT = 5, 80  # of keep_dissimilar: words per shingle, Jaccard similarity of copies
-BANDS, BAND_ROWS = 20, 4  # two texts of similarity 0.8 share none of 20 files with probability (1 - 0.8 ** 4) ** 20 = 0.00003
-SIMILAR_DISTANCE = 26  # bits; similarity 0.8 gives about 10 with a standard deviation of 3, unrelated texts 32
-LEADERS = 64  # texts that meet all others of a file beyond FILE_ROWS in one round, at most
 PAIR_ROWS = 32  # files of at most so many fingerprints are compared by a join, which then gives at most 496 links each
 FILE_ROWS = 2_048  # larger files are compared in one call and give a forest; still larger ones are filed by finer blocks
 UPPER_TO_LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
@@ -125,7 +121,9 @@ def links(fps: DataFrame, distance: int = DISTANCE, file_rows: int = FILE_ROWS)
     return out
 
 
-def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text", **settings: int) -> DataFrame:
+def near_duplicates(
+    documents: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE, seed: int = SEED, distance: int = DISTANCE
+) -> DataFrame:
     """``(key, h1, h2, fp, component)`` per row: fingerprint and the smallest ``key`` reachable over links.
 
     Rows of equal text share a fingerprint and so a component; null and empty texts have fingerprint zero, linked like
@@ -134,8 +132,8 @@ def near_duplicates(documents: DataFrame, key: str = "doc_id", text: str = "text
     to 96 bits: they name a row even where keys are null or repeated.
     """
     needed = documents.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"))
-    found = fingerprints(needed.select("key", "text", *_name("key", "text")), "text", **settings)
-    return with_components(checkpointed(found.select("row.key", "row.h1", "row.h2", "fp")))
+    found = fingerprints(needed.select("key", "text", *_name("key", "text")), "text", shingle, seed)
+    return with_components(checkpointed(found.select("row.key", "row.h1", "row.h2", "fp")), distance)
 
 
 def _name(key: str, text: str) -> list[Column]:
@@ -143,160 +141,23 @@ def _name(key: str, text: str) -> list[Column]:
     return [F.xxhash64(k, t).alias("h1"), F.hash(t, k).alias("h2")]
 
 
-def with_components(rows: DataFrame) -> DataFrame:
+def with_components(rows: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """``rows(key, h1, h2, fp)`` with ``component``."""
     least = rows.groupBy("fp").agg(F.min("key").alias("least"))
-    roots = components(links(least.select("fp"))).select(F.col("node").alias("fp"), "root")
+    roots = components(links(least.select("fp"), distance)).select(F.col("node").alias("fp"), "root")
     classes = least.join(roots, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     firsts = classes.groupBy("root").agg(F.min("least").alias("component"))
     return rows.join(classes.join(firsts, "root").select("fp", "root", "component"), "fp")
 
 
-def keep_first(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
+def keep_first(documents: DataFrame, key: str = "doc_id", text: str = "text", **settings: int) -> DataFrame:
     """One row of each component, all columns unchanged: the one with the smallest key, null keys last.
 
-    Rows that repeat both key and text count as one.
+    Rows that repeat both key and text count as one.  ``settings`` are those of ``near_duplicates``.
     """
-    found = near_duplicates(documents, key, text)
+    found = near_duplicates(documents, key, text, **settings)
     first = found.groupBy("root").agg(F.min(F.struct(F.col("key").isNull(), "key", "h1", "h2")).alias("f"))
     kept = packed(documents, **dict(zip(("h1", "h2"), _name(key, text), strict=True))).join(
         first.select("f.h1", "f.h2"), ["h1", "h2"], "left_semi"
     )
     return kept.dropDuplicates(["h1", "h2"]).select("row.*")
-
-
-_DRAWN = np.random.default_rng(SEED).integers(0, 1 << 64, (2, BANDS * BAND_ROWS), np.uint64)
-_XORS, _FACTORS = _DRAWN[0], _DRAWN[1] | np.uint64(1)
-
-
-def band_files(shingles: np.ndarray) -> list[int]:
-    """The ``BANDS`` files of a set of shingle hashes, as signed integers: each a hash of ``BAND_ROWS`` of its minima."""
-    if not len(shingles):
-        return []
-    least = np.full(len(_XORS), 0xFFFFFFFFFFFFFFFF, np.uint64)
-    for low in range(0, len(shingles), 1_000):
-        np.minimum(least, ((shingles[low : low + 1_000, None] ^ _XORS) * _FACTORS).min(axis=0), out=least)
-    digest = xxhash.xxh64_intdigest
-    return np.array([digest(m.tobytes(), i) for i, m in enumerate(least.reshape(BANDS, BAND_ROWS))], np.uint64).view(np.int64).tolist()
-
-
-def _sketches(rows: DataFrame) -> DataFrame:
-    """``rows(key, text, h1, h2)`` without text, with the class of equal shingle sets, fingerprint and files."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            sets = [np.unique(shingle_hashes(t, SIMILAR_SHINGLE)) for t in text_bytes(batch.column("text"))]
-            yield pa.record_batch([
-                *[batch.column(c) for c in ("key", "h1", "h2")],
-                pa.array([xxhash.xxh3_128_digest(s.tobytes()) for s in sets], pa.binary()),
-                pa.array(np.array([majority(s) for s in sets], np.uint64).view(np.int64), pa.int64()),
-                pa.array([band_files(s) for s in sets], pa.list_(pa.int64())),
-            ], ["key", "h1", "h2", "cls", "fp", "files"])
-
-    return rows.mapInArrow(run, adding(rows.drop("text").schema, "cls binary, fp bigint, files array<bigint>"))
-
-
-def _shingle_sets(rows: DataFrame) -> DataFrame:
-    """``(cls, shingles)`` of ``rows(cls, text)``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            sets = [np.unique(shingle_hashes(t, SIMILAR_SHINGLE)).view(np.int64) for t in text_bytes(batch.column("text"))]
-            yield pa.record_batch([batch.column("cls"), pa.array(sets, pa.list_(pa.int64()))], ["cls", "shingles"])
-
-    return rows.mapInArrow(run, "cls binary, shingles array<bigint>")
-
-
-def _similar(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Those ``pairs(low, high)`` whose sets have the Jaccard similarity of copies, by exact counts."""
-    a = sets.select(F.col("cls").alias("low"), F.col("shingles").alias("a"))
-    b = sets.select(F.col("cls").alias("high"), F.col("shingles").alias("b"))
-    both = F.size(F.array_intersect("a", "b")).cast("bigint")
-    return pairs.join(a, "low").join(b, "high").where(100 * both >= SIMILAR_PERCENT * (F.size("a") + F.size("b") - both))
-
-
-def _copies_in_files(entries: DataFrame) -> DataFrame:
-    """``(cls)`` of ``entries(file, place, cls, shingles)`` similar to one with a smaller ``place`` that stays in the same file."""
-
-    def run(table: pa.Table) -> pa.Table:
-        places = [tuple(p.values()) for p in table.column("place").to_pylist()]
-        table = table.take(sorted(range(len(places)), key=places.__getitem__))
-        lists = table.column("shingles").combine_chunks()
-        starts = lists.offsets.to_numpy().astype(np.int64)
-        sizes, starts = np.diff(starts), starts[:-1] - starts[0]
-        word = np.unique(lists.flatten().to_numpy(), return_inverse=True)[1]
-        gone, marked = np.zeros(len(sizes), bool), np.zeros(word.max() + 1, np.int64)
-        for i in range(len(sizes) - 1):
-            if not gone[i]:
-                own = word[starts[i] : starts[i] + sizes[i]]
-                marked[own] = 1
-                both = np.add.reduceat(marked[word[starts[i + 1] :]], starts[i + 1 :] - starts[i + 1])
-                gone[i + 1 :] |= 100 * both >= SIMILAR_PERCENT * (sizes[i] + sizes[i + 1 :] - both)
-                marked[own] = 0
-        return pa.table({"cls": table.column("cls").filter(pa.array(gone))})
-
-    return entries.select("file", "place", "cls", "shingles").groupBy("file").applyInArrow(run, "cls binary")
-
-
-def copies(classes: DataFrame, sets_of: Callable[[DataFrame], DataFrame], file_rows: int = FILE_ROWS) -> DataFrame:
-    """``(cls)`` of all ``classes(cls, fp, files, first)`` that are copies of one with a smaller ``first``.
-
-    Texts of a file of at most ``PAIR_ROWS`` are compared by a join, within ``SIMILAR_DISTANCE`` bits and then by shingles;
-    those of one of at most ``file_rows`` by shingles in one call.  In still larger files some texts, the leaders, meet all
-    others and leave, round after round.  Of two similar texts the one with the larger ``first`` goes, from all files.  So
-    no two texts that are left share a file and are similar.
-    """
-    place = F.struct("first.last", "first.key", "cls").alias("place")
-    filed = classes.select(F.explode("files").alias("file"), "cls", "fp", place)
-
-    def shared(entries: DataFrame) -> DataFrame:
-        return checkpointed(entries.join(entries.groupBy("file").agg(F.count("*").alias("n")).where("n > 1"), "file"))
-
-    entries, number = shared(filed), 0
-    sets = sets_of(entries.select("cls").distinct())
-    gone = classes.select("cls").where("false")
-    while not entries.isEmpty():
-        few, large = entries.where(F.col("n") <= PAIR_ROWS), entries.where(F.col("n") > file_rows)
-        salt = F.pmod(F.xxhash64("cls", F.lit(number)), F.lit(LEADERS)).alias("salt")
-        leaders = large.groupBy("file", salt).agg(F.min(F.struct("place", "fp")).alias("leader"))
-        leaders = checkpointed(leaders.select("file", F.col("leader.place").alias("by"), F.col("leader.fp").alias("by_fp")))
-        close = F.bit_count(F.col("fp").bitwiseXOR(F.col("by_fp"))) <= SIMILAR_DISTANCE
-        others = few.select("file", F.col("place").alias("by"), F.col("fp").alias("by_fp"))
-        pairs = few.join(others, "file").where(F.col("by") < F.col("place")).where(close)
-        pairs = pairs.select("place", "by").union(large.join(leaders, "file").where(F.col("by") != F.col("place")).where(close).select("place", "by"))
-        pairs = pairs.select(F.least("by", "place")["cls"].alias("low"), F.greatest("by", "place")["cls"].alias("high")).distinct()
-        inside = entries.where((F.col("n") > PAIR_ROWS) & (F.col("n") <= file_rows)).join(sets, "cls")
-        found = _similar(pairs, sets).select(F.col("high").alias("cls")).union(_copies_in_files(inside))
-        found = checkpointed(found.distinct())
-        gone = gone.union(found)
-        left = large.drop("n").join(leaders.select("file", F.col("by.cls").alias("cls")), ["file", "cls"], "left_anti")
-        entries, number = shared(left.join(found, "cls", "left_anti")), number + 1
-    return gone
-
-
-def keep_dissimilar(documents: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows of which no two have a Jaccard similarity of 0.8 or more over five-word shingles, all columns unchanged.
-
-    Of similar texts the one with the smallest key stays, null keys last; whatever goes is similar to a row with a smaller
-    key, which may itself go.  Letters A to Z count as a to z, white space as one space.  Texts of fewer than five words are
-    one shingle; texts without words equal each other.  Rows that repeat both key and text count as one.
-
-    Blocks of a 64-bit fingerprint cannot find such pairs: at similarity 0.8 about 10 bits differ, at times 18, and blocks
-    short enough to agree then hold a good part of all texts.  Texts are filed by min-wise samples of their shingles
-    instead, compared by fingerprint inside a file, and the close ones by their shingles.
-    """
-    names = dict(zip(("h1", "h2"), _name(key, text), strict=True))
-    needed = documents.select(F.col(f"`{key}`").alias("key"), F.col(f"`{text}`").alias("text"), *[v.alias(k) for k, v in names.items()])
-    sketched = checkpointed(_sketches(needed))
-    first = F.min(F.struct(F.col("key").isNull().alias("last"), "key", "h1", "h2")).alias("first")
-    classes = checkpointed(sketched.groupBy("cls").agg(F.first("fp").alias("fp"), F.first("files").alias("files"), first))
-
-    def sets_of(wanted: DataFrame) -> DataFrame:
-        """Shingles are worked out again, from one text of each class that shares a file: all of them would outgrow the texts."""
-        texts = classes.join(wanted, "cls").select("cls", "first.h1", "first.h2").join(needed.select("h1", "h2", "text"), ["h1", "h2"])
-        return checkpointed(_shingle_sets(texts.dropDuplicates(["cls"]).select("cls", "text")))
-
-    gone = copies(classes, sets_of)
-    first = classes.join(gone, "cls", "left_anti").select("first.h1", "first.h2")
-    kept = packed(documents, **names).join(first, ["h1", "h2"], "left_semi")
-    return kept.dropDuplicates(["h1", "h2"]).select("row.*")

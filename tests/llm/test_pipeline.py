@@ -104,6 +104,6 @@ def test_entry_offers_every_operator_and_the_pipeline():
     import __spark_entry__
 
     names = set(__spark_entry__.queries())
-    assert {n.split("_")[0] for n in queries.LLM_QUERIES} == {f"op{i}" for i in range(1, 11)} | {"pipeline"}
+    assert {n.split("_")[0] for n in queries.LLM_QUERIES} == {f"op{i}" for i in range(1, 14)} | {"pipeline"}
     assert set(queries.LLM_QUERIES) <= names and set(queries.LLM_ORACLES) <= set(__spark_entry__.oracle_sql())
     assert [name for name, _ in corpus_pipeline.STAGES] == ["language_id", "simhash_near_dedup", "substring_dedup", "mixing", "byte_level_bpe"]

@@ -140,8 +140,9 @@ def test_mix_places_every_document_once(spark, bucket_rows):
     sizes = {"hot": 300, "mid": 70, "low": 11, None: 9}
     rows = [(i, s) for s, n in sizes.items() for i in range(n)] + [(1, "hot"), (None, "hot")]
     frame = spark.createDataFrame(rows, "doc_id bigint, source string").selectExpr("*", "1 as block", "2 as slot").repartition(3)
-    parts = mixing.tempered_parts(frame, total=50)
-    placed = mixing.interleave(frame, parts, block=4, bucket_rows=bucket_rows).select("row.doc_id", "row.source", "block", "slot", "place").collect()
+    shares = mixing.tempered_parts(frame, least=50, per_source=2)
+    parts = {r.s: r.parts for r in shares.collect()}
+    placed = mixing.interleave(frame, shares, block=4, bucket_rows=bucket_rows).select("row.doc_id", "row.source", "block", "slot", "place").collect()
     assert Counter((r.doc_id, r.source) for r in placed) == Counter(rows)
     assert len({(r.slot, r.place) for r in placed}) == len(rows)
     own = defaultdict(list)
@@ -158,6 +159,57 @@ def test_mix_places_every_document_once(spark, bucket_rows):
         mixing.interleave(frame, {"=hot": 1}).collect()
 
 
+def plain_parts(sizes: dict, power: float = 0.7) -> dict:
+    total, whole = max(1_000, 100 * len(sizes)), sum(n**power for n in sizes.values())
+    return {s: max(1, math.floor(n**power * total / whole + 0.5)) for s, n in sizes.items()}
+
+
+@pytest.mark.parametrize("n", [10, 1_000, 10_000])
+def test_a_third_stays_a_third_with_many_sources(spark, n):
+    """Every other source has one document; the hot one as many as give it a third of the tempered weight."""
+    hot = round(((n - 1) / 2) ** (1 / 0.7))
+    frame = spark.range(n - 1).selectExpr("concat('s', id) AS source").union(spark.range(hot).selectExpr("'hot' AS source"))
+    shares = mixing.tempered_parts(frame)
+    parts = {r.s[1:]: r.parts for r in shares.collect()}
+    assert parts == plain_parts({"hot": hot, **{f"s{i}": 1 for i in range(n - 1)}})
+    assert abs(parts["hot"] / sum(parts.values()) - 1 / 3) < 0.01
+    if n == 1_000:
+        slots = mixing.schedule(shares).collect()
+        total = sum(parts.values())
+        assert sorted(r["first"] for r in slots) == list(range(total)) and Counter(r["s"][1:] for r in slots) == Counter(parts)
+        assert all(r["k"] * total // parts[r["s"][1:]] <= r["first"] < -(-(r["k"] + 1) * total // parts[r["s"][1:]]) for r in slots)
+
+
+def plain_schedule(parts: dict) -> dict:
+    """Slot by slot: of the blocks released by then, the one with the earliest deadline, ties by source."""
+    total, had, out = sum(parts.values()), Counter(), {}
+    for slot in range(total):
+        able = [(-(-(had[s] + 1) * total // p), s) for s, p in parts.items() if had[s] < p and had[s] * total // p <= slot]
+        s = min(able)[1]
+        out[s, had[s]] = slot
+        had[s] += 1
+    return out
+
+
+def test_mixing_query_equals_plain(spark, tmp_path):
+    """op5 over a whole table: the order inside a source is a shuffle, everything else follows from the sizes."""
+    sizes = {"web": 700, "books": 90, "code": 33, None: 5}
+    rows = [(i, s) for i, s in enumerate(s for s, n in sizes.items() for _ in range(n))]
+    spark.createDataFrame(rows, "doc_id bigint, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = queries.op5_pfair_mixing(spark, str(tmp_path)).collect()
+    name = lambda s: "" if s is None else f"={s}"
+    parts = plain_parts({name(s): n for s, n in sizes.items()})
+    slots, total = plain_schedule(parts), sum(parts.values())
+    want = Counter()
+    for s, n in sizes.items():
+        p = parts[name(s)]
+        for i in range(n):
+            block = i // 32
+            want[s, block, block // p * total + slots[name(s), block % p], i % 32] += 1
+    assert Counter((r.source, r.block, r.slot, r.place) for r in got) == want
+    assert {(r.doc_id, r.source) for r in got} == set(rows) and len(got) == len(rows)
+
+
 # --- vectors ------------------------------------------------------------------------------------------------------
 
 

@@ -104,49 +104,6 @@ def test_copies_without_a_key_leave_one(docs, spark):
     assert simhash.near_duplicates(docs([]).where("false")).count() == 0
 
 
-def changed(words: list[str], similarity: float, name: str) -> str:
-    """A copy whose five-word shingles have about ``similarity``, by single words changed far apart."""
-    n = len(words)
-    shared = 2 * similarity / (1 + similarity) * (n - 4)
-    count = max(1, int((n - 4 - shared) / 5))
-    at = {(2 * i + 1) * n // (2 * count) for i in range(count)}
-    return " ".join(f"{name}{i}" if i in at else w for i, w in enumerate(words))
-
-
-@pytest.mark.parametrize("file_rows", [2_048, 40])
-def test_planted_copies_of_any_similarity_go_and_others_stay(docs, monkeypatch, file_rows):
-    monkeypatch.setattr(simhash.copies, "__defaults__", (file_rows,))
-    texts, rng = [], random.Random(8)
-    for seed, n in enumerate([60, 150, 300, 700, 1_500, 4_000]):
-        words = [f"{rng.choice('abcdefgh')}{rng.randrange(5_000)}" for _ in range(n)]
-        texts.append(" ".join(words))
-        texts += [changed(words, s, f"copy{k}x") for k, s in enumerate((0.8, 0.82, 0.85, 0.9, 0.95))]
-        texts += [changed(words, s, f"other{k}x") for k, s in enumerate((0.3, 0.5, 0.7))]
-    passage = texts[0]
-    texts += [f"{passage} {prose(900 + k, 80)}" for k in range(40)]  # one common passage, no copies
-    many = [f"w{i}" for i in range(400)]
-    texts += [changed(rng.sample(many, 400) if k == 0 else many, 0.9, f"v{k}x") for k in range(120)]  # a large group
-    texts += [*ODD, texts[9].upper(), texts[9], "one two", "ONE\ttwo", "one three", prose(77, 30_000)]
-    frame = docs(texts, extra=True).unionByName(docs({None: texts[18]}, extra=True)).unionByName(docs({12: texts[12]}, extra=True))
-    kept = corpus_pipeline.drop_near_copies(frame.sparkSession, frame, "")
-    assert kept.columns == frame.columns
-    ids = sorted(r.doc_id for r in kept.collect())
-    assert len(ids) == len(set(ids))
-    sets = [plain.shingles(t) for t in texts]
-    near = [[j for j in range(len(sets)) if j != i and plain.jaccard(sets[i], sets[j]) >= 0.8] for i in range(len(sets))]
-    similar = [plain.jaccard(sets[i], sets[j]) for i in range(len(sets)) for j in near[i]]
-    assert sum(0.8 <= s < 0.85 for s in similar) > 20 and sum(0.85 <= s < 0.96 for s in similar) > 20
-    assert not [(i, j) for i in ids for j in near[i] if j in set(ids)]  # no two copies are left
-    assert all(min(near[i]) < i for i in set(range(len(sets))) - set(ids))  # what went is a copy of an earlier one
-    assert {i for i in range(len(sets)) if not near[i]} <= set(ids)
-
-
-def test_dissimilar_rows_without_a_key_or_a_word(docs):
-    frame = docs({None: "same text here now"}).union(docs({None: "same text here now"})).union(docs({4: None, 3: ""}))
-    assert sorted((r.doc_id is None, r.doc_id) for r in simhash.keep_dissimilar(frame).collect()) == [(False, 3), (True, None)]
-    assert simhash.keep_dissimilar(docs([]).where("false")).count() == 0
-
-
 @pytest.mark.parametrize("file_rows", [2_048, 40])
 def test_links_connect_what_two_bits_connect(spark, file_rows):
     rng = random.Random(3)
