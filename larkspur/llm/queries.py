@@ -149,28 +149,29 @@ def op4_warc_derivatives(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def _duck_regex(pattern: str) -> str:
-    return "'" + pattern.replace("'", "''") + "'"
-
-
 def _duck_replace(value: str, pattern: str, by: str) -> str:
-    return f"regexp_replace({value}, {_duck_regex(pattern)}, {by}, 'g')"
+    return f"regexp_replace({value}, '{pattern}', {by}, 'g')"
 
 
 def _duck_unescaped(value: str) -> str:
-    for entity, character in warc.ENTITIES.items():
-        value = f"replace({value}, '{entity}', '{character.replace(chr(39), chr(39) * 2)}')"
+    for entity, character in [("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("#39", "''"), ("amp", "&")]:
+        value = f"replace({value}, '&{entity};', '{character}')"
     return value
 
 
 def _warc_oracle() -> str:
+    """Patterns of its own: elements and attributes as this SQL understands them."""
     eol, spaces = "chr(13) || chr(10)", r"[ \t\r\n\f\x0B]+"
+    blocks = "p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|section|article|header|footer|nav|main|aside|pre|blockquote|head|body|html"
+    elements = "|".join(rf"<{name}\b.*?</{name}\s*>" for name in ("script", "style", "title"))
+    seen = _duck_replace("payload", f"(?is)<!--.*?-->|{elements}", "' '")
     one_line = lambda v: f"trim({_duck_replace(v, spaces, repr(' '))})"
-    flat = _duck_replace(_duck_replace("payload", warc.HIDDEN, "' '"), spaces, "' '")
-    text = _duck_unescaped(_duck_replace(_duck_replace(flat, warc.BREAKS, "chr(10)"), warc.TAGS, "''"))
+    tags = "<[/!?A-Za-z][^>]*>"
+    lines = _duck_replace(_duck_replace(seen, spaces, "' '"), rf"(?i)</?({blocks})\b[^>]*>", "chr(10)")
+    text = _duck_unescaped(_duck_replace(lines, tags, "''"))
     text = f"trim({_duck_replace(_duck_replace(text, ' +', repr(' ')), ' ?[\n][ \n]*', 'chr(10)')}, ' ' || chr(10))"
-    title = _duck_replace(f"regexp_extract(payload, {_duck_regex(warc.TITLE)}, 1)", warc.TAGS, "''")
-    links = f"regexp_extract_all({_duck_replace('payload', warc.HIDDEN, repr(' '))}, {_duck_regex(warc.LINK)}, 1)"
+    title = _duck_replace(r"regexp_extract(payload, '(?is)<title\b[^>]*>(.*?)</title\s*>', 1)", tags, "''")
+    links = rf"""regexp_extract_all({seen}, '(?is)<a\b[^>]*?\bhref\s*=\s*["'']([^"''>]*)', 1)"""
     urn = lambda v: (
         f"(SELECT '<urn:uuid:' || h[1:8] || '-' || h[9:12] || '-3' || h[14:16] || '-8' || h[18:20] || '-' || h[21:32] || '>' "
         f"FROM (SELECT md5({v}) AS h))"
@@ -178,7 +179,7 @@ def _warc_oracle() -> str:
     return f"""
 WITH pages_read AS (
   SELECT page_id, replace(replace(coalesce(url, ''), chr(13), '%0D'), chr(10), '%0A') AS target, coalesce(url, '') AS raw,
-         coalesce(html, '') AS payload, '{warc.CAPTURED}' AS captured, 'sha256:' || sha256(coalesce(html, '')) AS payload_digest
+         coalesce(html, '') AS payload, '2024-01-01T00:00:00Z' AS captured, 'sha256:' || sha256(coalesce(html, '')) AS payload_digest
   FROM pages),
 captures AS (
   SELECT *, {urn("'response|' || raw || '|' || captured || '|' || payload_digest")} AS refers_to,
@@ -187,7 +188,7 @@ captures AS (
 made AS (
   SELECT *, 'metadata' AS record_type, 'application/warc-fields' AS type,
          'title: ' || {one_line(_duck_unescaped(title))} || {eol}
-         || 'language: ' || regexp_extract(payload, {_duck_regex(warc.LANGUAGE)}, 1) || {eol}
+         || 'language: ' || regexp_extract(payload, '(?is)<html\\b[^>]*?\\blang\\s*=\\s*["'']?([A-Za-z-]+)', 1) || {eol}
          || 'source-payload-digest: ' || payload_digest || {eol}
          || 'source-header: HTTP/1.1 200 OK' || {eol} || 'source-header: Content-Type: text/html; charset=utf-8' || {eol}
          || 'source-header: Content-Length: ' || strlen(payload) || {eol}

@@ -1,23 +1,36 @@
 """WARC derivative builder: metadata and plain-text conversion records linked to the responses they were made from.
 
-All in DataFrame functions, a map over the rows.  Record ids are named by what a record holds, so a task that runs twice
+A page is read in Arrow batches, in time that grows with its length whatever is left unclosed in it; records are put together
+in DataFrame functions.  Both are a map over the rows.  Record ids are named by what a record holds, so a task that runs twice
 gives the same ids; captures that are equal in every respect share them.
 """
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.llm.common import adding, decoded, small
+
 EOL = "\r\n"
 CAPTURED = "2024-01-01T00:00:00Z"
-# Fixed patterns of what leaves no text, of tags that break a line, and of all other tags.
-HIDDEN = r"(?is)<!--.*?-->|<script\b.*?</script\s*>|<style\b.*?</style\s*>|<title\b.*?</title\s*>"
-BREAKS = r"(?i)</?(p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|section|article|header|footer|nav|main|aside|pre|blockquote|head|body|html)\b[^>]*>"
-TAGS = r"<[/!?A-Za-z][^>]*>"
-TITLE = r"(?is)<title\b[^>]*>(.*?)</title\s*>"
-LANGUAGE = r"(?is)<html\b[^>]*?\blang\s*=\s*[\"']?([A-Za-z-]+)"
-LINK = r"(?is)<a\b[^>]*?\bhref\s*=\s*[\"']([^\"'>]*)"
+# What leaves no text: comments, and these elements with all inside them.
+_HIDDEN = re.compile(r"<(?:(!--)|(script|style|title)\b)", re.IGNORECASE | re.ASCII)
+_CLOSERS = {name: re.compile(rf"</{name}\s*+>", re.IGNORECASE | re.ASCII) for name in ("script", "style", "title")}
+_SPACE = re.compile(r"[ \t\r\n\f\x0B]+")
+# Tags that break a line, and all other tags; used where a ">" follows only.
+_BREAKS = re.compile(
+    r"</?(?:p|div|br|hr|li|ul|ol|dl|dt|dd|h[1-6]|tr|td|th|table|section|article|header|footer|nav|main|aside|pre|blockquote|head|body|html)\b[^>]*>",
+    re.IGNORECASE | re.ASCII,
+)
+_TAGS = re.compile(r"<[/!?A-Za-z][^>]*>")
+_OPENERS = {name: re.compile(rf"<{name}\b", re.IGNORECASE | re.ASCII) for name in ("a", "html", "title")}
+_LANG = re.compile(r"\blang\s*+=\s*+[\"']?([A-Za-z-]+)", re.IGNORECASE | re.ASCII)
+_HREF = re.compile(r"\bhref\s*+=\s*+[\"']([^\"'>]*)", re.IGNORECASE | re.ASCII)
 ENTITIES = {"&nbsp;": " ", "&lt;": "<", "&gt;": ">", "&quot;": '"', "&#39;": "'", "&amp;": "&"}  # the ampersand last
 
 
@@ -33,21 +46,89 @@ def record_id(*parts: Column) -> Column:
     return F.concat(F.lit("<urn:uuid:"), F.concat_ws("-", *pieces), F.lit(">"))
 
 
-def _unescaped(text: Column) -> Column:
+def _unescaped(text: str) -> str:
     for entity, character in ENTITIES.items():
-        text = F.replace(text, F.lit(entity), F.lit(character))
+        text = text.replace(entity, character)
     return text
 
 
-def _one_line(text: Column) -> Column:
-    return F.trim(F.regexp_replace(text, r"[ \t\r\n\f\x0B]+", " "))
+def _one_line(text: str) -> str:
+    return _SPACE.sub(" ", text).strip(" ")
+
+
+def _untagged(text: str, breaks: str | None = None) -> str:
+    """``text`` without tags; what follows the last ``>`` holds none, however many begin there."""
+    end = text.rfind(">") + 1
+    head = text[:end]
+    return _TAGS.sub("", head if breaks is None else _BREAKS.sub(breaks, head)) + text[end:]
+
+
+def shown(page: str) -> str:
+    """``page`` with a space for each comment, script, style sheet and title that is closed; unclosed ones stay."""
+    out, at, open_for_good = [], 0, set()
+    for mark in _HIDDEN.finditer(page):
+        kind = (mark[1] or mark[2]).lower()
+        if mark.start() < at or kind in open_for_good:
+            continue
+        if kind == "!--":
+            end = page.find("-->", mark.end()) + 3
+        else:
+            close = _CLOSERS[kind].search(page, mark.end())
+            end = close.end() if close else 2
+        if end < 3:
+            open_for_good.add(kind)  # nor is any later one closed
+            continue
+        out += [page[at : mark.start()], " "]
+        at = end
+    return "".join(out) + page[at:]
+
+
+def plain_text(visible: str) -> str:
+    """Text of a page's visible part: a line per block, white space collapsed, empty lines dropped."""
+    text = _unescaped(_untagged(_SPACE.sub(" ", visible), "\n"))
+    return re.sub(r" ?\n[ \n]*", "\n", re.sub(" +", " ", text)).strip(" \n")
+
+
+def title_of(page: str) -> str:
+    """Text of the first title that is closed; empty if none is."""
+    mark = _OPENERS["title"].search(page)
+    begin = page.find(">", mark.end()) + 1 if mark else 0
+    close = _CLOSERS["title"].search(page, begin) if begin else None
+    return _one_line(_unescaped(_untagged(page[begin : close.start()]))) if close else ""
+
+
+def _in_tags(page: str, name: str, attribute: re.Pattern) -> Iterator[str]:
+    """Values of an attribute in tags of one name; a tag that nothing closes reaches to the end of the page."""
+    at = limit = 0
+    while mark := _OPENERS[name].search(page, at):
+        if mark.end() > limit:
+            limit = page.find(">", mark.end())
+            limit = len(page) if limit < 0 else limit
+        found = attribute.search(page, mark.end(), limit)
+        if found:
+            yield found[1]
+        at = found.end() if found else limit
+
+
+def read_page(page: str) -> tuple[str, str, list[str], str]:
+    """Title, language, links in page order, and text."""
+    visible = shown(page)
+    links = [_one_line(_unescaped(x)) for x in _in_tags(visible, "a", _HREF)]
+    return title_of(page), next(_in_tags(page, "html", _LANG), ""), links, plain_text(visible)
+
+
+def _read(responses: DataFrame) -> DataFrame:
+    """``responses`` with ``title, language, links, text`` in place of the payload."""
+    kept = [c for c in responses.columns if c != "payload"]
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small(batches):
+            found = list(zip(*map(read_page, decoded(batch.column("payload"))), strict=True)) if batch.num_rows else [()] * 4
+            kinds = [pa.string(), pa.string(), pa.list_(pa.string()), pa.string()]
+            made = [pa.array(f, kind) for f, kind in zip(found, kinds, strict=True)]
+            yield pa.record_batch([*[batch.column(c) for c in kept], *made], names=[*kept, "title", "language", "links", "text"])
 
-def plain_text(html: Column) -> Column:
-    """Visible text: a line per block of the page, white space collapsed, empty lines dropped."""
-    flat = F.regexp_replace(F.regexp_replace(html, HIDDEN, " "), r"[ \t\r\n\f\x0B]+", " ")
-    text = _unescaped(F.regexp_replace(F.regexp_replace(flat, BREAKS, "\n"), TAGS, ""))
-    return F.trim(F.regexp_replace(F.regexp_replace(text, " +", " "), r" ?\n[ \n]*", "\n"), F.lit(" \n"))
+    return responses.mapInArrow(run, adding(responses.select(*kept).schema, "title string, language string, links array<string>, text string"))
 
 
 def _listed(name: str, values: Column) -> Column:
@@ -84,20 +165,17 @@ def derivatives(captures: DataFrame) -> DataFrame:
     breaks.  Repeated responses give repeated records; an empty table gives none.
     """
     target = F.replace(F.replace("target", F.lit("\r"), F.lit("%0D")), F.lit("\n"), F.lit("%0A"))
-    shown = F.regexp_replace("payload", HIDDEN, " ")
-    links = F.transform(F.regexp_extract_all(shown, F.lit(LINK), F.lit(1)), lambda x: _one_line(_unescaped(x)))
     fields = F.concat(
-        F.lit("title: "), _one_line(_unescaped(F.regexp_replace(F.regexp_extract("payload", TITLE, 1), TAGS, ""))),
-        F.lit(f"{EOL}language: "), F.regexp_extract("payload", LANGUAGE, 1),
+        F.lit("title: "), "title", F.lit(f"{EOL}language: "), "language",
         F.lit(f"{EOL}source-payload-digest: "), F.col("payload_digest"), F.lit(EOL),
         _listed("source-header: ", F.split(F.regexp_replace("http", r"(\r\n)+$", ""), r"\r\n")), _listed("outlink: ", F.col("links")),
     )
-    read = captures.withColumn("target", target).withColumn("links", links)
+    read = _read(captures).withColumn("target", target)
     made = read.select(
         "row", "target", "captured", "payload_digest", "response_id", F.size("links").alias("n_links"),
         F.explode(F.array(
             F.struct(F.lit("metadata").alias("kind"), F.lit("application/warc-fields").alias("type"), fields.alias("content")),
-            F.struct(F.lit("conversion").alias("kind"), F.lit("text/plain; charset=utf-8").alias("type"), plain_text(F.col("payload")).alias("content")),
+            F.struct(F.lit("conversion").alias("kind"), F.lit("text/plain; charset=utf-8").alias("type"), F.col("text").alias("content")),
         )).alias("d"),
     ).select("*", "d.kind", "d.type", "d.content", digest(F.col("d.content")).alias("block_digest"))
     named = made.withColumn("record_id", record_id(F.col("kind"), F.col("response_id"), F.col("block_digest")))

@@ -26,15 +26,6 @@ def simhash(text: str | None) -> int:
     return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
 
 
-def shingles(text: str | None, size: int = 5) -> frozenset[str]:
-    words = WORD.findall(lower_ascii(text or ""))
-    return frozenset([" ".join(words[i : i + size]) for i in range(len(words) - size + 1)] or ([" ".join(words)] if words else []))
-
-
-def jaccard(a: frozenset, b: frozenset) -> float:
-    return len(a & b) / len(a | b) if a | b else 1.0
-
-
 def smallest_reachable(nodes: list, linked) -> dict:
     """Smallest node reachable from each, None last; ``linked(i, j)`` over positions."""
     n, label = len(nodes), list(range(len(nodes)))

@@ -6,6 +6,7 @@ import math
 import random
 import re
 import sys
+import time
 from collections import Counter, defaultdict
 from pathlib import Path
 
@@ -120,6 +121,28 @@ def test_written_files_are_valid(pages, tmp_path):
     assert found == Counter((r.record_id, r.refers_to, r.content) for r in records.collect())
 
 
+MARKS = ["<!-- a ", "<html ", "<a ", '<a href="x" ', "<a href ", "<script", "<script>", "<title ", "<title>", "</title  ", "<style><!--", "<p", "<p ", "&lt;",
+         "<", ">", " \n", "<html lang", "<a href=", "<!-- --"]
+
+
+@pytest.mark.parametrize("mark", MARKS)
+def test_a_megabyte_of_any_mark_takes_seconds(mark):
+    start = time.process_time()
+    warc.read_page(mark * (1_000_000 // len(mark)))
+    assert time.process_time() - start < 6  # linear: under two seconds on an idle core
+
+
+def test_pages_by_hand():
+    """Title, language, links and text as a reader of the page would give them."""
+    page = ('<!-- <html lang="xx"> --><HTML class=x lang = "pt-BR"><title>A &lt;b&gt;\n c</title><style>p</style><body><p>One&nbsp;two<br>three'
+            '<A class=q href=\'/x?a&amp;b\'>link</a><script>var a = "<a href=\\"no\\">";</script> x < y <!-- gone --> z<li>four')
+    title, language, links, text = warc.read_page(page)
+    assert (title, links, text) == ("A <b> c", ["/x?a&b"], "One two\nthreelink x < y z\nfour")
+    assert language == "xx"  # of the first tag, as the patterns of the records have it
+    assert warc.read_page("<title>open <p>a<a href='1' <a href='2'>b<!-- open") == ("", "", ["1", "2"], "open\nab<!-- open")
+    assert warc.read_page("") == ("", "", [], "")
+
+
 # --- mixing -------------------------------------------------------------------------------------------------------
 
 

@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
-import corpus_pipeline  # noqa: E402
 import plain  # noqa: E402
 from larkspur.llm import bpe, langid, queries, simhash, substrings  # noqa: E402
 
