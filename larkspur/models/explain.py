@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import random
+from collections.abc import Callable
+from dataclasses import dataclass
 from math import gcd
 
 from pyspark.ml import PipelineModel
@@ -10,11 +11,57 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.models.tabular import chance, feature_values
 from larkspur.models.train import feature_names
 from larkspur.operators.ids import assign_ids
 from larkspur.operators.scale import keep
 
 
+# Multipliers of the steps of a shuffle, the fractional digits of two irrational numbers.
+STEP, OFFSET = 618_033_989, 414_213_562
+
+
+@dataclass(frozen=True)
+class Judge:
+    """What explanations need of a model, fitted or fixed: names of features, rows to vectors, vectors to predictions."""
+
+    names: list[str]
+    encode: Callable[[DataFrame], DataFrame]  # adds ``own``, the features as an array of doubles
+    decide: Callable[[DataFrame], DataFrame]  # from ``own``, adds ``prediction`` and, for classes, ``chance`` of class 1
+
+
+def judge_of(model: PipelineModel | Judge) -> Judge:
+    """A fitted pipeline as a judge: its last stage decides, the others encode."""
+    if isinstance(model, Judge):
+        return model
+    fitted, head = model.stages[-1], PipelineModel(model.stages[:-1])
+
+    def encode(rows: DataFrame) -> DataFrame:
+        return head.transform(rows).withColumn("own", vector_to_array("features"))
+
+    def decide(vectors: DataFrame) -> DataFrame:
+        scored = fitted.transform(vectors.drop("features").withColumn("features", array_to_vector("own")))
+        chance = {"chance": vector_to_array("probability")[1]} if "probability" in scored.columns else {}
+        return scored.select(*vectors.columns, "prediction", *[c.alias(n) for n, c in chance.items()])
+
+    return Judge(feature_names(model), encode, decide)
+
+
+def linear_judge(weights: dict[tuple[str, str | None], float], intercept: float, classes: bool = True) -> Judge:
+    """A fixed linear rule: class 1 where the weighted sum is positive, or the sum itself as the prediction."""
+    features, values = list(weights), F.array(*[F.lit(float(w)) for w in weights.values()])
+
+    def decide(vectors: DataFrame) -> DataFrame:
+        terms = F.zip_with("own", values, lambda x, w: x * w)
+        margin = F.aggregate(terms, F.lit(float(intercept)), lambda a, b: a + b)
+        if not classes:
+            return vectors.withColumn("prediction", margin)
+        return vectors.withColumns({"prediction": (margin > 0).cast("double"), "chance": chance(margin)})
+
+    names = [c if level is None else f"{c}_{level}" for c, level in features]
+    return Judge(names, lambda rows: rows.withColumn("own", feature_values(features)), decide)
+
+
 def _ranked(spark, names: list[str], values: list[float]) -> DataFrame:
     """A fitted model's own numbers, one per feature, largest first."""
     pairs = sorted(zip(names, map(float, values), strict=True), key=lambda p: (-p[1], p[0]))
@@ -31,18 +78,18 @@ def impurity_importance(spark, model: PipelineModel) -> DataFrame:
 
 
 def _affine_steps(n: int, repeats: int, seed: int) -> list[tuple[int, int]]:
-    """``repeats`` one-to-one maps i -> (a i + b) mod n of the row numbers 0 .. n-1."""
-    draw = random.Random(seed)
-    steps = []
-    while len(steps) < repeats:
-        a, b = draw.randrange(1, max(n, 2)), draw.randrange(max(n, 1))
-        if gcd(a, max(n, 1)) == 1:
-            steps.append((a, b))
+    """``repeats`` one-to-one maps i -> (a i + b) mod n of the row numbers 0 .. n-1, by plain arithmetic that SQL can repeat."""
+    n, steps = max(n, 1), []
+    for r in range(1, repeats + 1):
+        a = 1 + (r * STEP + seed) % n
+        while gcd(a, n) > 1:
+            a += 1
+        steps.append((a, (r * OFFSET + seed) % n))
     return steps
 
 
 def permutation_importance(
-    model: PipelineModel, rows: DataFrame, key: str, label: str, metric: str, repeats: int = 10, seed: int = 42
+    model: PipelineModel | Judge, rows: DataFrame, key: str, label: str, metric: str, repeats: int = 10, seed: int = 42
 ) -> DataFrame:
     """Mean drop of ``metric`` ('recall' of class 1, or 'r2') when one feature is shuffled among the rows.
 
@@ -51,12 +98,10 @@ def permutation_importance(
     shuffle grows with rows x repeats, not with the number of features.  A row whose own value equals the borrowed one
     keeps its prediction and is not scored again, which is most rows of a rare 0/1 column and all of a constant one.
     """
-    fitted, head = model.stages[-1], PipelineModel(model.stages[:-1])
-    names = feature_names(model)
-    vectors = head.transform(rows).select(key, "features", F.col(label).cast("double").alias("y"))
-    based = fitted.transform(vectors).select(
-        key, vector_to_array("features").alias("own"), "y", F.col("prediction").alias("base")
-    )
+    judge = judge_of(model)
+    names = judge.names
+    vectors = judge.encode(rows).select(key, "own", F.col(label).cast("double").alias("y"))
+    based = judge.decide(vectors).select(key, "own", "y", F.col("prediction").alias("base"))
     numbered = keep(assign_ids(based, key, "i", start=0), "permutation-rows")
     n = numbered.count()
     steps = F.array(
@@ -75,9 +120,9 @@ def permutation_importance(
     swapped = (
         pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("f"))
         .where(F.get("own", F.col("f")) != F.get("lent", F.col("f")))
-        .select("y", "base", "repeat", "f", array_to_vector(_swap()).alias("features"))
+        .select("y", "base", "repeat", "f", _swap().alias("own"))
     )
-    rescored = fitted.transform(swapped)
+    rescored = judge.decide(swapped)
     new, old, y = F.col("prediction"), F.col("base"), F.col("y")
     if metric == "recall":
         hits, asked = F.count_if((y == 1) & (old == 1)), F.count_if(y == 1)
@@ -124,19 +169,19 @@ def feature_grid(rows: DataFrame, feature: str, size: int = 100) -> list[float]:
     return [low + (high - low) * k / (size - 1) for k in range(size)]
 
 
-def partial_dependence(model: PipelineModel, rows: DataFrame, feature: str, size: int = 100) -> DataFrame:
+def partial_dependence(model: PipelineModel | Judge, rows: DataFrame, feature: str, size: int = 100) -> DataFrame:
     """Mean probability of class 1 with ``feature`` set to each grid value for every row.
 
-    The grid, at most ``size`` numbers, is part of the plan: each row is repeated per value where it is, scored and
-    averaged, and only the averages move.
+    Rows that agree in all other features are one vector with a count: only distinct vectors meet the grid, which is at most
+    ``size`` numbers in the plan, and only averages move after that.
     """
-    grid = feature_grid(rows, feature, size)
-    at = feature_names(model).index(feature)
-    fitted, head = model.stages[-1], PipelineModel(model.stages[:-1])
-    vectors = head.transform(rows).select(vector_to_array("features").alias("own"))
-    repeated = vectors.select("own", F.explode(F.array(*[F.lit(v) for v in grid])).alias("grid_value"))
+    grid, judge = feature_grid(rows, feature, size), judge_of(model)
+    at = judge.names.index(feature)
+    others = F.transform("own", lambda value, i: F.when(i == at, F.lit(0.0)).otherwise(value))
+    vectors = judge.encode(rows).groupBy(others.alias("own")).agg(F.count(F.lit(1)).alias("n"))
+    repeated = vectors.select("own", "n", F.explode(F.array(*[F.lit(v) for v in grid])).alias("grid_value"))
     moved = F.transform("own", lambda value, i: F.when(i == at, F.col("grid_value")).otherwise(value))
-    scored = fitted.transform(repeated.select("grid_value", array_to_vector(moved).alias("features")))
-    chance = vector_to_array("probability")[1]
-    averages = scored.groupBy("grid_value").agg(F.avg(chance).alias("avg_prediction"))
+    scored = judge.decide(repeated.select("grid_value", "n", moved.alias("own")))
+    mean = F.sum(F.col("chance") * F.col("n")) / F.sum("n")
+    averages = scored.groupBy("grid_value").agg(mean.alias("avg_prediction"))
     return averages.select(F.lit(feature).alias("feature"), "grid_value", "avg_prediction").orderBy("grid_value")

@@ -24,12 +24,13 @@ SEED, TEST_SHARE = 42, 0.2
 TREES, TREE_DEPTH = 200, 8
 BOOST_ROUNDS, BOOST_DEPTH, BOOST_STEP = 200, 4, 0.1
 LOGISTIC_ITERATIONS = 1000
+BINS, EXACT_BINS = 32, 4096  # values of a feature between which trees look for splits; the larger one for exact trees
 # Not a model setting: memory a task may use for split statistics.  The default of 256 MB needs several passes over
 # the rows per tree level for 200 trees.
 STATISTICS_MB = 512
-# Partitions that training rows are dealt into.  A model setting too, since sampling is seeded per partition: trees depend
-# on it, and on nothing a cluster has.  For large tables pass more to the studies, about one per million rows.
-TRAIN_PARTS = 8
+# Training rows are dealt into one partition per so many rows, and some at least.  Model settings too, since sampling is
+# seeded per partition: trees depend on the number of rows, and on nothing a cluster has.
+PART_ROWS, LEAST_PARTS = 1_000_000, 8
 
 _MESSAGE_NUMBERS = ["crm_emails_sent", "crm_emails_opened", "crm_emails_clicked"]
 CHURN_RAW = ["tenure_months", "mrr", "total_events", "active_days", *_MESSAGE_NUMBERS, "also_ecommerce"]
@@ -54,7 +55,7 @@ class Study:
     label: str
     numeric: tuple[str, ...]
     categories: tuple[str, ...]
-    parts: int = TRAIN_PARTS
+    parts: int | None = None  # of the training rows; from their number unless given
 
     @property
     def train(self) -> DataFrame:
@@ -65,12 +66,12 @@ class Study:
         return self.rows.where("is_test")
 
 
-def _study(split: DataFrame, key: str, label: str, numeric: list[str], categories: list[str], parts: int) -> Study:
+def _study(split: DataFrame, key: str, label: str, numeric: list[str], categories: list[str], parts: int | None) -> Study:
     # Training reads the rows many times; as a table they are joined and aggregated once.
     return Study(keep(split, f"study-{label}"), key, label, tuple(numeric), tuple(categories), parts)
 
 
-def churn_study(t: Tables, as_of: date, parts: int = TRAIN_PARTS) -> Study:
+def churn_study(t: Tables, as_of: date, parts: int | None = None) -> Study:
     """Class shares are the same in both parts; several subscriptions of one customer stay on one side."""
     features = churn_features(t, as_of, keep_id=True)
     split = stratified_hold_out(features, "customer_id", "churned", SEED, TEST_SHARE)
@@ -82,30 +83,35 @@ def with_numbers(study: Study, numeric: list[str]) -> Study:
     return replace(study, numeric=tuple(numeric))
 
 
-def propensity_study(t: Tables, as_of: date, parts: int = TRAIN_PARTS) -> Study:
+def propensity_study(t: Tables, as_of: date, parts: int | None = None) -> Study:
     split = stratified_hold_out(propensity_features(t, as_of), "customer_id", "purchased", SEED, TEST_SHARE)
     return _study(split, "customer_id", "purchased", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES, parts)
 
 
-def ltv_study(t: Tables, as_of: date, parts: int = TRAIN_PARTS) -> Study:
+def ltv_study(t: Tables, as_of: date, parts: int | None = None) -> Study:
     features = log_target(ltv_features(t, as_of)).drop("back")
     split = hold_out(features, "customer_id", SEED, TEST_SHARE)
     return _study(split, "customer_id", "log_ltv", CUSTOMER_NUMBERS, CUSTOMER_CATEGORIES, parts)
 
 
+def training_parts(study: Study) -> int:
+    """Partitions of the training rows: a function of their number alone."""
+    return study.parts or max(LEAST_PARTS, -(-study.train.count() // PART_ROWS))
+
+
 def fit(study: Study, estimator: Estimator, balanced: bool = False) -> PipelineModel:
     """Fit encoder, assembler and estimator on the training part.
 
     The encoder's levels come from the training rows; the fitted pipeline carries them, so a saved model needs no
-    separate list of features.  Rows reach the estimator in ``study.parts`` partitions by their unique key, each in key
-    order, so the same rows give the same model on any cluster.
+    separate list of features.  Rows reach the estimator in partitions by their unique key, each in key order, and as many as
+    the number of rows asks for, so the same rows give the same model on any cluster.
     """
     rows = with_class_weights(study.train, study.label) if balanced else study.train
     if balanced:
         estimator = estimator.copy({estimator.weightCol: "weight"})
     encoder = Encoder.fit(study.train, list(study.categories))
     stages = [*encoder.stages(), assembler(list(study.numeric), encoder)]
-    rows = rows.repartition(study.parts, study.key).sortWithinPartitions(study.key)
+    rows = rows.repartition(training_parts(study), study.key).sortWithinPartitions(study.key)
     return Pipeline(stages=[*stages, estimator.copy({estimator.labelCol: study.label})]).fit(rows)
 
 
@@ -131,6 +137,13 @@ def forest_classifier(study: Study, trees: int = TREES, depth: int = TREE_DEPTH)
     return fit(study, estimator, balanced=True)
 
 
+def whole_tree(study: Study, depth: int, classes: bool = True) -> PipelineModel:
+    """One tree that sees all rows, all features and, up to ``EXACT_BINS`` values of a feature, every split."""
+    kind = RandomForestClassifier if classes else RandomForestRegressor
+    settings = {"numTrees": 1, "bootstrap": False, "featureSubsetStrategy": "all", "maxBins": EXACT_BINS}
+    return fit(study, kind(maxDepth=depth, seed=SEED, maxMemoryInMB=STATISTICS_MB, **settings), balanced=classes)
+
+
 def linear(study: Study) -> PipelineModel:
     return fit(study, LinearRegression(regParam=0.0))
 
@@ -143,13 +156,13 @@ def forest_regressor(study: Study, trees: int = TREES, depth: int = TREE_DEPTH)
     return fit(study, estimator)
 
 
-def boosting(study: Study, rounds: int = BOOST_ROUNDS, depth: int = BOOST_DEPTH) -> PipelineModel:
+def boosting(study: Study, rounds: int = BOOST_ROUNDS, depth: int = BOOST_DEPTH, bins: int = BINS) -> PipelineModel:
     """Each round builds on the residuals of all before it; Spark cuts that lineage every ten rounds, given a folder
     for checkpoints."""
     context = study.rows.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(work_folder(study.rows.sparkSession))
-    return fit(study, GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=BOOST_STEP, seed=SEED))
+    return fit(study, GBTRegressor(maxIter=rounds, maxDepth=depth, stepSize=BOOST_STEP, seed=SEED, maxBins=bins))
 
 
 def predict_class(model: PipelineModel, rows: DataFrame, label: str | None = None) -> DataFrame:
