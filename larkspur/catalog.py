@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, FloatType, IntegerType, ShortType
 
+from larkspur.fixed_models import FIXED_ORACLES, FIXED_QUERIES
 from larkspur.model_facts import FACT_ORACLES, fact_queries
 from larkspur.models import evaluate, explain, score, train
 from larkspur.models.prepare import align_features, class_weights, one_hot_drop_first
@@ -495,7 +496,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
-ORACLES.update(FACT_ORACLES)
+ORACLES.update(FACT_ORACLES | FIXED_ORACLES)
 
 
 def _table_query(build: Callable[[Tables], DataFrame]) -> Query:
@@ -509,7 +510,7 @@ def _model_query(build: Callable[[SparkSession, Lab], DataFrame]) -> Query:
 FACT_QUERIES = fact_queries(_save_and_back)
 
 QUERIES: dict[str, Query] = {
-    **{name: _table_query(build) for name, build in TABLE_QUERIES.items()},
+    **{name: _table_query(build) for name, build in (TABLE_QUERIES | FIXED_QUERIES).items()},
     **{name: _model_query(build) for name, build in MODEL_QUERIES.items()},
     **{name: _model_query(build) for name, build in FACT_QUERIES.items()},
 }

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from datetime import date, datetime
 
 from pyspark.ml import PipelineModel
@@ -9,6 +10,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larkspur.models.tabular import chance, linear_margin, tree_score
 from larkspur.models.train import predict_class, predict_value
 from larkspur.plans.features import churn_scoring_features, propensity_scoring_features
 from larkspur.sources.sinks import full_refresh, typed
@@ -29,14 +31,47 @@ def score_ltv(model: PipelineModel, features: DataFrame) -> DataFrame:
     return predict_value(model, features).select("customer_id", F.col("predicted").alias("predicted_ltv"))
 
 
+Rule = Callable[[DataFrame], DataFrame]  # adds the column ``score``
+
+
+def weight_rule(weights: DataFrame, numbers: list[str], categories: list[str]) -> Rule:
+    """A probability from a weight table."""
+    return lambda rows: linear_margin(rows, weights, numbers, categories).withColumn("score", chance(F.col("margin"))).drop("margin")
+
+
+def node_rule(nodes: DataFrame, features: list[tuple[str, str | None]], depth: int, mean: bool = True) -> Rule:
+    """The mean or the sum of the trees of a node table."""
+    return lambda rows: tree_score(rows, nodes, features, depth, mean)
+
+
+def churn_by(rule: Rule, t: Tables, as_of: date) -> DataFrame:
+    scored = rule(churn_scoring_features(t, as_of))
+    return scored.groupBy("customer_id").agg(F.max("score").alias("churn_risk_score"))
+
+
+def people_by(propensity: Rule, value: Rule, t: Tables, as_of: date) -> DataFrame:
+    """``customer_id``, ``purchase_propensity_score``, ``predicted_ltv``; ``value`` scores in log scale."""
+    first = propensity(propensity_scoring_features(t, as_of)).withColumnRenamed("score", "purchase_propensity_score")
+    return value(first).select("customer_id", "purchase_propensity_score", F.expm1("score").alias("predicted_ltv"))
+
+
+def score_customers_by(churn: Rule, propensity: Rule, value: Rule, t: Tables, as_of: date, scored_at: datetime) -> DataFrame:
+    """Rows of the score table from models kept as tables; no fitted model is needed."""
+    return _score_rows(people_by(propensity, value, t, as_of), churn_by(churn, t, as_of), scored_at)
+
+
+def _score_rows(people: DataFrame, risks: DataFrame, scored_at: datetime) -> DataFrame:
+    merged = people.join(risks, "customer_id", "full_outer")
+    return typed(merged.withColumn("scored_at", F.lit(scored_at).cast("timestamp")), "customer_scores")
+
+
 def score_customers(
     churn: PipelineModel, propensity: PipelineModel, ltv: PipelineModel, t: Tables, as_of: date, scored_at: datetime
 ) -> DataFrame:
     """Rows of the score table.  Two models run over the customer features one after the other, in one pass; only the
     churn scores, of active subscribers, are joined."""
     people = score_both(propensity, ltv, propensity_scoring_features(t, as_of))
-    merged = people.join(score_churn(churn, t, as_of), "customer_id", "full_outer")
-    return typed(merged.withColumn("scored_at", F.lit(scored_at).cast("timestamp")), "customer_scores")
+    return _score_rows(people, score_churn(churn, t, as_of), scored_at)
 
 
 def score_both(propensity: PipelineModel, ltv: PipelineModel, features: DataFrame) -> DataFrame:
