@@ -16,10 +16,10 @@ from pyspark.sql.types import DecimalType, FloatType, IntegerType, ShortType
 
 from larkspur.fixed_models import FIXED_ORACLES, FIXED_QUERIES
 from larkspur.model_facts import FACT_ORACLES, fact_queries
-from larkspur.models import evaluate, explain, score, train
+from larkspur.models import evaluate, explain, score, tabular, train
 from larkspur.models.prepare import align_features, class_weights, one_hot_drop_first
 from larkspur.operators import aggregates, experiment, filters, ids, joins, quality, windows
-from larkspur.operators.scale import work_folder
+from larkspur.operators.scale import keep, work_folder
 from larkspur.oracles import BUYER_COUNTRY, MIN_ORDERS, ORACLES, REPORT_YEAR
 from larkspur.plans import exports, features, metrics, reports
 from larkspur.sources import sinks
@@ -244,6 +244,10 @@ class Lab:
         self.ltv_forest = cache(lambda: train.forest_regressor(self.ltv()))
         self.ltv_linear = cache(lambda: train.linear(self.ltv()))
         self.ltv_boosting = cache(lambda: train.boosting(self.ltv()))
+        spark = t.customers.sparkSession
+        self.churn_nodes = cache(lambda: keep(tabular.node_table(spark, self.churn_forest()), "churn-nodes"))
+        self.ltv_nodes = cache(lambda: keep(tabular.node_table(spark, self.ltv_forest()), "ltv-nodes"))
+        self.boosting_nodes = cache(lambda: keep(tabular.node_table(spark, self.ltv_boosting()), "boosting-nodes"))
 
     def churn_logistic(self) -> DataFrame:
         """Held-out reports of the three logistic variants."""

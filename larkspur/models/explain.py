@@ -11,7 +11,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.models.tabular import chance, feature_values
+from larkspur.models.tabular import chance, feature_values, tree_score
 from larkspur.models.train import feature_names
 from larkspur.operators.ids import assign_ids
 from larkspur.operators.scale import keep
@@ -62,6 +62,19 @@ def linear_judge(weights: dict[tuple[str, str | None], float], intercept: float,
     return Judge(names, lambda rows: rows.withColumn("own", feature_values(features)), decide)
 
 
+def tree_judge(nodes: DataFrame, features: list[tuple[str, str | None]], depth: int, classes: bool = True, mean: bool = True) -> Judge:
+    """A model kept as a table of nodes."""
+
+    def decide(vectors: DataFrame) -> DataFrame:
+        scored = tree_score(vectors, nodes, features, depth, mean, F.col("own"))
+        if not classes:
+            return scored.withColumnRenamed("score", "prediction")
+        return scored.withColumn("prediction", (F.col("score") > 0.5).cast("double")).withColumnRenamed("score", "chance")
+
+    names = [c if level is None else f"{c}_{level}" for c, level in features]
+    return Judge(names, lambda rows: rows.withColumn("own", feature_values(features)), decide)
+
+
 def _ranked(spark, names: list[str], values: list[float]) -> DataFrame:
     """A fitted model's own numbers, one per feature, largest first."""
     pairs = sorted(zip(names, map(float, values), strict=True), key=lambda p: (-p[1], p[0]))

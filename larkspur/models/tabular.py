@@ -76,17 +76,23 @@ def feature_values(features: list[tuple[str, str | None]]) -> Column:
     return F.array(*[one(c, level) for c, level in features])
 
 
-def tree_score(rows: DataFrame, nodes: DataFrame, features: list[tuple[str, str | None]], depth: int, mean: bool = True) -> DataFrame:
-    """``rows`` with ``score``: the weighted mean over trees of the value of the leaf a row falls into, or the weighted sum.
-
-    The nodes are one array per tree, a value in the plan as large as the model; a row walks ``depth`` steps down each.
-    """
+def packed_trees(nodes: DataFrame, features: list[tuple[str, str | None]]) -> Column:
+    """The nodes as one array per tree: a value in the plan, as large as the model."""
     names = F.array(*[F.lit(f"{c}={level}" if level is not None else c) for c, level in features])
     name = F.when(F.col("level").isNull(), F.col("feature")).otherwise(F.concat_ws("=", "feature", "level"))
     place = F.coalesce(F.array_position(names, name) - 1, F.lit(-1)).cast("int")
     listed = nodes.select("tree", "weight", F.struct("node", place.alias("place"), "threshold", "left", "right", "value").alias("n"))
     trees = listed.groupBy("tree").agg(F.first("weight").alias("weight"), F.array_sort(F.collect_list("n")).alias("nodes"))
-    packed = trees.agg(F.array_sort(F.collect_list(F.struct("tree", "weight", "nodes"))).alias("trees")).scalar()
+    return trees.agg(F.array_sort(F.collect_list(F.struct("tree", "weight", "nodes"))).alias("trees")).scalar()
+
+
+def tree_score(
+    rows: DataFrame, nodes: DataFrame, features: list[tuple[str, str | None]], depth: int, mean: bool = True, own: Column | None = None
+) -> DataFrame:
+    """``rows`` with ``score``: the weighted mean over trees of the value of the leaf a row falls into, or the weighted sum.
+
+    A row walks ``depth`` steps down each tree.  ``own`` gives the features as an array where the columns do not.
+    """
 
     def leaf(tree: Column) -> Column:
         def step(at: Column, _: Column) -> Column:
@@ -96,10 +102,36 @@ def tree_score(rows: DataFrame, nodes: DataFrame, features: list[tuple[str, str
 
         return F.get(tree["nodes"], F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step))["value"]
 
-    own = rows.withColumns({"_own": feature_values(features), "_trees": packed})
+    held = rows.withColumns({"_own": feature_values(features) if own is None else own, "_trees": packed_trees(nodes, features)})
     total = F.aggregate("_trees", F.lit(0.0), lambda sum_, tree: sum_ + tree["weight"] * leaf(tree))
     weight = F.aggregate("_trees", F.lit(0.0), lambda sum_, tree: sum_ + tree["weight"])
-    return own.withColumn("score", total / weight if mean else total).drop("_own", "_trees")
+    return held.withColumn("score", total / weight if mean else total).drop("_own", "_trees")
+
+
+def score_equations(
+    rows: DataFrame, weights: DataFrame, numbers: list[str], categories: list[str], label: str, weight: str | None = None,
+    penalty: float = 1.0,
+) -> DataFrame:
+    """``(feature, level, residual)``: how far each weight of a logistic model is from solving its score equation.
+
+    At the optimum the weighted sum of (label - probability) times a feature equals ``penalty`` times its weight, and zero for the
+    intercept.  Residuals are shares of the weighted sum of the feature's size.  One row per weight, all from one pass.
+    """
+    w = F.col(weight).cast("double") if weight else F.lit(1.0)
+    scored = linear_margin(rows, weights, numbers, categories)
+    off = w * (F.col(label).cast("double") - chance(F.col("margin")))
+    none = F.lit(None).cast("string")
+    terms = [F.struct(F.lit(INTERCEPT).alias("feature"), none.alias("level"), F.lit(1.0).alias("x"))]
+    terms += [F.struct(F.lit(c).alias("feature"), none.alias("level"), F.col(c).cast("double").alias("x")) for c in numbers]
+    terms += [F.struct(F.lit(c).alias("feature"), F.col(c).alias("level"), F.lit(1.0).alias("x")) for c in categories]
+    long = scored.select(off.alias("off"), w.alias("w"), F.explode(F.array(*terms)).alias("t")).select("off", "w", "t.*")
+    sums = long.groupBy(F.col("feature").alias("f"), F.col("level").alias("l")).agg(
+        F.sum(F.col("off") * F.col("x")).alias("s"), F.sum(F.col("w") * F.abs("x")).alias("size")
+    )
+    joined = weights.join(sums, F.col("feature").eqNullSafe(F.col("f")) & F.col("level").eqNullSafe(F.col("l")), "left")
+    pull = F.when(F.col("feature") == INTERCEPT, 0.0).otherwise(penalty * F.col("weight"))
+    residual = F.abs(F.coalesce("s", F.lit(0.0)) - pull) / F.greatest(F.coalesce("size", F.lit(1.0)), F.lit(1.0))
+    return joined.select("feature", "level", residual.alias("residual"))
 
 
 def node_table(spark: SparkSession, model: PipelineModel) -> DataFrame:

@@ -1,5 +1,8 @@
 """Models and explanations on planted data, where the right answer is known."""
 
+import itertools
+import math
+from dataclasses import replace
 from datetime import date, datetime, timedelta
 from decimal import Decimal as D
 
@@ -8,7 +11,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
-from larkspur.models import evaluate, explain, prepare, score, train
+from larkspur.models import evaluate, explain, prepare, score, splits, tabular, train
 from larkspur.models.train import Study
 from larkspur.operators.ids import hold_out
 
@@ -270,3 +273,133 @@ def test_scoring_job(spark, business, tmp_path):
     others = [r.purchase_propensity_score for i, r in stored.items() if i % 7 <= 3]
     assert min(buyers) > max(others)
     assert "engagement_rate" in train.feature_names(train.load_model(paths[0]))
+
+
+# --- models as tables ---------------------------------------------------------------------------------------------
+
+
+def _close(joined, a, b):
+    return joined.agg(F.max(F.abs(F.col(a) - F.col(b)))).first()[0] < 1e-9
+
+
+def test_tables_score_as_the_models_do(spark, study, forest, planted):
+    nodes, features = tabular.node_table(spark, forest), tabular.places(forest)
+    told = train.predict_class(forest, study.test, "y").select("customer_id", "probability")
+    assert _close(tabular.tree_score(study.test, nodes, features, 4).join(told, "customer_id"), "score", "probability")
+    logistic = train.logistic(study, balanced=True)
+    told = train.predict_class(logistic, study.test).select("customer_id", "probability")
+    margin = tabular.linear_margin(study.test, tabular.weight_table(spark, logistic), list(study.numeric), ["kind"])
+    assert _close(margin.withColumn("p", tabular.chance(F.col("margin"))).join(told, "customer_id"), "p", "probability")
+    values = Study(planted, "customer_id", "v", ("x1", "x3"), ("kind",))
+    boosted = train.boosting(values, rounds=5, depth=3)
+    told = boosted.transform(values.test).select("customer_id", "prediction")
+    scored = tabular.tree_score(values.test, tabular.node_table(spark, boosted), tabular.places(boosted), 3, mean=False)
+    assert _close(scored.join(told, "customer_id"), "score", "prediction")
+
+
+def test_importance_from_nodes(spark, forest):
+    by_nodes = {(r.feature, r.level): r.value for r in tabular.importance_from_nodes(tabular.node_table(spark, forest)).collect()}
+    told = dict(zip(tabular.places(forest), forest.stages[-1].featureImportances.toArray().tolist(), strict=True))
+    assert {k: v for k, v in told.items() if v} == pytest.approx(by_nodes)
+
+
+@pytest.mark.parametrize("balanced", [False, True])
+def test_score_equations_hold_for_the_fit_and_for_no_other(spark, study, balanced):
+    rows = prepare.with_class_weights(study.train, "y") if balanced else study.train
+    weights = tabular.weight_table(spark, train.logistic(study, balanced))
+
+    def residuals(table):
+        found = tabular.score_equations(rows, table, list(study.numeric), ["kind"], "y", "weight" if balanced else None)
+        return {(r.feature, r.level): r.residual for r in found.collect()}
+
+    fitted = residuals(weights)
+    assert set(fitted) == {(tabular.INTERCEPT, None), ("x1", None), ("x2", None), ("x3", None), ("kind", "b")}
+    assert max(fitted.values()) < 5e-4
+    for feature in ("x1", "x3", "kind", tabular.INTERCEPT):
+        moved = weights.withColumn("weight", F.col("weight") + F.when(F.col("feature") == feature, 0.2).otherwise(0.0))
+        assert max(residuals(moved).values()) > 1e-3, feature
+
+
+def test_levels_of_any_number_are_joined_not_planned(spark):
+    rows = spark.range(2_000).select("id", F.concat(F.lit("level "), "id").alias("c"), F.lit(2.0).alias("x"))
+    weights = spark.range(1_500).select(F.lit("c").alias("feature"), F.concat(F.lit("level "), "id").alias("level"), F.col("id").cast("double").alias("weight"))
+    weights = weights.union(spark.createDataFrame([(tabular.INTERCEPT, None, 1.0), ("x", None, 3.0)], tabular.WEIGHTS))
+    scored = tabular.linear_margin(rows, weights, ["x"], ["c"])
+    assert {r.id: r.margin for r in scored.collect()} == {i: 7.0 + (i if i < 1_500 else 0) for i in range(2_000)}
+
+
+def _plain_best(rows, names, kind, weights=None):
+    """Every threshold of every feature tried on all rows."""
+    best = None
+    for f, name in enumerate(names):
+        for low, high in itertools.pairwise(sorted({x[f] for x, _ in rows})):
+            sides = [[(y, w) for (x, y), w in zip(rows, weights or [1.0] * len(rows), strict=True) if (x[f] <= (low + high) / 2) == left] for left in (True, False)]
+            both = sides[0] + sides[1]
+
+            def impurity(part):
+                n = sum(w for _, w in part)
+                mean = sum(w * y for y, w in part) / n
+                return n, (2 * mean * (1 - mean) if kind == "gini" else sum(w * (y - mean) ** 2 for y, w in part) / n)
+
+            (n, whole), (a, left), (b, right) = impurity(both), impurity(sides[0]), impurity(sides[1])
+            gain = whole - (a * left + b * right) / n
+            if best is None or gain > best[2] + 1e-12:
+                best = (name, (low + high) / 2, gain)
+    return best
+
+
+@pytest.mark.parametrize("kind", ["gini", "variance"])
+def test_best_split_equals_trying_all_and_the_root_of_a_tree(spark, kind):
+    rows = spark.range(300).select(
+        F.col("id").alias("customer_id"), F.floor(_noise("a") * 7).alias("a"), F.floor(_noise("b") * 20).alias("b"), F.lit(1).alias("same"),
+        F.lit(False).alias("is_test"),
+    )
+    rows = rows.withColumn("y", F.when(F.col("b") + F.col("a") * 2 > 14, 1).otherwise(F.col("customer_id") % 2).cast("int"))
+    label = "y" if kind == "gini" else "v"
+    rows = rows.withColumn("v", F.col("b") * F.col("b") + F.col("y") * 30.0).cache()
+    study = Study(rows, "customer_id", label, ("a", "b", "same"), ())
+    weighted = prepare.with_class_weights(rows, "y") if kind == "gini" else rows.withColumn("weight", F.lit(1.0))
+    local = weighted.select("a", "b", "same", label, "weight").collect()
+    want = _plain_best([((r.a, r.b, r.same), r[label]) for r in local], ["a", "b", "same"], kind, [r.weight for r in local])
+    found = splits.best_split(weighted, ["a", "b", "same"], label, kind, "weight").first()
+    root = tabular.node_table(spark, train.whole_tree(study, 1, classes=kind == "gini")).where("node = 0").first()
+    assert (found.feature, found.threshold) == (root.feature, root.threshold) == want[:2]
+    assert found.gain == pytest.approx(want[2]) == pytest.approx(root.gain)
+    assert splits.best_split(rows, ["same"], label, kind).count() == 0
+
+
+def test_stumps_equal_boosting(spark, planted):
+    rows = planted.withColumn("a", F.floor(F.col("x1") * 40)).withColumn("b", F.floor(F.col("x3") * 30)).withColumn("t", F.col("a") * F.col("a") + F.col("b"))
+    study = Study(rows, "customer_id", "t", ("a", "b"), ())
+    model = train.boosting(study, rounds=3, depth=1, bins=train.EXACT_BINS)
+    found = splits.boosted_stumps(study.train, ["a", "b"], "t", rounds=3).collect()
+    nodes = {(r.tree, r.node): r for r in tabular.node_table(spark, model).collect()}
+    for r in found:
+        root = nodes[r["round"], 0]
+        assert (r.feature, r.threshold, r.weight) == (root.feature, root.threshold, root.weight)
+        assert (nodes[r["round"], root.left].value, nodes[r["round"], root.right].value) == pytest.approx((r.low, r.high))
+
+
+def test_training_partitions_follow_the_rows(planted):
+    study = Study(planted, "customer_id", "y", ("x1",), ())
+    assert train.training_parts(study) == train.LEAST_PARTS
+    assert train.training_parts(replace(study, parts=3)) == 3
+    big = Study(planted.sparkSession.range(40_000_000).select(F.lit(False).alias("is_test")), "customer_id", "y", (), ())
+    assert train.training_parts(big) == 40
+
+
+def test_dependence_of_few_vectors_scores_few(spark, study):
+    """Rows that agree in the other features meet the grid once, whatever their number."""
+    rows = spark.range(5_000).select((F.col("id") % 3).cast("double").alias("a"), (F.col("id") % 2).cast("double").alias("b"))
+    seen = []
+    fixed = explain.linear_judge({("a", None): 1.0, ("b", None): -0.5}, -0.25)
+
+    def counting(vectors):
+        seen.append(vectors.count())
+        return fixed.decide(vectors)
+
+    found = explain.partial_dependence(explain.Judge(fixed.names, fixed.encode, counting), rows, "a").collect()
+    assert seen == [3 * 2]
+    chance = lambda m: 1 / (1 + math.exp(-m))
+    want = {v: (chance(v - 0.25) + chance(v - 0.75)) / 2 for v in (0.0, 1.0, 2.0)}
+    assert {r.grid_value: r.avg_prediction for r in found} == pytest.approx(want)
