@@ -158,11 +158,9 @@ def _fields(records: DataFrame) -> DataFrame:
 
 def _document_and_back(t: Tables) -> DataFrame:
     """Every value of the exported JSON document."""
-    folder = _place(t.customers, "document")
-    exports.export_bundle(t, AS_OF, folder)
-    files = t.customers.sparkSession.read.text(folder, wholetext=True).select(F.input_file_name().alias("file"), "value")
-    ordered = F.array_sort(F.collect_list(F.struct("file", "value")))  # the document is its files in order of their names
-    text = files.agg(F.array_join(F.transform(ordered, lambda f: f["value"]), "").alias("value"))
+    path = f"{_place(t.customers, 'document')}.json"
+    exports.export_bundle(t, AS_OF, path)
+    text = t.customers.sparkSession.read.text(path, wholetext=True)  # one file, parsed as one document
     sections = F.from_json("value", "map<string, array<map<string, string>>>")
     listed = text.select(F.explode(sections).alias("dataset", "records"))
     return _fields(listed.select("dataset", F.posexplode("records").alias("place", "record")).withColumn("place", F.col("place") + 1))
@@ -486,7 +484,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "report_funnel_pct": lambda t: reports.report_funnel_pct(aggregates.funnel_by_year(t)),
     "report_retention": lambda t: reports.report_retention(
-        metrics.retention_by_year(t.orders, "order_date"), REPORT_YEAR
+        metrics.retention_by_year(t.between(*reports.year_span(REPORT_YEAR, months_after=1)).orders, "order_date"), REPORT_YEAR
     ),
     "report_churn_bands": lambda t: reports.report_churn_bands(aggregates.churn_bands_by_year(t)),
     "report_churn_bands_year": lambda t: reports.report_churn_bands(aggregates.churn_bands_by_year(t), REPORT_YEAR),

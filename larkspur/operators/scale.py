@@ -123,6 +123,11 @@ def skew_safe_join(
     return _join_null_safe(left, right, [*keys, "_part"], how).drop("_part")
 
 
+def spark_splits_skew(spark: SparkSession) -> bool:
+    """Whether Spark itself deals the rows of a hot key to several tasks, by what a join's shuffle has written."""
+    return all(spark.conf.get(f"spark.sql.adaptive.{c}", "true") == "true" for c in ("enabled", "skewJoin.enabled"))
+
+
 def _join_null_safe(left: DataFrame, right: DataFrame, on: list[str], how: str) -> DataFrame:
     other = right.select(*[F.col(c).alias(f"_right_{c}") if c in on else F.col(c) for c in right.columns])
     match = None

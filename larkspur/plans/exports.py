@@ -78,9 +78,9 @@ def export_csvs(t: Tables, as_of: date, folder: str) -> list[str]:
     return list(datasets)
 
 
-def export_bundle(t: Tables, as_of: date, folder: str) -> None:
-    """The eleven datasets as one JSON document."""
-    write_json_document(json_datasets(t, as_of), folder)
+def export_bundle(t: Tables, as_of: date, path: str) -> None:
+    """The eleven datasets as one JSON document, a single file."""
+    write_json_document(json_datasets(t, as_of), path)
 
 
 def export_json(t: Tables, as_of: date, folder: str) -> None:

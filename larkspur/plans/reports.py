@@ -6,6 +6,8 @@ over a handful of rows.
 
 from __future__ import annotations
 
+from datetime import date, timedelta
+
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -17,6 +19,12 @@ def in_year(rows: DataFrame, year: int | None) -> DataFrame:
     return rows if year is None else rows.where(F.col("year") == year)
 
 
+def year_span(year: int, months_after: int = 0) -> tuple[date, date]:
+    """First and last day of the rows that a report of ``year`` needs; retention looks one month further."""
+    end = date(year, 12, 31) if not months_after else date(year + 1, months_after + 1, 1) - timedelta(days=1)
+    return date(year, 1, 1), end
+
+
 def report_years(growth: DataFrame) -> DataFrame:
     return growth.select("year").distinct().orderBy("year")
 

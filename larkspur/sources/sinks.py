@@ -5,16 +5,17 @@ from __future__ import annotations
 import json
 import uuid
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import BooleanType, DataType, DecimalType, NumericType, StringType
 
-from larkspur.operators.scale import in_parallel, keep
+from larkspur.operators.scale import in_parallel, work_folder
 from larkspur.sources.schemas import SCHEMAS, STORAGE_DATES
 
+COPY_BYTES = 1 << 20
+
 
 def store_table(rows: DataFrame, name: str, folder: str, files_per_month: int = 1) -> None:
     """Base table as Parquet.  Dated facts are partitioned by month, so reports of a year prune the rest.
@@ -66,47 +67,50 @@ def write_json(datasets: Mapping[str, DataFrame], folder: str) -> None:
     in_parallel([lambda n=name, r=rows: write(n, r) for name, rows in datasets.items()])
 
 
-def record_lines(datasets: Mapping[str, DataFrame]) -> DataFrame:
-    """All datasets stacked as (place, dataset, at, record): ``record`` is the row as JSON, ``at`` keeps its order."""
-
-    def lines(place: int, name: str, rows: DataFrame) -> DataFrame:
-        ready = json_ready(rows)
-        record = F.to_json(F.struct(*[F.col(c) for c in ready.columns]), {"ignoreNullFields": "false"})
-        return ready.select(
-            F.lit(place).alias("place"),
-            F.lit(name).alias("dataset"),
-            F.monotonically_increasing_id().alias("at"),
-            record.alias("record"),
-        )
-
-    return reduce(DataFrame.unionByName, [lines(i, n, rows) for i, (n, rows) in enumerate(datasets.items())])
-
+def write_json_document(datasets: Mapping[str, DataFrame], path: str) -> None:
+    """All datasets as record lists of one JSON document in one file, in their order.
 
-def document_lines(datasets: Mapping[str, DataFrame]) -> DataFrame:
-    """All datasets as record lists of one JSON document: its lines in order, one column.
-
-    No task holds a dataset: lines are sorted by ranges, and written files, read in the order of their names, make up
-    the document.
+    Tasks write the records as part files, side by side and each dataset in its own order; the parts are then strung together
+    by the file system in blocks of ``COPY_BYTES``, so no process ever holds a dataset.  The file gets its name when it is
+    complete.
     """
-    records = keep(record_lines(datasets), "document-records")
-    first = records.groupBy("place").agg(F.min("at").alias("first"))  # a row per dataset
-    marked = records.join(F.broadcast(first), "place")
-    body = marked.select(
-        "place",
-        F.lit(1).alias("part"),
-        "at",
-        F.concat(F.when(F.col("at") == F.col("first"), "    ").otherwise("   ,"), "record").alias("line"),
-    )
-    last = len(datasets) - 1
-    frame = [(-1, 0, 0, "{"), (last + 1, 0, 0, "}")]
-    for i, name in enumerate(datasets):
-        frame += [(i, 0, 0, f"  {json.dumps(name)}: ["), (i, 2, 0, "  ]" if i == last else "  ],")]
-    edges = records.sparkSession.createDataFrame(frame, "place int, part int, at long, line string")
-    return body.unionByName(edges).orderBy("place", "part", "at").select("line")
+    spark = next(iter(datasets.values())).sparkSession
+    parts = f"{work_folder(spark)}/document-{uuid.uuid4().hex}"
 
+    def write(name: str, rows: DataFrame) -> None:
+        ready = json_ready(rows)
+        record = F.to_json(F.struct(*[F.col(c) for c in ready.columns]), {"ignoreNullFields": "false"})
+        ready.select(F.concat(F.lit(",   "), record)).write.text(f"{parts}/{list(datasets).index(name)}")
 
-def write_json_document(datasets: Mapping[str, DataFrame], folder: str) -> None:
-    document_lines(datasets).write.mode("overwrite").text(folder)
+    in_parallel([lambda n=name, r=rows: write(n, r) for name, rows in datasets.items()])
+    _string_together(spark, [(json.dumps(n), f"{parts}/{i}") for i, n in enumerate(datasets)], path)
+
+
+def _string_together(spark: SparkSession, sections: list[tuple[str, str]], path: str) -> None:
+    """Part files of each section, in order of their names, inside the frame of a document; lines begin with a comma."""
+    jvm, settings = spark._jvm, spark._jsc.hadoopConfiguration()
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(settings)
+    unfinished = jvm.org.apache.hadoop.fs.Path(f"{path}.{uuid.uuid4().hex}")
+    out = files.create(unfinished, True)
+    for i, (name, folder) in enumerate(sections):
+        out.write(bytearray(f"{',' if i else '{'}\n  {name}: [\n".encode()))
+        place = jvm.org.apache.hadoop.fs.Path(folder)
+        source = place.getFileSystem(settings)
+        listed = [(f.getPath().getName(), f) for f in source.listStatus(place)]
+        full = [f.getPath() for name, f in sorted(listed, key=lambda x: x[0]) if name.startswith("part-") and f.getLen()]
+        for k, part in enumerate(full):
+            block = source.open(part)
+            if k == 0:
+                block.skip(1)  # the comma before the first record
+            jvm.org.apache.hadoop.io.IOUtils.copyBytes(block, out, COPY_BYTES, False)
+            block.close()
+        out.write(bytearray(b"  ]"))
+    out.write(bytearray(b"\n}\n" if sections else b"{}\n"))
+    out.close()
+    files.delete(target, True)
+    if not files.rename(unfinished, target):
+        raise OSError(f"cannot rename {unfinished} to {path}")
 
 
 def typed(rows: DataFrame, name: str) -> DataFrame:

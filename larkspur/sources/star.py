@@ -7,11 +7,12 @@ Texts name their inputs in braces: base files by file name, earlier views by tab
 from __future__ import annotations
 
 import re
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from larkspur.sources.tables import Tables
+from larkspur.sources.tables import Tables, in_range
 
 AS_OF = date(2001, 12, 31)
 
@@ -99,6 +100,12 @@ def inputs_of(view: str) -> list[str]:
     return sorted(set(re.findall(r"{(\w+)}", VIEWS[view])))
 
 
+# The base column that dates a fact; a range of days is cut there, where the files' statistics can skip row groups.
+DATED: dict[str, tuple[str, str]] = {
+    "orders": ("star_orders", "o_orderdate"), "ga4_events": ("events", "ts"), "marketing_spend": ("lineitem", "l_shipdate"),
+}
+
+
 def star_tables(spark: SparkSession, folder: str) -> Tables:
     """The eight tables over the Parquet files in ``folder``."""
     built: dict[str, DataFrame] = {}
@@ -111,7 +118,22 @@ def star_tables(spark: SparkSession, folder: str) -> Tables:
                 built[name] = spark.sql(VIEWS[name], **{n: resolve(n) for n in inputs_of(name)})
         return built[name]
 
-    return Tables(resolve)
+    def source(name: str) -> DataFrame:
+        return resolve(name)
+
+    def ranged(name: str, since: date | None = None, until: date | None = None) -> DataFrame:
+        if name not in DATED:
+            return in_range(resolve(name), name, since, until)
+        base, column = DATED[name]
+        rows = resolve(base)
+        if since is not None:
+            rows = rows.where(F.col(column) >= F.lit(since.isoformat()).cast("timestamp_ntz"))
+        if until is not None:
+            rows = rows.where(F.col(column) < F.lit((until + timedelta(days=1)).isoformat()).cast("timestamp_ntz"))
+        return spark.sql(VIEWS[name], **{n: rows if n == base else resolve(n) for n in inputs_of(name)})
+
+    source.ranged = ranged
+    return Tables(source)
 
 
 def view_prefix(*names: str) -> str:

@@ -243,7 +243,18 @@ def test_skewed_rows_of_one_customer_reach_many_tasks(make, spark):
         ],
     )
     assert joins.completed_orders_with_country(t).count() == 400
+    setting = "spark.sql.adaptive.skewJoin.enabled"
+    try:
+        spark.conf.set(setting, "false")
+        assert joins.completed_orders_with_country(t).count() == 400
+    finally:
+        spark.conf.set(setting, "true")
     orders = joins.completed_orders(t)
     salted = scale.skew_safe_join(orders, t.customers, ["customer_id"], spread=["order_id"], task_rows=20)
     assert salted.count() == 400
     assert "_part" in salted._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_orders_are_read_once_for_their_countries(spark):
+    plan = _plan(QUERIES["completed_orders_with_country"](spark, STAR))
+    assert plan.count("/orders.parquet") == 1

@@ -6,9 +6,11 @@ from decimal import Decimal as D
 from pathlib import Path
 
 import pytest
+from places import STAR
 from pyspark.sql import functions as F
 
 from larkspur import Tables
+from larkspur.catalog import QUERIES
 from larkspur.operators import aggregates
 from larkspur.plans import exports, reports
 from larkspur.sources import sinks
@@ -57,8 +59,8 @@ def datasets(star):
 
 
 def test_json_document(star, datasets, tmp_path):
-    exports.export_bundle(star, AS_OF, str(tmp_path / "doc"))
-    document = json.loads("".join(p.read_text() for p in sorted((tmp_path / "doc").glob("*.txt"))))
+    exports.export_bundle(star, AS_OF, str(tmp_path / "dashboard.json"))
+    document = json.loads((tmp_path / "dashboard.json").read_text())
     assert list(document) == SECTIONS == list(datasets)
     for name, frame in datasets.items():
         assert len(document[name]) == frame.count()
@@ -70,8 +72,11 @@ def test_json_document(star, datasets, tmp_path):
 
 def test_json_document_keeps_empty_and_large_sections(spark, tmp_path):
     frames = {"none": spark.range(0), "some": spark.range(3), 'large "one"': spark.range(10_001), "last": spark.range(0)}
-    sinks.write_json_document(frames, str(tmp_path / "doc"))
-    document = json.loads("".join(p.read_text() for p in sorted((tmp_path / "doc").glob("*.txt"))))
+    sinks.write_json_document(frames, str(tmp_path / "doc.json"))
+    sinks.write_json_document(frames, str(tmp_path / "doc.json"))  # takes the place of the first
+    with open(tmp_path / "doc.json") as file:
+        document = json.load(file)
+    assert [f.name for f in tmp_path.iterdir() if not f.name.startswith(".")] == ["doc.json"]
     assert document == {n: [{"id": i} for i in range(k)] for n, k in zip(frames, (0, 3, 10_001, 0), strict=True)}
 
 
@@ -170,3 +175,13 @@ def test_stored_facts_are_pruned_by_month(spark, make, tmp_path):
     one = read_table(spark, "ga4_events", folder, since=date(2026, 2, 10), until=date(2026, 2, 28))
     plan = one._jdf.queryExecution().executedPlan().toString()
     assert one.count() == 1 and "PartitionFilters: [isnotnull(month" in plan
+
+
+def test_registered_year_report_pushes_its_range_to_the_files(spark):
+    plan = QUERIES["report_retention"](spark, STAR)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate," in plan and "LessThan(o_orderdate," in plan
+
+
+def test_year_span():
+    assert reports.year_span(2024) == (date(2024, 1, 1), date(2024, 12, 31))
+    assert reports.year_span(2024, months_after=1) == (date(2024, 1, 1), date(2025, 1, 31))
