@@ -2,8 +2,9 @@
 
 A rank file maps byte strings to ids.  For the library each byte gets a printable character, so tokens are strings of such
 characters, and the ranks become merges: every way to split a token into two known ones, in order of the token's rank.
-Texts are cut by the vocabulary's pattern first; the library merges each distinct piece once per task.  Decoding joins the
-bytes of tokens, so characters that a token boundary splits come together again.
+Texts are cut by the vocabulary's pattern first; the library merges each distinct piece once per task.  Decoding goes from ids
+to token characters and back to bytes by the reversed byte table, and joins the bytes, so that characters which a token
+boundary splits come together again.
 """
 
 from __future__ import annotations
@@ -30,6 +31,11 @@ def byte_characters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+def character_bytes() -> dict[str, int]:
+    """The byte of every printable character that stands for one: the byte table reversed."""
+    return {character: byte for byte, character in enumerate(byte_characters())}
+
+
 def read_ranks(path: str) -> dict[bytes, int]:
     """Ids by token bytes from a rank file: one base64 token and its rank per line."""
     with open(path, "rb") as lines:
@@ -147,11 +153,19 @@ def _touched(text: str, ids: np.ndarray, lengths: np.ndarray, matches: re.Patter
     return character_of[begins].astype(np.int32), (character_of[stops - 1] + 1).astype(np.int32)
 
 
-def _token_table(ranks: dict[bytes, int]) -> list[bytes | None]:
-    table: list[bytes | None] = [None] * (max(ranks.values()) + 1)
+def token_characters(ranks: dict[bytes, int]) -> list[str | None]:
+    """Tokens by id, as the library has them: strings of the characters that stand for bytes."""
+    characters = byte_characters()
+    out: list[str | None] = [None] * (max(ranks.values()) + 1)
     for token, i in ranks.items():
-        table[i] = token
-    return table
+        out[i] = "".join(characters[b] for b in token)
+    return out
+
+
+def _token_table(ranks: dict[bytes, int]) -> list[bytes | None]:
+    """Bytes of every id: its characters, taken back by the reversed table once for all texts."""
+    back = character_bytes()
+    return [None if token is None else bytes(back[c] for c in token) for token in token_characters(ranks)]
 
 
 def _bytes_of(ids: list[int], table: list[bytes | None]) -> bytes:

@@ -70,11 +70,9 @@ def group_total(rows: DataFrame, text: str, group_bytes: int = GROUP_BYTES) -> i
     return max(1, min(math.ceil(total / group_bytes), math.isqrt(int(total) // 384) + 1))
 
 
-def group_of(key: str, text: str | None, groups: int) -> Column:
-    """Group of a row by its id; rows without an id are spread by their text, if there is one."""
-    k = F.col(f"`{key}`")
-    spread = F.when(k.isNull(), F.col(f"`{text}`")) if text else F.lit(None).cast("string")
-    return F.pmod(F.xxhash64(k, spread), F.lit(groups)).cast("int")
+def group_of(key: str, text: str, groups: int) -> Column:
+    """Group of a row by its id and text, so that an id shared by many rows is spread over all groups."""
+    return F.pmod(F.xxhash64(F.col(f"`{key}`"), F.col(f"`{text}`")), F.lit(groups)).cast("int")
 
 
 def small(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -1,7 +1,8 @@
 """Cross-entropy difference: how much better a target model than a background model predicts each document's text.
 
 Both models are character trigram models of one form, over one vocabulary (all characters of the corpus), with Witten-Bell
-smoothing: the target model learns from the rows whose key is in a given table, the background model from all rows.  A
+smoothing.  The target model learns from the rows whose key is in a given table.  The background model is matched to it: it
+learns from as much text of other rows, drawn by a hash of the row; where there is less other text, from all of it.  A
 document's score is its mean loss per token, in bits, under the target model less that under the background model; the lower,
 the more it is like the target.
 
@@ -16,8 +17,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import GROUP_BYTES, adding, checkpointed, codepoints, decoded, group_of, group_total, packed
+from larkspur.llm.common import GROUP_BYTES, adding, checkpointed, codepoints, decoded, group_total, packed
 
+BACKGROUND_SEED, DRAWS = 17, 1 << 30  # of the hash that draws the background
 START = 0x110000  # stands twice before every text; no character has this number
 _ONE, _TWO = (1 << 21) - 1, (1 << 42) - 1
 
@@ -28,30 +30,42 @@ def trigrams(text: str) -> np.ndarray:
     return (x[:-2] << 42) | (x[1:-1] << 21) | x[2:]
 
 
-def count_trigrams(dealt: DataFrame, target: DataFrame, key: str, text: str) -> DataFrame:
-    """``(grp, gram, n_target, n_all)`` of every group; ``target`` has one column ``key`` and its group."""
+def with_roles(documents: DataFrame, target_keys: DataFrame, key: str, text: str) -> DataFrame:
+    """``(row, role)``: 1 for rows of the target, 2 for rows of the matched background, 0 for others.
 
-    def count(left: pa.Table, right: pa.Table) -> pa.Table:
-        row = left.column("row").combine_chunks() if left.num_rows else None
-        wanted = set(right.column("key").to_pylist()) - {None}
-        texts = decoded(row.field(text)) if row else []
-        keys = row.field(key).to_pylist() if row else []
-        parts = [trigrams(t or "") for t in texts]
+    Keys are marked by a join, which Spark broadcasts if the keys are few and else splits where many rows share one.
+    """
+    wanted = target_keys.select(F.col(f"`{target_keys.columns[0]}`").cast(documents.schema[key].dataType).alias("wanted"))
+    wanted = wanted.where("wanted is not null").distinct()
+    rows = packed(documents)
+    marked = rows.join(wanted, F.col(f"row.`{key}`") == F.col("wanted"), "left")
+    size = F.coalesce(F.length(F.col(f"row.`{text}`")), F.lit(0))
+    mine = F.col("wanted").isNotNull()
+    sums = marked.agg(F.sum(F.when(mine, size)).alias("target"), F.sum(F.when(~mine, size)).alias("rest")).first()
+    share = min(1.0, (sums["target"] or 0) / sums["rest"]) if sums["rest"] else 0.0
+    drawn = F.pmod(F.xxhash64(F.lit(BACKGROUND_SEED), F.col(f"row.`{key}`"), F.col(f"row.`{text}`")), F.lit(DRAWS)) < round(share * DRAWS)
+    return marked.select("row", F.when(mine, 1).when(drawn, 2).otherwise(0).alias("role"))
+
+
+def count_trigrams(dealt: DataFrame, text: str) -> DataFrame:
+    """``(grp, gram, n_target, n_all)`` of every group of ``dealt(row, role, grp)``; ``n_all`` counts the background."""
+
+    def count(table: pa.Table) -> pa.Table:
+        row = table.column("row").combine_chunks()
+        parts = [trigrams(t or "") for t in decoded(row.field(text))]
         gram, at = np.unique(np.concatenate([*parts, np.zeros(0, np.int64)]), return_inverse=True)
-        mine = np.repeat(np.array([k in wanted for k in keys], bool), [len(p) for p in parts])
-        group = left.column("grp")[0].as_py() if left.num_rows else 0
+        role = np.repeat(table.column("role").to_numpy(), [len(p) for p in parts])
         return pa.table({
-            "grp": pa.array(np.full(len(gram), group, np.int32)), "gram": pa.array(gram),
-            "n_target": pa.array(np.bincount(at[mine], minlength=len(gram)).astype(np.int64)),
-            "n_all": pa.array(np.bincount(at, minlength=len(gram)).astype(np.int64)),
+            "grp": pa.array(np.full(len(gram), table.column("grp")[0].as_py(), np.int32)), "gram": pa.array(gram),
+            "n_target": pa.array(np.bincount(at[role == 1], minlength=len(gram)).astype(np.int64)),
+            "n_all": pa.array(np.bincount(at[role == 2], minlength=len(gram)).astype(np.int64)),
         })
 
-    shape = "grp int, gram bigint, n_target bigint, n_all bigint"
-    return dealt.groupBy("grp").cogroup(target.groupBy("grp")).applyInArrow(count, shape)
+    return dealt.groupBy("grp").applyInArrow(count, "grp int, gram bigint, n_target bigint, n_all bigint")
 
 
 def losses(counts: DataFrame) -> DataFrame:
-    """``(gram, loss_target, loss_all)``: bits per trigram under both models, from summed ``counts(gram, n_target, n_all)``."""
+    """``(gram, loss_target, loss_all)``: bits per trigram under the target and the background, from summed ``counts(gram, n_target, n_all)``."""
     models = ("n_target", "n_all")
     kinds = lambda n: F.sum((F.col(n) > 0).cast("bigint"))
     context = lambda frame, by: frame.groupBy(by).agg(
@@ -87,14 +101,12 @@ def score(
 
     Tokens are characters, unchanged.  ``target_keys(key)`` may repeat keys, hold null ones (ignored) and unknown ones.  Rows
     that repeat a key all belong to the target with it.  Null and empty texts have no tokens and null losses and score;
-    with no target rows at all the target model is uniform.  An empty table gives an empty result.
+    with no target rows at all both models are uniform.  An empty table gives an empty result.
     """
     groups = group_total(documents, text, group_bytes)
-    dealt = packed(documents, grp=group_of(key, text, groups))
-    wanted = target_keys.select(F.col(f"`{target_keys.columns[0]}`").cast(documents.schema[key].dataType).alias("key"))
-    wanted = wanted.where("key is not null").distinct()
-    wanted = wanted.select("key", group_of("key", None, groups).alias("grp"))
-    counts = checkpointed(count_trigrams(dealt, wanted, key, text))
+    roles = with_roles(documents, target_keys, key, text)
+    dealt = roles.withColumn("grp", F.pmod(F.xxhash64(F.col(f"row.`{key}`"), F.col(f"row.`{text}`")), F.lit(groups)).cast("int"))
+    counts = checkpointed(count_trigrams(dealt, text))
     model = losses(checkpointed(counts.groupBy("gram").agg(F.sum("n_target").alias("n_target"), F.sum("n_all").alias("n_all"))))
     answers = counts.select("grp", "gram").join(model, "gram")
 

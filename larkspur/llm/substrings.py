@@ -5,7 +5,8 @@ the hash's bucket, with a mark if the group itself holds it twice, so a passage
 entry per group.  A bucket finds the hashes that came twice and tells each group which of its own they are; the group then
 hashes its windows again and merges the repeated ones into maximal spans.
 
-Two windows are the same if their bucket number and 64-bit hash agree, which come from two independent polynomials.
+Two windows are the same if their bucket number and 64-bit hash agree, which come from two independent polynomials over
+two independent hashes of the words.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from larkspur.llm.common import GROUP_BYTES, adding, group_of, group_total, mixe
 WINDOW = 35
 # Fixed odd multipliers of the two polynomials and a fixed random value per byte; any others would do.
 _BASE, _SECOND = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
-_BYTE = np.random.default_rng(20240607).integers(1, 2**63, 256, dtype=np.uint64)
+_BYTE, _OTHER_BYTE = np.random.default_rng(20240607).integers(1, 2**63, (2, 256), dtype=np.uint64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
@@ -57,10 +58,11 @@ def window_hashes(texts: list[bytes], window: int, powers: dict) -> tuple[np.nda
     """Hash, second hash and first word of every window inside one text, then word starts, ends and counts of texts."""
     joined, starts, ends, last = word_bounds(texts)
     words = _range_hashes(_BYTE[joined], starts, ends, _BASE, powers)
+    other = _range_hashes(_OTHER_BYTE[joined], starts, ends, _SECOND, powers)
     first = np.concatenate([[0], last[:-1]])
     room = np.maximum(last - first - window + 1, 0)
     at = np.repeat(first - np.concatenate([[0], np.cumsum(room)[:-1]]), room) + np.arange(room.sum())
-    return _range_hashes(words, at, at + window, _BASE, powers), _range_hashes(words, at, at + window, _SECOND, powers), at, starts, ends, last
+    return _range_hashes(words, at, at + window, _BASE, powers), _range_hashes(other, at, at + window, _SECOND, powers), at, starts, ends, last
 
 
 def _bucket(second: np.ndarray, buckets: int) -> np.ndarray:
@@ -73,6 +75,23 @@ def _counted(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return values[counts == 1], values[counts > 1]
 
 
+def _known(hashes: np.ndarray, places: np.ndarray, wanted: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which pairs (``wanted``, ``at``) are among the pairs (``hashes``, ``places``), by one search whatever the number of places.
+
+    ``hashes`` are sorted; equal ones of other places stand side by side.
+    """
+    found = np.zeros(len(wanted), bool)
+    spot = np.searchsorted(hashes, wanted)
+    left = np.flatnonzero(spot < len(hashes))
+    while len(left):  # a second round only where one 64-bit hash stands in two places
+        left = left[hashes[spot[left]] == wanted[left]]
+        found[left] = places[spot[left]] == at[left]
+        left = left[~found[left]]
+        spot[left] += 1
+        left = left[spot[left] < len(hashes)]
+    return found
+
+
 def _joined(column: pa.ChunkedArray) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint64)
 
@@ -146,7 +165,7 @@ def cut_repeats(
     """
     powers: dict = {}
     groups = group_total(documents, text, group_bytes)
-    dealt = packed(documents, grp=group_of(key, text, groups))
+    dealt = packed(documents, grp=group_of(key, text, groups))  # by the whole row's key and text: an id that many rows share is spread
     told = repeated_hashes(dealt, text, window, groups)
     result = adding(dealt.select("row").schema, "n_words bigint, spans array<struct<begin: bigint, stop: bigint>>, kept string")
 
@@ -154,22 +173,15 @@ def cut_repeats(
         row = left.column("row").combine_chunks()
         texts = text_bytes(row.field(text))
         absent = row.field(text).is_null().to_pylist()
-        by_bucket: dict[int, np.ndarray] = {}
-        for b, h in zip(right.column("bucket").to_pylist(), right.column("hashes").to_pylist(), strict=True):
-            by_bucket[b] = np.sort(np.concatenate([by_bucket.get(b, np.zeros(0, np.uint64)), np.frombuffer(h, np.uint64)]))
-        numbers = np.array(sorted(by_bucket), np.int64)
+        lists = [np.frombuffer(h, np.uint64) for h in right.column("hashes").to_pylist()]
+        told_hashes = np.concatenate([np.zeros(0, np.uint64), *lists])
+        told_places = np.repeat(right.column("bucket").to_numpy().astype(np.int64), [len(h) for h in lists])
+        order = np.argsort(told_hashes, kind="stable")
+        told_hashes, told_places = told_hashes[order], told_places[order]
         n_words, spans, kept = [], [], []
         for lo, hi in pieces(texts):
             hashes, second, at, starts, ends, last = window_hashes(texts[lo:hi], window, powers)
-            repeated = np.zeros(len(at), bool)
-            place = _bucket(second, groups)
-            order = np.argsort(place, kind="stable")
-            bounds = np.searchsorted(place[order], np.stack([numbers, numbers + 1]))
-            for k, number in enumerate(numbers):
-                here = order[bounds[0, k] : bounds[1, k]]
-                known = by_bucket[int(number)]
-                spot = np.minimum(np.searchsorted(known, hashes[here]), len(known) - 1)
-                repeated[here] = known[spot] == hashes[here]
+            repeated = _known(told_hashes, told_places, hashes, _bucket(second, groups).astype(np.int64))
             found = _spans(repeated, at, last, window)
             offset = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts[lo:hi]])])
             first = np.concatenate([[0], last[:-1]])

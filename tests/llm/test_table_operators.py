@@ -12,16 +12,17 @@ from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import plain  # noqa: E402
-from larkspur.llm import bitslice, epsilon, graph, lm_score, mixing, queries, urls, warc  # noqa: E402
+from larkspur.llm import bitslice, common, epsilon, graph, lm_score, mixing, queries, urls, warc  # noqa: E402
 
 # --- language-model scores ----------------------------------------------------------------------------------------
 
 
-def plain_scores(rows: list[tuple], wanted: set) -> list[float | None]:
+def plain_scores(rows: list[tuple], role: dict) -> list[float | None]:
     def fit(texts):
         c = Counter()
         for t in texts:
@@ -29,8 +30,8 @@ def plain_scores(rows: list[tuple], wanted: set) -> list[float | None]:
             c.update(s[k : k + 3] for k in range(len(s) - 2))
         return c
 
-    every, target = fit(t for _, t in rows), fit(t for k, t in rows if k in wanted)
-    kinds = len({g[2] for g in every})
+    every, target = fit(t for k, t in rows if role[k, t] == 2), fit(t for k, t in rows if role[k, t] == 1)
+    kinds = len({g[2] for g in fit(t for _, t in rows)})
 
     def model(c):
         two, one, ab, b, kab, kb = (Counter() for _ in range(6))
@@ -67,11 +68,29 @@ def test_scores_equal_the_plain_version(spark, docs, target):
     good = spark.createDataFrame([(k,) for k in target], "doc_id bigint")
     got = lm_score.score(frame, good, group_bytes=40).select("row.doc_id", "row.text", "n_tokens", "score").collect()
     show = lambda x: None if x is None else round(x, 8)
-    want = Counter((k, t, len(t or ""), show(s)) for (k, t), s in zip(rows, plain_scores(rows, set(target) - {None}), strict=True))
+    role = {(r.doc_id, r.text): r.role for r in lm_score.with_roles(frame, good, "doc_id", "text").select("row.*", "role").collect()}
+    assert all((role[k, t] == 1) == (k in set(target) - {None}) for k, t in rows)
+    assert target or set(role.values()) == {0}
+    want = Counter((k, t, len(t or ""), show(s)) for (k, t), s in zip(rows, plain_scores(rows, role), strict=True))
     assert Counter((r.doc_id, r.text, r.n_tokens, show(r.score)) for r in got) == want
     assert lm_score.score(frame.where("false"), good).count() == 0
 
 
+def test_background_matches_the_target_in_size(spark):
+    rows = [(i, f"text number {i} " * (1 + i % 5)) for i in range(4_000)] + [(i % 3, f"one id on many rows {i}") for i in range(1_000)]
+    frame, good = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.range(500).selectExpr("id * 3 + 1 AS doc_id")
+    sizes = {r.role: r.n for r in lm_score.with_roles(frame, good, "doc_id", "text").groupBy("role").agg(F.sum(F.length("row.text")).alias("n")).collect()}
+    assert abs(sizes[2] / sizes[1] - 1) < 0.15
+    few = lm_score.with_roles(frame, spark.range(3_900).selectExpr("id AS doc_id"), "doc_id", "text")
+    assert few.where("role = 0").count() == 0  # less other text than target: all of it
+
+
+def test_one_id_on_many_rows_is_spread_over_the_groups(spark):
+    rows = spark.range(3_000).selectExpr("IF(id % 3 = 0, 7, id) AS doc_id", "concat('text ', id) AS text")
+    sizes = [r["count"] for r in rows.groupBy(common.group_of("doc_id", "text", 16)).count().collect()]
+    assert len(sizes) == 16 and max(sizes) < 1.4 * 3_000 / 16
+
+
 # --- web archive records ------------------------------------------------------------------------------------------
 
 HTML = (

@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import random
 import sys
+import time
 from collections import Counter
 from pathlib import Path
 
+import numpy as np
 import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
@@ -199,3 +201,30 @@ def test_split_characters_and_missing_ids(spark):
     got = {r.n: bytes(r.bytes) for r in bpe.decode(rows, RANKS).select("row.n", "bytes").collect()}
     assert got[0] + got[1] == text.encode() and got[2] == got[3] == b""
     assert bpe.encode(spark.createDataFrame([], "text string"), RANKS, public_tokenizers.PATTERN).count() == 0
+
+
+def test_byte_table_and_its_reverse():
+    characters, back = bpe.byte_characters(), bpe.character_bytes()
+    assert len(set(characters)) == len(back) == 256 and all(c.isprintable() and not c.isspace() for c in characters)
+    assert [back[c] for c in characters] == list(range(256))
+    assert [characters[b] for b in b"A!~ \n\x00"] == ["A", "!", "~", "\u0120", "\u010a", "\u0100"]
+    ranks = {bytes([b]): b for b in range(256)} | {"é".encode(): 256, "\U0001f600".encode()[:2]: 257}
+    assert bpe.token_characters(ranks)[256:] == ["Ã©", "ð\u0141"]
+    assert bpe._token_table(ranks)[257] + bpe._token_table(ranks)[0x98] == b"\xf0\x9f\x98"
+
+
+@pytest.mark.parametrize("buckets", [64, 51_031])
+def test_lookup_of_windows_takes_one_search_whatever_the_buckets(buckets):
+    draw = np.random.default_rng(buckets)
+    hashes, places = np.sort(draw.integers(0, 2**62, 100_000, np.uint64)), draw.integers(0, buckets, 100_000)
+    hashes[5_000:5_003] = hashes[5_000]  # one hash in three places
+    pick = draw.integers(0, 100_000, 80_000)
+    wanted, at = hashes[pick].copy(), places[pick].copy()
+    at[::2] = draw.integers(0, buckets, len(at[::2]))
+    wanted[::5] = draw.integers(0, 2**62, len(wanted[::5]), np.uint64)
+    start = time.process_time()
+    found = substrings._known(hashes, places, wanted, at)
+    assert time.process_time() - start < 0.5
+    pairs = set(zip(hashes.tolist(), places.tolist(), strict=True))
+    assert found.tolist() == [p in pairs for p in zip(wanted.tolist(), at.tolist(), strict=True)]
+    assert not substrings._known(hashes[:0], places[:0], wanted, at).any()
