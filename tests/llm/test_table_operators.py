@@ -388,3 +388,24 @@ def test_url_rules_stay_in_the_engine(spark, tmp_path, capsys):
     spark.createDataFrame([(1, "http://a.com/")], "page_id bigint, url string").write.parquet(f"{tmp_path}/pages.parquet")
     queries.LLM_QUERIES["op9_url_filters"](spark, str(tmp_path)).explain()
     assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", capsys.readouterr().out)
+
+
+def test_many_rules_of_one_host(spark):
+    """100,000 path rules of one host, nested and apart: no row carries more of them than it lies in."""
+    draw = random.Random(8)
+    paths = list({f"/{draw.randrange(300)}/{draw.randrange(400)}" + draw.choice(["", "/", f"/{draw.randrange(9)}"]) for _ in range(130_000)})[:100_000]
+    table = [("big.org", p, "block" if len(p) % 2 else "allow") for p in paths] + [("org", "/1", "block"), ("www.big.org", "/2", "allow")]
+    rules = spark.createDataFrame(table, "host string, path string, verdict string")
+    urls_ = [f"http://{draw.choice(['big.org', 'www.big.org', 'x.org'])}/{draw.randrange(310)}/{draw.randrange(410)}/{draw.randrange(12)}/z" for _ in range(2_000)]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls_)], "page_id int, url string")
+    known = {(h, p): v for h, p, v in table}
+    got = urls.judge(pages, rules, salts=2).collect()
+    assert len(got) == len(urls_) and sum(r.rule is not None for r in got) > 500
+    for r in got:
+        host, path = re.match(r"http://([^/]*)(.*)", r.row.url).groups()
+        fits = [(len(h + p), len(h), h + p, known[h, p]) for h in ("org", "big.org", "www.big.org") if f".{host}".endswith(f".{h}")
+                for p in (path[:n] for n in range(len(path) + 1)) if (h, p) in known]
+        best = max(fits, default=(0, 0, None, "allow"))
+        assert (r.rule, r.verdict) == best[2:], r.row.url
+    widest = urls._path_stacks(rules.selectExpr("concat(array_join(reverse(split(host, '[.]')), '.'), '.') AS key", "path", "concat(host, path) AS rule", "verdict"))
+    assert widest.agg(F.max(F.size("stack"))).first()[0] <= 8
