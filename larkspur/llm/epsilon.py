@@ -26,6 +26,7 @@ from larkspur.llm.graph import components, forest
 
 COSINE = 0.95
 AXES = 8  # leading principal axes of the grid
+JOIN_AXES = 3  # axes whose cells blocks are joined on; unit vectors have some eight cells on each
 BLOCK, LEAF = 4_096, 256  # vectors
 LANES = 64  # partial sums that are added up together
 
@@ -112,20 +113,31 @@ def blocks(classes: DataFrame, axes: np.ndarray, eps: float, block: int) -> Data
     return checkpointed(sorted_rows.select("id", "n", "vec").mapInArrow(cut, shape))
 
 
-def near_blocks(cut: DataFrame, eps: float) -> DataFrame:
-    """``(a, b)``, a <= b: blocks whose boxes are within ``eps``, by a band join on cells of the first axis."""
-    reach = eps * (1 + 1e-9)
-    first, last = F.floor(F.col("low")[0] / eps), F.floor(F.col("high")[0] / eps)
-    left = cut.select(F.col("blk").alias("a"), F.col("low").alias("alow"), F.col("high").alias("ahigh"), first.alias("afirst"),
-                      F.explode(F.sequence(first, last)).alias("cell"))
-    right = cut.select(F.col("blk").alias("b"), F.col("low").alias("blow"), F.col("high").alias("bhigh"), (first - 1).alias("bfirst"),
-                       F.explode(F.sequence(first - 1, last + 1)).alias("cell"))
+def near_blocks(cut: DataFrame, eps: float, axes: int) -> DataFrame:
+    """``(a, b)``, a <= b: blocks whose boxes are within ``eps``, by a band join on cells of up to ``JOIN_AXES`` axes at once.
+
+    A pair meets in every cell that the first box covers and the second, widened by one cell, covers as well; it counts in
+    the first such cell only.
+    """
+    reach, used = eps * (1 + 1e-9), range(min(axes, JOIN_AXES))
+    cell = lambda column, k: F.floor(F.col(column)[k] / eps)
+
+    def spread(rows: DataFrame, wider: int, first: str) -> DataFrame:
+        for k in used:
+            rows = rows.withColumn(f"{first}{k}", cell("low", k) - wider)
+            rows = rows.withColumn(f"cell{k}", F.explode(F.sequence(F.col(f"{first}{k}"), cell("high", k) + wider)))
+        return rows
+
+    left = spread(cut.select(F.col("blk").alias("a"), "low", "high"), 0, "afirst").withColumnsRenamed({"low": "alow", "high": "ahigh"})
+    right = spread(cut.select(F.col("blk").alias("b"), "low", "high"), 1, "bfirst").withColumnsRenamed({"low": "blow", "high": "bhigh"})
     gap = F.zip_with(
         F.zip_with("alow", "bhigh", lambda x, y: x - y), F.zip_with("blow", "ahigh", lambda x, y: x - y), lambda x, y: F.greatest(x, y, F.lit(0.0))
     )
     apart = F.aggregate(gap, F.lit(0.0), lambda total, g: total + g * g)
-    once = F.col("cell") == F.greatest("afirst", "bfirst")  # the first cell that both have
-    return left.join(right, "cell").where((F.col("a") <= F.col("b")) & once & (apart <= reach * reach)).select("a", "b")
+    near = left.join(right, [f"cell{k}" for k in used]).where((F.col("a") <= F.col("b")) & (apart <= reach * reach))
+    for k in used:
+        near = near.where(F.col(f"cell{k}") == F.greatest(f"afirst{k}", f"bfirst{k}"))
+    return near.select("a", "b")
 
 
 def _boxes(at: np.ndarray) -> dict[tuple[int, int], tuple[np.ndarray, np.ndarray]]:
@@ -183,7 +195,7 @@ def link_blocks(cut: DataFrame, axes: np.ndarray, eps: float, cosine: float) ->
     dims = axes.shape[0]
     one = cut.select(F.col("blk").alias("a"), F.col("ids").alias("aids"), F.col("ns").alias("ans"), F.col("vecs").alias("avecs"))
     two = cut.select(F.col("blk").alias("b"), F.col("ids").alias("bids"), F.col("ns").alias("bns"), F.col("vecs").alias("bvecs"))
-    paired = near_blocks(cut, eps).join(one, "a").join(two, "b")
+    paired = near_blocks(cut, eps, len(axes[0])).join(one, "a").join(two, "b")
 
     def run(table: pa.Table) -> pa.Table:
         row = table.to_pylist()[0]

@@ -409,3 +409,14 @@ def test_many_rules_of_one_host(spark):
         assert (r.rule, r.verdict) == best[2:], r.row.url
     widest = urls._path_stacks(rules.selectExpr("concat(array_join(reverse(split(host, '[.]')), '.'), '.') AS key", "path", "concat(host, path) AS rule", "verdict"))
     assert widest.agg(F.max(F.size("stack"))).first()[0] <= 8
+
+
+@pytest.mark.parametrize("axes", [1, 2, 4])
+def test_near_blocks_are_those_within_reach(spark, axes):
+    draw = np.random.default_rng(axes)
+    low = draw.uniform(-1, 0.8, (120, axes))
+    high = low + draw.uniform(0, 0.5, (120, axes))
+    cut = spark.createDataFrame([(i, a.tolist(), b.tolist()) for i, (a, b) in enumerate(zip(low, high, strict=True))], "blk bigint, low array<double>, high array<double>")
+    got = sorted(map(tuple, epsilon.near_blocks(cut, 0.2, axes).collect()))
+    gap = lambda i, j: np.maximum(0, np.maximum(low[i] - high[j], low[j] - high[i]))
+    assert got == [(i, j) for i in range(120) for j in range(i, 120) if gap(i, j) @ gap(i, j) <= 0.04]
