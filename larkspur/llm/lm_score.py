@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import GROUP_BYTES, adding, checkpointed, codepoints, decoded, group_total, packed
+from larkspur.llm.common import GROUP_BYTES, adding, checkpointed, codepoints, decoded, group_of, group_total, packed
 
 BACKGROUND_SEED, DRAWS = 17, 1 << 30  # of the hash that draws the background
 START = 0x110000  # stands twice before every text; no character has this number
@@ -30,38 +30,45 @@ def trigrams(text: str) -> np.ndarray:
     return (x[:-2] << 42) | (x[1:-1] << 21) | x[2:]
 
 
-def with_roles(documents: DataFrame, target_keys: DataFrame, key: str, text: str) -> DataFrame:
-    """``(row, role)``: 1 for rows of the target, 2 for rows of the matched background, 0 for others.
+def deal(documents: DataFrame, target_keys: DataFrame, key: str, text: str, groups: int) -> tuple[DataFrame, DataFrame]:
+    """``(row, drawn, grp)``, whether a row that is not of the target belongs to the background; and the target's ``(key, grp)``.
 
-    Keys are marked by a join, which Spark broadcasts if the keys are few and else splits where many rows share one.
+    Which rows are of the target is found by their ids and groups alone: texts do not move for it, and an id that many rows
+    share stands once per group.
     """
-    wanted = target_keys.select(F.col(f"`{target_keys.columns[0]}`").cast(documents.schema[key].dataType).alias("wanted"))
-    wanted = wanted.where("wanted is not null").distinct()
-    rows = packed(documents)
-    marked = rows.join(wanted, F.col(f"row.`{key}`") == F.col("wanted"), "left")
-    size = F.coalesce(F.length(F.col(f"row.`{text}`")), F.lit(0))
-    mine = F.col("wanted").isNotNull()
-    sums = marked.agg(F.sum(F.when(mine, size)).alias("target"), F.sum(F.when(~mine, size)).alias("rest")).first()
-    share = min(1.0, (sums["target"] or 0) / sums["rest"]) if sums["rest"] else 0.0
-    drawn = F.pmod(F.xxhash64(F.lit(BACKGROUND_SEED), F.col(f"row.`{key}`"), F.col(f"row.`{text}`")), F.lit(DRAWS)) < round(share * DRAWS)
-    return marked.select("row", F.when(mine, 1).when(drawn, 2).otherwise(0).alias("role"))
-
-
-def count_trigrams(dealt: DataFrame, text: str) -> DataFrame:
-    """``(grp, gram, n_target, n_all)`` of every group of ``dealt(row, role, grp)``; ``n_all`` counts the background."""
-
-    def count(table: pa.Table) -> pa.Table:
-        row = table.column("row").combine_chunks()
-        parts = [trigrams(t or "") for t in decoded(row.field(text))]
+    k = F.col(f"`{key}`")
+    grp = group_of(key, text, groups)
+    wanted = target_keys.select(F.col(f"`{target_keys.columns[0]}`").cast(documents.schema[key].dataType).alias("key"))
+    wanted = wanted.where("key is not null").distinct()
+    size = F.coalesce(F.length(F.col(f"`{text}`")), F.lit(0))
+    per_key = documents.select(k.alias("key"), grp.alias("grp"), size.alias("size")).groupBy("key", "grp").agg(F.sum("size").alias("size"))
+    target = checkpointed(per_key.join(wanted, "key", "left_semi"))
+    whole, mine = documents.agg(F.sum(size)).first()[0] or 0, target.agg(F.sum("size")).first()[0] or 0
+    share = min(1.0, mine / (whole - mine)) if whole > mine else 0.0
+    drawn = F.pmod(F.xxhash64(F.lit(BACKGROUND_SEED), k, F.col(f"`{text}`")), F.lit(DRAWS)) < round(share * DRAWS)
+    return packed(documents, drawn=drawn, grp=grp), target.select("key", "grp")
+
+
+def count_trigrams(dealt: DataFrame, target: DataFrame, key: str, text: str) -> DataFrame:
+    """``(grp, gram, n_target, n_all)`` of every group, from what ``deal`` gives; ``n_all`` counts the background."""
+
+    def count(left: pa.Table, right: pa.Table) -> pa.Table:
+        row = left.column("row").combine_chunks() if left.num_rows else None
+        wanted = set(right.column("key").to_pylist())
+        parts = [trigrams(t or "") for t in (decoded(row.field(text)) if row else [])]
         gram, at = np.unique(np.concatenate([*parts, np.zeros(0, np.int64)]), return_inverse=True)
-        role = np.repeat(table.column("role").to_numpy(), [len(p) for p in parts])
+        lengths = [len(p) for p in parts]
+        of_target = np.array([k in wanted for k in (row.field(key).to_pylist() if row else [])], bool)
+        drawn = np.array(left.column("drawn").to_pylist(), bool) & ~of_target
+        group = left.column("grp")[0].as_py() if left.num_rows else 0
         return pa.table({
-            "grp": pa.array(np.full(len(gram), table.column("grp")[0].as_py(), np.int32)), "gram": pa.array(gram),
-            "n_target": pa.array(np.bincount(at[role == 1], minlength=len(gram)).astype(np.int64)),
-            "n_all": pa.array(np.bincount(at[role == 2], minlength=len(gram)).astype(np.int64)),
+            "grp": pa.array(np.full(len(gram), group, np.int32)), "gram": pa.array(gram),
+            "n_target": pa.array(np.bincount(at[np.repeat(of_target, lengths)], minlength=len(gram)).astype(np.int64)),
+            "n_all": pa.array(np.bincount(at[np.repeat(drawn, lengths)], minlength=len(gram)).astype(np.int64)),
         })
 
-    return dealt.groupBy("grp").applyInArrow(count, "grp int, gram bigint, n_target bigint, n_all bigint")
+    shape = "grp int, gram bigint, n_target bigint, n_all bigint"
+    return dealt.groupBy("grp").cogroup(target.groupBy("grp")).applyInArrow(count, shape)
 
 
 def losses(counts: DataFrame) -> DataFrame:
@@ -104,9 +111,8 @@ def score(
     with no target rows at all both models are uniform.  An empty table gives an empty result.
     """
     groups = group_total(documents, text, group_bytes)
-    roles = with_roles(documents, target_keys, key, text)
-    dealt = roles.withColumn("grp", F.pmod(F.xxhash64(F.col(f"row.`{key}`"), F.col(f"row.`{text}`")), F.lit(groups)).cast("int"))
-    counts = checkpointed(count_trigrams(dealt, text))
+    dealt, target = deal(documents, target_keys, key, text, groups)
+    counts = checkpointed(count_trigrams(dealt, target, key, text))
     model = losses(checkpointed(counts.groupBy("gram").agg(F.sum("n_target").alias("n_target"), F.sum("n_all").alias("n_all"))))
     answers = counts.select("grp", "gram").join(model, "gram")
 
@@ -126,4 +132,4 @@ def score(
                         names=["row", "n_tokens", "loss_target", "loss_all", "score"])
 
     shape = adding(dealt.select("row").schema, "n_tokens bigint, loss_target double, loss_all double, score double")
-    return dealt.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(judge, shape)
+    return dealt.select("row", "grp").groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(judge, shape)

@@ -59,6 +59,14 @@ def plain_scores(rows: list[tuple], role: dict) -> list[float | None]:
     return out
 
 
+def roles(frame, good, groups: int = 5) -> dict:
+    """1 for rows of the target, 2 for rows of the background, 0 for others, by id and text."""
+    dealt, target = lm_score.deal(frame, good, "doc_id", "text", groups)
+    wanted = set(map(tuple, target.collect()))
+    rows = dealt.select("row.doc_id", "row.text", "drawn", "grp").collect()
+    return {(r.doc_id, r.text): 1 if (r.doc_id, r.grp) in wanted else 2 if r.drawn else 0 for r in rows}
+
+
 @pytest.mark.parametrize("target", [[1, 2, 2, None, 99, 5], []])
 def test_scores_equal_the_plain_version(spark, docs, target):
     texts = [None, "", "the cat sat", "the cat ran", "zebra zebra", "日本語 text", "a", "the cat sat", "cab " * 200]
@@ -68,7 +76,7 @@ def test_scores_equal_the_plain_version(spark, docs, target):
     good = spark.createDataFrame([(k,) for k in target], "doc_id bigint")
     got = lm_score.score(frame, good, group_bytes=40).select("row.doc_id", "row.text", "n_tokens", "score").collect()
     show = lambda x: None if x is None else round(x, 8)
-    role = {(r.doc_id, r.text): r.role for r in lm_score.with_roles(frame, good, "doc_id", "text").select("row.*", "role").collect()}
+    role = roles(frame, good)
     assert all((role[k, t] == 1) == (k in set(target) - {None}) for k, t in rows)
     assert target or set(role.values()) == {0}
     want = Counter((k, t, len(t or ""), show(s)) for (k, t), s in zip(rows, plain_scores(rows, role), strict=True))
@@ -79,10 +87,11 @@ def test_scores_equal_the_plain_version(spark, docs, target):
 def test_background_matches_the_target_in_size(spark):
     rows = [(i, f"text number {i} " * (1 + i % 5)) for i in range(4_000)] + [(i % 3, f"one id on many rows {i}") for i in range(1_000)]
     frame, good = spark.createDataFrame(rows, "doc_id bigint, text string"), spark.range(500).selectExpr("id * 3 + 1 AS doc_id")
-    sizes = {r.role: r.n for r in lm_score.with_roles(frame, good, "doc_id", "text").groupBy("role").agg(F.sum(F.length("row.text")).alias("n")).collect()}
+    sizes = Counter()
+    for (_, text), role in roles(frame, good).items():
+        sizes[role] += len(text)
     assert abs(sizes[2] / sizes[1] - 1) < 0.15
-    few = lm_score.with_roles(frame, spark.range(3_900).selectExpr("id AS doc_id"), "doc_id", "text")
-    assert few.where("role = 0").count() == 0  # less other text than target: all of it
+    assert 0 not in roles(frame, spark.range(3_900).selectExpr("id AS doc_id")).values()  # less other text than target: all of it
 
 
 def test_one_id_on_many_rows_is_spread_over_the_groups(spark):
