@@ -17,7 +17,7 @@ from pyspark.sql.types import DecimalType, FloatType, IntegerType, ShortType
 from larkspur.fixed_models import FIXED_ORACLES, FIXED_QUERIES
 from larkspur.model_facts import FACT_ORACLES, fact_queries
 from larkspur.models import evaluate, explain, score, tabular, train
-from larkspur.models.prepare import align_features, class_weights, one_hot_drop_first
+from larkspur.models.prepare import align_features, class_weights, one_hot_drop_first, one_hot_sparse
 from larkspur.operators import aggregates, experiment, filters, ids, joins, quality, windows
 from larkspur.operators.scale import keep, work_folder
 from larkspur.oracles import BUYER_COUNTRY, MIN_ORDERS, ORACLES, REPORT_YEAR
@@ -73,6 +73,12 @@ def _one_hot(t: Tables) -> DataFrame:
     return one_hot_drop_first(t.customers.select("customer_id", *columns), columns)
 
 
+def _one_hot_sparse(t: Tables) -> DataFrame:
+    columns = ["acquisition_channel", "country", "customer_type"]
+    found = one_hot_sparse(t.customers.select("customer_id", *columns), columns)
+    return found.select("customer_id", F.array_join(F.col("places").cast("array<string>"), ",").alias("places"))
+
+
 def _align(t: Tables) -> DataFrame:
     encoded = one_hot_drop_first(t.customers.select("customer_id", "customer_type"), ["customer_type"])
     expected = ["customer_id", "customer_type_saas", "customer_type_reseller", "customer_type_ecommerce"]
@@ -436,6 +442,7 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
         features.log_target(metrics.customer_value(t, AS_OF).select("customer_id", "total_ltv")), log_ltv=6, back=2
     ),
     "one_hot_drop_first": _one_hot,
+    "one_hot_sparse": _one_hot_sparse,
     "align_features": _align,
     # splits, weights and metrics of fixed predictions
     "stratified_split": lambda t: _split_churn(t).select("customer_id", "churned", "is_test"),

@@ -9,6 +9,8 @@ from pyspark.ml.feature import OneHotEncoder, StringIndexerModel, VectorAssemble
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larkspur.operators.scale import attach_small, keep
+
 _INDEX, _VECTOR = "__index", "__levels"  # ends of the names of columns between two stages
 
 
@@ -72,6 +74,57 @@ class Encoder:
         return [f"{c}{_VECTOR}" for c, _ in self._coded()]
 
 
+@dataclass(frozen=True)
+class LevelIndex:
+    """Places of category levels as a table: levels stay in Spark, and plans do not grow with their number.
+
+    ``table(column, level, place)`` numbers the levels of each column but the alphabetically first from 0.  ``sizes`` has
+    one number per column.
+    """
+
+    table: DataFrame
+    sizes: dict[str, int]
+
+    @classmethod
+    def fit(cls, rows: DataFrame, columns: list[str]) -> LevelIndex:
+        pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("level")) for c in columns])
+        distinct = rows.select(F.explode(pairs).alias("p")).select("p.*").where(F.col("level").isNotNull()).distinct()
+        place = F.row_number().over(Window.partitionBy("column").orderBy("level")) - 2  # a row per level
+        table = keep(distinct.withColumn("place", place).where("place >= 0"), "levels")
+        counts = {r["column"]: r["n"] for r in table.groupBy("column").agg(F.count(F.lit(1)).alias("n")).collect()}
+        return cls(table, {c: counts.get(c, 0) for c in columns})
+
+    def places(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``<column>__index``: the place of the row's level, or the number of places if it has none."""
+        for c, size in self.sizes.items():
+            side = self.table.where(F.col("column") == c).select(F.col("level").alias(c), F.col("place").alias("_place"))
+            rows = attach_small(rows, side, [c], "left", f"places-{c}")
+            rows = rows.withColumn(f"{c}{_INDEX}", F.coalesce("_place", F.lit(size)).cast("double")).drop("_place")
+        return rows
+
+    def vectors(self, rows: DataFrame, numeric: list[str], output: str = "features") -> DataFrame:
+        """``rows`` with one sparse vector of numbers and 0/1 levels; a first, unseen or missing level is all zeros."""
+        placed, made = self.places(rows), list(numeric)
+        for c, size in self.sizes.items():
+            if size:
+                every = rows.sparkSession.range(size + 1).select(F.col("id").cast("double").alias(f"{c}{_INDEX}"))
+                placed = OneHotEncoder(inputCol=f"{c}{_INDEX}", outputCol=f"{c}{_VECTOR}", dropLast=True).fit(every).transform(placed)
+                made.append(f"{c}{_VECTOR}")
+        packed = VectorAssembler(inputCols=made, outputCol=output).transform(placed)
+        return packed.drop(*[f"{c}{end}" for c in self.sizes for end in (_INDEX, _VECTOR)])
+
+
+def one_hot_sparse(rows: DataFrame, columns: list[str]) -> DataFrame:
+    """``rows`` without the columns, with ``places``: the ascending places of its levels among those of all columns."""
+    index = LevelIndex.fit(rows, columns)
+    placed, before, found = index.places(rows), 0, []
+    for c, size in index.sizes.items():
+        place = F.col(f"{c}{_INDEX}").cast("bigint")
+        found.append(F.when(place < size, place + before))
+        before += size
+    return placed.withColumn("places", F.array_compact(F.array(*found))).drop(*columns, *[f"{c}{_INDEX}" for c in columns])
+
+
 def vector_levels(indexer: StringIndexerModel) -> tuple[str, list[str]]:
     """The vector column an indexer feeds, and the names of its places."""
     c = indexer.getInputCol()

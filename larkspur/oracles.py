@@ -602,6 +602,15 @@ FROM people p LEFT JOIN has_bought b ON b.customer_id=p.customer_id""",
         WORTH,
     ),
     "one_hot_drop_first": _one_hot(),
+    "one_hot_sparse": text(
+        "customers",
+        """SELECT customer_id, coalesce(string_agg(place::VARCHAR, ',' ORDER BY place), '') AS places
+FROM said LEFT JOIN placed ON placed.col = said.col AND placed.level = said.level GROUP BY customer_id""",
+        """said AS (SELECT customer_id, unnest([1, 2, 3]) AS col, unnest([acquisition_channel, country, customer_type]) AS level FROM g_customers)""",
+        """firsts AS (SELECT col, min(level) AS least_level FROM said GROUP BY col)""",
+        """placed AS (SELECT col, level, row_number() OVER (ORDER BY col, level) - 1 AS place
+  FROM (SELECT DISTINCT said.col, level FROM said JOIN firsts ON firsts.col = said.col WHERE level > least_level) d)""",
+    ),
     "align_features": text(
         "customers",
         """SELECT customer_id, CAST(CASE customer_type WHEN 'saas' THEN 1 ELSE 0 END AS BIGINT) AS customer_type_saas,

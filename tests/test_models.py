@@ -2,6 +2,7 @@
 
 import itertools
 import math
+import re
 from dataclasses import replace
 from datetime import date, datetime, timedelta
 from decimal import Decimal as D
@@ -403,3 +404,22 @@ def test_dependence_of_few_vectors_scores_few(spark, study):
     chance = lambda m: 1 / (1 + math.exp(-m))
     want = {v: (chance(v - 0.25) + chance(v - 0.75)) / 2 for v in (0.0, 1.0, 2.0)}
     assert {r.grid_value: r.avg_prediction for r in found} == pytest.approx(want)
+
+
+def test_many_levels_are_indexed_in_spark(spark):
+    """100,000 levels: the plan is as long as for three, and vectors are sparse."""
+    def plan(n):
+        rows = spark.range(n + 7).select("id", F.format_string("level %06d", F.col("id") % n).alias("c"), F.lit(2.5).alias("x"))
+        made = prepare.LevelIndex.fit(rows.union(spark.createDataFrame([(-1, None, 1.0)], "id bigint, c string, x double")), ["c"]).vectors(rows, ["x"])
+        return made, len(re.sub(r"#\d+L?|\d+", "", made._jdf.queryExecution().optimizedPlan().toString()))
+
+    few, short = plan(3)
+    many, long = plan(100_000)
+    assert long < short * 1.5
+    vectors = {r.id: r.features for r in many.where("id IN (0, 1, 99999, 100003)").collect()}
+    assert all(v.size == 100_000 for v in vectors.values())
+    assert {i: dict(zip(v.indices.tolist(), v.values.tolist(), strict=True)) for i, v in vectors.items()} == {
+        0: {0: 2.5}, 1: {0: 2.5, 1: 1.0}, 99_999: {0: 2.5, 99_999: 1.0}, 100_003: {0: 2.5, 3: 1.0}
+    }
+    none = prepare.one_hot_sparse(spark.createDataFrame([(1, None)], "id int, c string"), ["c"]).collect()
+    assert [r.places for r in none] == [[]]
