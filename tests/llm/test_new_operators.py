@@ -142,6 +142,7 @@ def test_markup_decides():
     assert used("<article><p>cut off &am") == ["cut off &am"]
     assert used("<article><p>A</p><p class='x") == ["A"]
     assert used('<p title="a>b">A</p><p title="x>B') == ["A", "B"]
+    assert used("<article><p>A<div aria-label=Advertisement>x</div><div aria-label='an alert of mine'>B</div><div class='site-Alert'>y</div>") == ["A", "B"]
     assert used("") == used("<!-- all") == used("<script>x") == []
 
 
