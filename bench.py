@@ -21,7 +21,10 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from larkspur import build_session  # noqa: E402
-from larkspur.catalog import QUERIES, lab  # noqa: E402
+from larkspur.catalog import QUERIES, lab, tables  # noqa: E402
+from larkspur.operators.scale import work_folder  # noqa: E402
+from larkspur.plans import exports  # noqa: E402
+from larkspur.sources.star import AS_OF  # noqa: E402
 
 HEADLINES = [
     "channel_performance",
@@ -74,6 +77,10 @@ def main() -> None:
         run = lambda name=name: consume(QUERIES[name](spark, folder))
         run()
         seconds[name] = statistics.median(timed(run) for _ in range(repeats))
+    # ``export_bundle`` reads back and parses what it wrote; this is the writing alone, and not part of the sum.
+    document = f"{work_folder(spark)}/bench.json"
+    write = lambda: exports.export_bundle(tables(spark, folder), AS_OF, document)
+    alone = statistics.median(timed(write) for _ in range(repeats))
     total = sum(seconds.values())
     print(
         json.dumps(
@@ -82,6 +89,7 @@ def main() -> None:
                 "value": round(total, 3),
                 "unit": "sec",
                 "queries": {name: round(s, 3) for name, s in seconds.items()},
+                "export_bundle_write": round(alone, 3),
                 "sf": folder.rsplit("/sf", 1)[-1],
             }
         )
