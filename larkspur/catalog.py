@@ -487,14 +487,16 @@ TABLE_QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "report_spend_pivot": lambda t: reports.report_spend_pivot(aggregates.spend_trend_by_channel(t)),
     "report_kpis": lambda t: reports.report_kpis(aggregates.customer_growth(t), metrics.channel_performance(t, AS_OF)),
     "report_kpis_year": lambda t: reports.report_kpis(
-        aggregates.customer_growth(t), metrics.channel_performance_by_year(t, AS_OF), REPORT_YEAR
+        aggregates.customer_growth(t), metrics.channel_performance_by_year(reports.cohort_tables(t, REPORT_YEAR), AS_OF), REPORT_YEAR
     ),
     "report_funnel_pct": lambda t: reports.report_funnel_pct(aggregates.funnel_by_year(t)),
     "report_retention": lambda t: reports.report_retention(
         metrics.retention_by_year(t.between(*reports.year_span(REPORT_YEAR, months_after=1)).orders, "order_date"), REPORT_YEAR
     ),
     "report_churn_bands": lambda t: reports.report_churn_bands(aggregates.churn_bands_by_year(t)),
-    "report_churn_bands_year": lambda t: reports.report_churn_bands(aggregates.churn_bands_by_year(t), REPORT_YEAR),
+    "report_churn_bands_year": lambda t: reports.report_churn_bands(
+        aggregates.churn_bands_by_year(reports.cohort_tables(t, REPORT_YEAR)), REPORT_YEAR
+    ),
     "report_propensity_bands": lambda t: reports.report_propensity_bands(aggregates.propensity_bands_by_year(t)),
     "report_band_share": lambda t: reports.report_band_share(
         reports.report_propensity_bands(aggregates.propensity_bands_by_year(t))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from larkspur.functions.labels import CHURN_BANDS, PAID_CHANNELS, PROPENSITY_BANDS, STAGE_TITLES, position
 from larkspur.functions.money import percent, ratio, total
+from larkspur.sources.tables import Tables
 
 
 def in_year(rows: DataFrame, year: int | None) -> DataFrame:
@@ -25,6 +26,22 @@ def year_span(year: int, months_after: int = 0) -> tuple[date, date]:
     return date(year, 1, 1), end
 
 
+def cohort_tables(t: Tables, year: int) -> Tables:
+    """The tables as a report on the customers who signed up in ``year`` needs them: these customers, and the year's spend.
+
+    Orders and events stay whole, since a customer's value counts all of them; they meet the year's customers only.
+    """
+    first, last = year_span(year)
+    dated = t.between(first, last)
+
+    def source(name: str) -> DataFrame:
+        if name == "customers":
+            return t.customers.where(F.col("signup_date").between(F.lit(first), F.lit(last)))
+        return dated.marketing_spend if name == "marketing_spend" else getattr(t, name)
+
+    return Tables(source)
+
+
 def report_years(growth: DataFrame) -> DataFrame:
     return growth.select("year").distinct().orderBy("year")
 

@@ -185,3 +185,8 @@ def test_registered_year_report_pushes_its_range_to_the_files(spark):
 def test_year_span():
     assert reports.year_span(2024) == (date(2024, 1, 1), date(2024, 12, 31))
     assert reports.year_span(2024, months_after=1) == (date(2024, 1, 1), date(2025, 1, 31))
+
+
+def test_year_reports_read_their_cohort(spark):
+    plan = QUERIES["report_kpis_year"](spark, STAR)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(l_shipdate," in plan
