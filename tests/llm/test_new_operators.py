@@ -139,6 +139,7 @@ def test_markup_decides():
     assert used('<div id="content"><p>A<p>B</div><p>C') == ["A", "B"]
     assert used("<p>A<ul><li><a>x</a><li><a>y</a></ul><p>B <a>c</a>") == ["A", "B c"]
     assert used("plain < text & <<b>more</b>") == ["plain < text & <more"]
+    assert used("<p>&am<b>p;</b> &lt<i>b&gt;&#x41;&#32;&nbsp;x") == ["&amp; <b>A x"]
     assert used("<article><p>cut off &am") == ["cut off &am"]
     assert used("<article><p>A</p><p class='x") == ["A"]
     assert used('<p title="a>b">A</p><p title="x>B') == ["A", "B"]
