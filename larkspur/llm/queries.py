@@ -324,6 +324,20 @@ def op12_page_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("row.page_id", "row.url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
+# For pages like those of the table: one article each, whose blocks are paragraphs and headings.
+LLM_ORACLES["op12_page_text"] = r"""
+WITH articles AS (
+  SELECT page_id, url, string_split_regex(regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1), '</?(?:p|h1)>') AS blocks
+  FROM pages),
+shown AS (
+  SELECT page_id, url, array_to_string(list_filter(list_transform(blocks, lambda x:
+    trim(regexp_replace(regexp_replace(replace(regexp_replace(x, '<[^>]*>', ' ', 'g'), '&quot;', '"'), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))),
+    lambda x: x <> ''), chr(10)) AS text
+  FROM articles)
+SELECT page_id, url, text, length(text) AS n_chars FROM shown
+"""
+
+
 @_query
 def op13_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     """Three hard negatives for each of the five positives of every fiftieth vector; every seventh vector has the next label."""
