@@ -349,10 +349,11 @@ def test_vector_links_equal_the_sql(spark, in_duckdb, tmp_path):
     assert Counter(map(tuple, ours.select(*names).collect())) == Counter(want) and any(n for _, n, _, _ in want)
 
 
-def test_components_of_paths_stars_and_rings(spark):
+@pytest.mark.parametrize("hot_links", [50_000, 4])
+def test_components_of_paths_stars_and_rings(spark, hot_links):
     links = [(i, i + 1) for i in range(60)] + [(100, 100 + i) for i in range(1, 50)] + [(200 + i, 200 + (i + 1) % 9) for i in range(9)]
     links += [(5, 4), (7, 7), (None, 3), (300, None), (999, 400), (400, 500)]
-    got = dict(map(tuple, graph.components(spark.createDataFrame(links, "a bigint, b bigint")).collect()))
+    got = dict(map(tuple, graph.components(spark.createDataFrame(links, "a bigint, b bigint"), hot_links).collect()))
     want = {i: 0 for i in range(61)} | {100 + i: 100 for i in range(50)} | {200 + i: 200 for i in range(9)} | {999: 400, 400: 400, 500: 400}
     assert got == want
     assert graph.components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
