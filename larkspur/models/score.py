@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from larkspur.models.tabular import chance, linear_margin, tree_score
 from larkspur.models.train import predict_class, predict_value
+from larkspur.operators.scale import dealt
 from larkspur.plans.features import churn_scoring_features, propensity_scoring_features
 from larkspur.sources.sinks import full_refresh, typed
 from larkspur.sources.tables import Tables
@@ -41,7 +42,7 @@ def weight_rule(weights: DataFrame, numbers: list[str], categories: list[str]) -
 
 def node_rule(nodes: DataFrame, features: list[tuple[str, str | None]], depth: int, mean: bool = True) -> Rule:
     """The mean or the sum of the trees of a node table."""
-    return lambda rows: tree_score(rows, nodes, features, depth, mean)
+    return lambda rows: tree_score(dealt(rows), nodes, features, depth, mean)
 
 
 def churn_by(rule: Rule, t: Tables, as_of: date) -> DataFrame:

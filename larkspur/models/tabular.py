@@ -11,10 +11,11 @@ Such tables can be kept, read, compared and scored by any engine.  ``weight_tabl
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import StringIndexerModel, VectorAssembler
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larkspur.models.prepare import vector_levels
@@ -22,6 +23,7 @@ from larkspur.operators.scale import attach_small, work_folder
 
 INTERCEPT = "(intercept)"
 WEIGHTS = "feature string, level string, weight double"
+_PACKED = ("place", "threshold", "left", "right", "value")
 NODES = "tree int, node int, feature string, level string, threshold double, left int, right int, value double, weight double"
 
 
@@ -77,13 +79,34 @@ def feature_values(features: list[tuple[str, str | None]]) -> Column:
 
 
 def packed_trees(nodes: DataFrame, features: list[tuple[str, str | None]]) -> Column:
-    """The nodes as one array per tree: a value in the plan, as large as the model."""
+    """The nodes of all trees as flat arrays, one value in the plan: ``(place, threshold, left, right, value, roots, weight)``.
+
+    Trees stand one after the other, so that children are places in the same arrays.  A leaf leads back to itself; ``value`` is
+    multiplied by its tree's weight, and ``weight`` is that of all trees.
+    """
     names = F.array(*[F.lit(f"{c}={level}" if level is not None else c) for c, level in features])
     name = F.when(F.col("level").isNull(), F.col("feature")).otherwise(F.concat_ws("=", "feature", "level"))
     place = F.coalesce(F.array_position(names, name) - 1, F.lit(-1)).cast("int")
-    listed = nodes.select("tree", "weight", F.struct("node", place.alias("place"), "threshold", "left", "right", "value").alias("n"))
-    trees = listed.groupBy("tree").agg(F.first("weight").alias("weight"), F.array_sort(F.collect_list("n")).alias("nodes"))
-    return trees.agg(F.array_sort(F.collect_list(F.struct("tree", "weight", "nodes"))).alias("trees")).scalar()
+    ahead = Window.orderBy("tree").rowsBetween(Window.unboundedPreceding, -1)  # a row per tree
+    trees = nodes.groupBy("tree").agg(F.count(F.lit(1)).alias("_size"), F.first("weight").alias("_weight"))
+    trees = trees.withColumn("_root", F.coalesce(F.sum("_size").over(ahead), F.lit(0)).cast("int"))
+    inside = F.row_number().over(Window.partitionBy("tree").orderBy("node")) - 1
+    placed = nodes.drop("weight").withColumn("_at", inside).join(F.broadcast(trees), "tree")
+    at, leaf = F.col("_root") + F.col("_at"), F.col("left") < 0
+    to = lambda c: F.when(leaf, at).otherwise(F.col("_root") + F.col(c)).alias(c)
+    worth = (F.col("_weight") * F.col("value")).alias("value")
+    node = F.struct(at.alias("at"), place.alias("place"), "threshold", to("left"), to("right"), worth)
+    top = F.col("_at") == 0
+    held = placed.agg(
+        F.array_sort(F.collect_list(node)).alias("n"), F.array_sort(F.collect_list(F.when(top, F.col("_root")))).alias("roots"),
+        F.sum(F.when(top, F.col("_weight"))).alias("weight"),
+    )
+    return held.select(F.struct(*[F.col(f"n.{c}").alias(c) for c in _PACKED], "roots", "weight")).scalar()
+
+
+def _held(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)``, with the value worked out once per row however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
 def tree_score(
@@ -91,21 +114,28 @@ def tree_score(
 ) -> DataFrame:
     """``rows`` with ``score``: the weighted mean over trees of the value of the leaf a row falls into, or the weighted sum.
 
-    A row walks ``depth`` steps down each tree.  ``own`` gives the features as an array where the columns do not.
+    A row walks ``depth`` steps down each tree.  ``own`` gives the features as an array where the columns do not.  The model
+    stays outside the rows: only numbers are read from it, no row carries a copy.
     """
 
-    def leaf(tree: Column) -> Column:
+    def total(own: Column, place: Column, threshold: Column, left: Column, right: Column, value: Column, roots: Column) -> Column:
         def step(at: Column, _: Column) -> Column:
-            node = F.get(tree["nodes"], at)
-            down = F.when(F.get("_own", node["place"]) <= node["threshold"], node["left"]).otherwise(node["right"])
-            return F.when(node["left"] < 0, at).otherwise(down)
+            down = F.get(own, F.get(place, at)) <= F.get(threshold, at)
+            return F.when(down, F.get(left, at)).otherwise(F.get(right, at))
+
+        steps = F.array(*[F.lit(i) for i in range(depth)])
+        leaf = lambda root: F.aggregate(steps, root, step)
+        return F.aggregate(roots, F.lit(0.0), lambda sum_, root: sum_ + F.get(value, leaf(root)))
+
+    def score(model: Column) -> Column:
+        def bound(values: list[Column], left: list[Column]) -> Column:
+            return _held(left[0], lambda v: bound([*values, v], left[1:])) if left else total(*values)
 
-        return F.get(tree["nodes"], F.aggregate(F.sequence(F.lit(1), F.lit(depth)), F.lit(0), step))["value"]
+        summed = bound([], [feature_values(features) if own is None else own, *[model[c] for c in (*_PACKED, "roots")]])
+        return summed / model["weight"] if mean else summed
 
-    held = rows.withColumns({"_own": feature_values(features) if own is None else own, "_trees": packed_trees(nodes, features)})
-    total = F.aggregate("_trees", F.lit(0.0), lambda sum_, tree: sum_ + tree["weight"] * leaf(tree))
-    weight = F.aggregate("_trees", F.lit(0.0), lambda sum_, tree: sum_ + tree["weight"])
-    return held.withColumn("score", total / weight if mean else total).drop("_own", "_trees")
+    # Used once, so that Spark puts the value of the subquery where it is used and no row carries it.
+    return rows.withColumn("_model", packed_trees(nodes, features)).withColumn("score", _held(F.col("_model"), score)).drop("_model")
 
 
 def score_equations(

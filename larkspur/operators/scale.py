@@ -2,6 +2,7 @@
 
 * ``keep``            cuts lineage by writing a table into the cluster's shared folder; the files' size is then known.
 * ``skew_safe_join``  joins many rows to one row per key, spreading the rows of hot keys over several tasks.
+* ``dealt``           spreads rows that are small but costly, such as rows a forest scores, over all tasks.
 * ``attach_small``    joins a small side by broadcast only after counting it, and by a skew-safe join otherwise.
 * ``positions``       cumulative counts over ordered values without ever sorting one big group in one task.
 """
@@ -63,6 +64,15 @@ def keep_all(frames: Mapping[str, DataFrame]) -> list[DataFrame]:
     return in_parallel([lambda label=label, rows=rows: keep(rows, label) for label, rows in frames.items()])
 
 
+def dealt(rows: DataFrame) -> DataFrame:
+    """``rows`` dealt evenly over all tasks of a shuffle, before a step whose work follows from the rows and not their bytes.
+
+    Spark sizes tasks by bytes: a few megabytes, and so a few tasks, may hold all rows that a large model has to score.
+    """
+    spark = rows.sparkSession
+    return rows.repartition(max(int(spark.conf.get("spark.sql.shuffle.partitions")), 4 * spark.sparkContext.defaultParallelism))
+
+
 def hot_parts(
     rows: DataFrame, keys: list[str], task_rows: int = TASK_ROWS, tracked: int = 50_000
 ) -> dict[int, list[int]]:
