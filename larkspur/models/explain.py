@@ -19,6 +19,7 @@ from larkspur.operators.scale import keep
 
 # Multipliers of the steps of a shuffle, the fractional digits of two irrational numbers.
 STEP, OFFSET = 618_033_989, 414_213_562
+TASK_PAIRS = 5_000  # pairs of a row and a repeat that one task scores again, feature by feature
 
 
 @dataclass(frozen=True)
@@ -109,7 +110,9 @@ def permutation_importance(
     Rows are numbered by their unique ``key``; in each repeat row i borrows from row (a i + b) mod n, a one-to-one map, so every column keeps
     its values.  One join brings each (row, repeat) the whole donor vector, and features are swapped in locally: the
     shuffle grows with rows x repeats, not with the number of features.  A row whose own value equals the borrowed one
-    keeps its prediction and is not scored again, which is most rows of a rare 0/1 column and all of a constant one.
+    keeps its prediction and is not scored again, which is most rows of a rare 0/1 column and all of a constant one; nor is
+    one of class 0 for recall.  A row that borrows the same value in several repeats is scored once.  Scoring is dealt
+    to tasks by the number of pairs, as their bytes say little about its work.
     """
     judge = judge_of(model)
     names = judge.names
@@ -123,19 +126,22 @@ def permutation_importance(
             for r, (a, b) in enumerate(_affine_steps(n, repeats, seed))
         ]
     )
-    step = F.col("step")
+    step, parts = F.col("step"), max(1, -(-n * repeats // TASK_PAIRS))
     donor = ((F.col("i") * step["a"] + step["b"]) % F.lit(max(n, 1))).cast("bigint")
-    asking = numbered.select("i", "own", "y", "base", F.explode(steps).alias("step")).select(
-        "own", "y", "base", step["repeat"].alias("repeat"), donor.alias("donor")
+    counted = numbered.where("y = 1") if metric == "recall" else numbered  # recall looks at no other rows
+    asking = counted.select("i", "own", "y", "base", F.explode(steps).alias("step")).select(
+        "i", "own", "y", "base", step["repeat"].alias("repeat"), donor.alias("donor")
     )
     donors = numbered.select(F.col("i").alias("donor"), F.col("own").alias("lent"))
-    pairs = asking.join(donors, "donor")
-    swapped = (
+    pairs = asking.join(donors, "donor").repartition(parts, "i")  # all repeats of a row in one task
+    borrowed = F.get("lent", F.col("f"))
+    differing = (
         pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("f"))
-        .where(F.get("own", F.col("f")) != F.get("lent", F.col("f")))
-        .select("y", "base", "repeat", "f", _swap().alias("own"))
+        .where(F.get("own", F.col("f")) != borrowed)
+        .select("i", "own", "y", "base", "f", borrowed.alias("value"), "repeat")
     )
-    rescored = judge.decide(swapped)
+    swapped = differing.groupBy("i", "f", "value", "own", "y", "base").agg(F.collect_list("repeat").alias("repeats"))
+    rescored = judge.decide(swapped.select("y", "base", "repeats", "f", _swap().alias("own"))).withColumn("repeat", F.explode("repeats"))
     new, old, y = F.col("prediction"), F.col("base"), F.col("y")
     if metric == "recall":
         hits, asked = F.count_if((y == 1) & (old == 1)), F.count_if(y == 1)
@@ -165,10 +171,8 @@ def permutation_importance(
 
 
 def _swap() -> Column:
-    """The own vector with position ``f`` taken from the lent one."""
-    return F.transform(
-        "own", lambda value, at: F.when(at == F.col("f"), F.get("lent", F.col("f"))).otherwise(value)
-    )
+    """The own vector with the borrowed value at position ``f``."""
+    return F.transform("own", lambda value, at: F.when(at == F.col("f"), F.col("value")).otherwise(value))
 
 
 def feature_grid(rows: DataFrame, feature: str, size: int = 100) -> list[float]:

@@ -298,6 +298,36 @@ def test_tables_score_as_the_models_do(spark, study, forest, planted):
     assert _close(scored.join(told, "customer_id"), "score", "prediction")
 
 
+def test_rows_do_not_carry_the_trees(spark, study, forest):
+    nodes, features = tabular.node_table(spark, forest), tabular.places(forest)
+    scored = tabular.tree_score(study.test, nodes, features, 4).select("customer_id", "score")
+    plan = scored._jdf.queryExecution().optimizedPlan().toString()
+    assert "_model" not in plan and "_trees" not in plan
+
+
+def test_rows_to_score_are_dealt_to_all_tasks(spark, study, forest):
+    rule = score.node_rule(tabular.node_table(spark, forest), tabular.places(forest), 4)
+    assert "RoundRobinPartitioning" in rule(study.test.coalesce(1))._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("metric", ["recall", "r2"])
+def test_importance_scores_a_borrowed_value_once(planted, metric, monkeypatch):
+    monkeypatch.setattr(explain, "TASK_PAIRS", 100, raising=False)
+    rows, seen = planted.where("is_test").select("customer_id", F.round("x1", 1).alias("x1"), "kind", "y"), []
+    fixed = explain.linear_judge({("x1", None): 1.0, ("kind", "b"): 0.1}, -0.5, classes=metric == "recall")
+
+    def decide(vectors):
+        seen.append(vectors)
+        return fixed.decide(vectors)
+
+    explain.permutation_importance(explain.Judge(fixed.names, fixed.encode, decide), rows, "customer_id", "y", metric, repeats=50)
+    counted = rows.where("y = 1").count() if metric == "recall" else rows.count()
+    vectors = seen[-1].cache()
+    assert 0 < vectors.count() <= counted * (10 + 1)  # ten other values of x1, one other of the kind
+    assert vectors.where("y = 0").count() == 0 or metric == "r2"
+    assert seen[-1].rdd.getNumPartitions() == -(-rows.count() * 50 // 100)
+
+
 def test_importance_from_nodes(spark, forest):
     by_nodes = {(r.feature, r.level): r.value for r in tabular.importance_from_nodes(tabular.node_table(spark, forest)).collect()}
     told = dict(zip(tabular.places(forest), forest.stages[-1].featureImportances.toArray().tolist(), strict=True))
