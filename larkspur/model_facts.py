@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from larkspur.models import explain, score, splits, tabular, train
 from larkspur.models.prepare import with_class_weights
+from larkspur.operators.scale import dealt
 from larkspur.oracles import HELD_OUT, ORACLES
 from larkspur.plans import features
 from larkspur.sources.star import AS_OF
@@ -88,7 +89,7 @@ def _forest_rows(m: Lab) -> DataFrame:
     """Every held-out row with its label, and whether its probability and class are those the model's nodes give."""
     model, rows = m.churn_forest(), m.churn().test
     told = train.predict_class(model, rows.withColumn("customer_id", F.col("subscription_id")), "churned")
-    by = tabular.tree_score(rows, m.churn_nodes(), tabular.places(model), train.TREE_DEPTH).select("subscription_id", "customer_id", "score")
+    by = tabular.tree_score(dealt(rows), m.churn_nodes(), tabular.places(model), train.TREE_DEPTH).select("subscription_id", "customer_id", "score")
     joined = told.withColumnRenamed("customer_id", "subscription_id").join(by, "subscription_id", "full_outer")
     agrees = (F.col("score") > 0.5) == (F.col("prediction") == 1)
     return joined.select("customer_id", "label", _same("probability", "score").alias("as_nodes"), agrees.alias("agrees"))
@@ -96,7 +97,7 @@ def _forest_rows(m: Lab) -> DataFrame:
 
 def _value_rows(m: Lab, model: PipelineModel, nodes: DataFrame, depth: int, mean: bool) -> DataFrame:
     """Every held-out row with its value, and whether the prediction is the one the model's nodes give."""
-    by = tabular.tree_score(m.ltv().test, nodes, tabular.places(model), depth, mean).select("customer_id", F.expm1("score").alias("score"))
+    by = tabular.tree_score(dealt(m.ltv().test), nodes, tabular.places(model), depth, mean).select("customer_id", F.expm1("score").alias("score"))
     joined = m.value_predictions(model).join(by, "customer_id", "full_outer")
     return joined.select("customer_id", F.round("actual", 2).alias("actual"), _same("predicted", "score").alias("as_nodes"))
 
@@ -168,9 +169,16 @@ def _saved(m: Lab, again: DataFrame) -> DataFrame:
 
 def _rules(spark: SparkSession, m: Lab) -> tuple[score.Rule, score.Rule, score.Rule]:
     """The three trained models as tables."""
+    return (_churn_rule(m), *_people_rules(spark, m))
+
+
+def _churn_rule(m: Lab) -> score.Rule:
+    return score.node_rule(m.churn_nodes(), tabular.places(m.churn_forest()), train.TREE_DEPTH)
+
+
+def _people_rules(spark: SparkSession, m: Lab) -> tuple[score.Rule, score.Rule]:
     s = m.propensity()
     return (
-        score.node_rule(m.churn_nodes(), tabular.places(m.churn_forest()), train.TREE_DEPTH),
         score.weight_rule(tabular.weight_table(spark, m.propensity_balanced()), list(s.numeric), list(s.categories)),
         score.node_rule(m.ltv_nodes(), tabular.places(m.ltv_forest()), train.TREE_DEPTH),
     )
@@ -183,13 +191,13 @@ def _as_table(told: DataFrame, by: DataFrame, column: str) -> DataFrame:
 
 
 def _scored_churn(spark: SparkSession, m: Lab) -> DataFrame:
-    return _as_table(score.score_churn(m.churn_forest(), m.t, AS_OF), score.churn_by(_rules(spark, m)[0], m.t, AS_OF), "churn_risk_score")
+    return _as_table(score.score_churn(m.churn_forest(), m.t, AS_OF), score.churn_by(_churn_rule(m), m.t, AS_OF), "churn_risk_score")
 
 
 def _scored_people(spark: SparkSession, m: Lab, column: str) -> DataFrame:
     rows = features.propensity_scoring_features(m.t, AS_OF)
     told = score.score_propensity(m.propensity_balanced(), rows) if column == "purchase_propensity_score" else score.score_ltv(m.ltv_forest(), rows)
-    return _as_table(told, score.people_by(*_rules(spark, m)[1:], m.t, AS_OF), column)
+    return _as_table(told, score.people_by(*_people_rules(spark, m), m.t, AS_OF), column)
 
 
 def _score_facts(spark: SparkSession, m: Lab) -> DataFrame:
