@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.llm.common import FAR, checkpointed, finite_vector, whole_products, within_64_bits
+from larkspur.llm.common import EXACT, FAR, checkpointed, finite_vector, whole_products, within_64_bits
 
 SCALE = 256.0
 POSITIVES, NEGATIVES = 5, 3
@@ -76,9 +76,16 @@ class Block:
     """Rows of one block with their stored angles."""
 
     def __init__(self, record: dict, dims: int, references: np.ndarray) -> None:
-        self.ids, self.labels = np.array(record["ids"], np.int64), np.array(record["labels"], object)
+        self.ids = np.array(record["ids"], np.int64)
         n = len(self.ids)
         self.raw = np.frombuffer(record["x"], np.float64).reshape(n, dims)
+        # Worked out once for all anchors that meet the block: labels as numbers, vectors rounded down, their largest component.
+        self.codes = {label: code for code, label in enumerate(dict.fromkeys(record["labels"]))}
+        self.coded = np.array([self.codes[label] for label in record["labels"]], np.int64)
+        with np.errstate(over="ignore"):
+            self.whole = np.floor(self.raw * SCALE)
+        self.peak = float(np.abs(self.raw).max(initial=0.0))
+        self.reach = float(np.abs(self.whole).max(initial=0.0))
         table = lambda name, width: np.frombuffer(record[name], np.float64).reshape(n, width)
         self.norms, self.cosines, self.sines = table("norms", 1)[:, 0], table("cosines", len(references)), table("sines", len(references))
 
@@ -87,31 +94,35 @@ class Block:
 
     def scores(self, rows: np.ndarray, query: np.ndarray, scale: float) -> np.ndarray:
         """Whole inner products of some rows with a vector: in doubles where no sum can leave them, else in unbounded integers."""
+        if scale == SCALE and self.peak < 1e100 and np.abs(query).max(initial=0.0) < 1e100:
+            far = np.floor(query * scale)
+            if self.reach * np.abs(far).sum() < EXACT:  # whole numbers, exact in any order
+                return ((self.whole @ far)[rows] if 2 * len(rows) > len(self.whole) else self.whole[rows] @ far).astype(np.int64)
         return whole_products(self.raw[rows], query, scale)
 
     def best(self, rows: np.ndarray, scores: np.ndarray, k: int) -> list[tuple[int, int]]:
         """The ``k`` highest ``(id, score)``, ties to the smaller id."""
         if len(rows) > 4 * k:
-            floor = np.sort(scores)[-k]
+            floor = np.partition(scores, -k)[-k]
             rows, scores = rows[scores >= floor], scores[scores >= floor]
         order = sorted(zip(self.ids[rows].tolist(), scores.tolist(), strict=True), key=lambda x: (-x[1], x[0]))[:k]
         return [(i, max(-FAR, min(FAR, s))) for i, s in order]
 
     def positives(self, anchor: dict, query: np.ndarray, sight: tuple, k: int, scale: float) -> list[tuple[int, int]]:
         """The best ``k`` other rows of the anchor's label.  A row whose upper bound is under the ``k``-th lower bound is none."""
-        mine = np.flatnonzero((self.labels == anchor["label"]) & (self.ids != anchor["id"]))
+        mine = np.flatnonzero((self.coded == self.codes.get(anchor["label"], -1)) & (self.ids != anchor["id"]))
         if not len(mine):
             return []
         low, high = self.bounds(*sight)
         if len(mine) > k:
-            mine = mine[high[mine] >= np.sort(low[mine])[-k]]
+            mine = mine[high[mine] >= np.partition(low[mine], -k)[-k]]
         return self.best(mine, self.scores(mine, query, scale), k)
 
     def negatives(self, anchor: dict, query: np.ndarray, sight: tuple, k: int, scale: float, low: int, high: int) -> list[tuple[int, int, int]]:
         """``(place of the positive, id, score)``: per positive the best ``k`` rows of other labels in its window."""
         windows = [(-(-low * s // 100), high * s // 100) for s in map(int, anchor["scores"])]
         least, most = self.bounds(*sight)
-        apart = self.labels != anchor["label"]
+        apart = self.coded != self.codes.get(anchor["label"], -1)
         out = []
         wanted = np.zeros(len(self.ids), bool)
         for a, b in windows:

@@ -294,6 +294,24 @@ def test_negatives_of_nothing(spark):
     assert mined(spark, []) == mined(spark, [(1, [1.0], 0)]) == mined(spark, [(0, [1.0], 0)]) == []
 
 
+def test_a_block_is_rounded_once_for_all_anchors(monkeypatch):
+    """Ordinary vectors need no product that rounds the whole block again; very large ones still take the unbounded way."""
+    calls, plainly = [], negatives.whole_products
+    monkeypatch.setattr(negatives, "whole_products", lambda *a: calls.append(1) or plainly(*a))
+    draw = np.random.default_rng(2)
+    raw, references = draw.normal(size=(50, 4)), np.eye(4)[:2]
+    for factor, asked in ((1.0, 0), (1e150, 2)):
+        calls.clear()
+        big = raw * factor
+        stored = dict(zip(("norms", "cosines", "sines"), negatives.angles(big, 256.0, references), strict=True))
+        record = {"ids": list(range(50)), "labels": ["a", "b"] * 25, "x": big.tobytes(), **{k: np.ascontiguousarray(v).tobytes() for k, v in stored.items()}}
+        block = negatives.Block(record, 4, references)
+        for rows in (np.arange(50), np.array([3, 7])):
+            got = block.scores(rows, big[5], 256.0).tolist()
+            assert got == [sum(a * b for a, b in zip(common.whole_numbers(big[r], 256.0), common.whole_numbers(big[5], 256.0), strict=True)) for r in rows]
+        assert len(calls) == asked
+
+
 def test_bounds_hold():
     draw = np.random.default_rng(5)
     rows = np.concatenate([draw.normal(size=(200, 6)), draw.normal(size=(3, 6)) * 1e7, np.zeros((2, 6)), np.ones((2, 6))])
