@@ -298,6 +298,16 @@ def test_tables_score_as_the_models_do(spark, study, forest, planted):
     assert _close(scored.join(told, "customer_id"), "score", "prediction")
 
 
+def test_a_value_forest_is_the_same_whatever_its_groups(planted, monkeypatch):
+    values, found = Study(planted, "customer_id", "v", ("x1", "x3"), ("kind",)), []
+    for memory in (train.CACHED_MB, 1, train.STATISTICS_MB):
+        monkeypatch.setattr(train, "CACHED_MB", memory)
+        model = train.forest_regressor(values, trees=40, depth=6)
+        assert model.stages[-1].getMaxMemoryInMB() == memory
+        found.append([r[0] for r in model.transform(values.test).orderBy("customer_id").select("prediction").collect()])
+    assert found[0] == pytest.approx(found[1], rel=1e-9) and found[0] == pytest.approx(found[2], rel=1e-9)
+
+
 def test_rows_do_not_carry_the_trees(spark, study, forest):
     nodes, features = tabular.node_table(spark, forest), tabular.places(forest)
     scored = tabular.tree_score(study.test, nodes, features, 4).select("customer_id", "score")
