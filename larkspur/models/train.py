@@ -136,7 +136,11 @@ def logistic(study: Study, balanced: bool = False) -> PipelineModel:
 
 
 def forest_classifier(study: Study, trees: int = TREES, depth: int = TREE_DEPTH) -> PipelineModel:
-    estimator = RandomForestClassifier(numTrees=trees, maxDepth=depth, seed=SEED, maxMemoryInMB=STATISTICS_MB)
+    """Rows remember the node they have reached in each tree, so that a level does not walk them down from the roots again; the
+    trees are the same.  That takes four bytes per row and tree, on disk where memory is short."""
+    estimator = RandomForestClassifier(
+        numTrees=trees, maxDepth=depth, seed=SEED, maxMemoryInMB=STATISTICS_MB, cacheNodeIds=True
+    )
     return fit(study, estimator, balanced=True)
 
 

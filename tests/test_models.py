@@ -308,6 +308,15 @@ def test_a_value_forest_is_the_same_whatever_its_groups(planted, monkeypatch):
     assert found[0] == pytest.approx(found[1], rel=1e-9) and found[0] == pytest.approx(found[2], rel=1e-9)
 
 
+def test_a_churn_forest_does_not_walk_rows_down_again(study):
+    model = train.forest_classifier(study, trees=10, depth=6).stages[-1]
+    assert model.getCacheNodeIds()
+    plain = train.RandomForestClassifier(numTrees=10, maxDepth=6, seed=train.SEED, maxMemoryInMB=train.STATISTICS_MB)
+    again = train.fit(study, plain, balanced=True).stages[-1]
+    assert not again.getCacheNodeIds()
+    assert model.toDebugString.split("\n")[1:] == again.toDebugString.split("\n")[1:]
+
+
 def test_rows_do_not_carry_the_trees(spark, study, forest):
     nodes, features = tabular.node_table(spark, forest), tabular.places(forest)
     scored = tabular.tree_score(study.test, nodes, features, 4).select("customer_id", "score")
