@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 from math import gcd
 
 from pyspark.ml import PipelineModel
@@ -11,7 +12,7 @@ from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larkspur.models.tabular import chance, feature_values, tree_score
+from larkspur.models.tabular import chance, feature_values, tree_changes, tree_score
 from larkspur.models.train import feature_names
 from larkspur.operators.ids import assign_ids
 from larkspur.operators.scale import keep
@@ -29,6 +30,9 @@ class Judge:
     names: list[str]
     encode: Callable[[DataFrame], DataFrame]  # adds ``own``, the features as an array of doubles
     decide: Callable[[DataFrame], DataFrame]  # from ``own``, adds ``prediction`` and, for classes, ``chance`` of class 1
+    # From rows with ``own``, ``base`` and ``swaps``, the latter per feature a list of ``(value, repeats)``: ``f``, ``repeats`` and the new
+    # ``prediction`` where it changes.  Without it every swapped vector is decided.
+    decide_swaps: Callable[[DataFrame], DataFrame] | None = None
 
 
 def judge_of(model: PipelineModel | Judge) -> Judge:
@@ -72,8 +76,12 @@ def tree_judge(nodes: DataFrame, features: list[tuple[str, str | None]], depth:
             return scored.withColumnRenamed("score", "prediction")
         return scored.withColumn("prediction", (F.col("score") > 0.5).cast("double")).withColumnRenamed("score", "chance")
 
+    def decide_swaps(asked: DataFrame) -> DataFrame:
+        return tree_changes(asked, nodes, features, depth, mean).withColumn("prediction", F.col("base") + F.col("change"))
+
     names = [c if level is None else f"{c}_{level}" for c, level in features]
-    return Judge(names, lambda rows: rows.withColumn("own", feature_values(features)), decide)
+    # A sum of changes may end on the other side of one half, so classes are decided from whole vectors.
+    return Judge(names, lambda rows: rows.withColumn("own", feature_values(features)), decide, None if classes else decide_swaps)
 
 
 def _ranked(spark, names: list[str], values: list[float]) -> DataFrame:
@@ -134,14 +142,10 @@ def permutation_importance(
     )
     donors = numbered.select(F.col("i").alias("donor"), F.col("own").alias("lent"))
     pairs = asking.join(donors, "donor").repartition(parts, "i")  # all repeats of a row in one task
-    borrowed = F.get("lent", F.col("f"))
-    differing = (
-        pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit(len(names) - 1))).alias("f"))
-        .where(F.get("own", F.col("f")) != borrowed)
-        .select("i", "own", "y", "base", "f", borrowed.alias("value"), "repeat")
-    )
-    swapped = differing.groupBy("i", "f", "value", "own", "y", "base").agg(F.collect_list("repeat").alias("repeats"))
-    rescored = judge.decide(swapped.select("y", "base", "repeats", "f", _swap().alias("own"))).withColumn("repeat", F.explode("repeats"))
+    lent = F.collect_list(F.struct("repeat", "lent")).alias("lent")
+    rowwise = pairs.groupBy("i").agg(*[F.first(c).alias(c) for c in ("own", "y", "base")], lent)
+    asked = rowwise.select("i", "y", "base", "own", _swaps(len(names)).alias("swaps"))
+    rescored = (judge.decide_swaps or partial(_decide_swaps, judge))(asked).withColumn("repeat", F.explode("repeats"))
     new, old, y = F.col("prediction"), F.col("base"), F.col("y")
     if metric == "recall":
         hits, asked = F.count_if((y == 1) & (old == 1)), F.count_if(y == 1)
@@ -170,6 +174,25 @@ def permutation_importance(
     return summed.withColumn("rank", place).orderBy("rank")
 
 
+def _swaps(features: int) -> Column:
+    """Per feature the other values that a row borrows, each with the repeats it borrows it in."""
+
+    def of(f: Column) -> Column:
+        value = lambda pair: F.get(pair["lent"], f) + 0.0  # noqa: E731  # one zero, not two of either sign
+        differing = F.filter("lent", lambda pair: F.get("own", f) != value(pair))
+        repeats = lambda v: F.transform(F.filter("lent", lambda pair: value(pair) == v), lambda pair: pair["repeat"])
+        values = F.array_distinct(F.transform(differing, value))
+        return F.transform(values, lambda v: F.struct(v.alias("value"), repeats(v).alias("repeats")))
+
+    return F.transform(F.sequence(F.lit(0), F.lit(features - 1)), of)
+
+
+def _decide_swaps(judge: Judge, asked: DataFrame) -> DataFrame:
+    """Every swapped vector, decided."""
+    listed = asked.select("y", "base", "own", F.posexplode("swaps").alias("f", "of")).withColumn("swap", F.explode("of"))
+    return judge.decide(listed.select("y", "base", "f", "swap.repeats", "swap.value", "own").select("y", "base", "repeats", "f", _swap().alias("own")))
+
+
 def _swap() -> Column:
     """The own vector with the borrowed value at position ``f``."""
     return F.transform("own", lambda value, at: F.when(at == F.col("f"), F.col("value")).otherwise(value))

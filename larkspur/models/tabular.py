@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larkspur.models.prepare import vector_levels
-from larkspur.operators.scale import attach_small, work_folder
+from larkspur.operators.scale import attach_small, keep, work_folder
 
 INTERCEPT = "(intercept)"
 WEIGHTS = "feature string, level string, weight double"
@@ -78,11 +78,10 @@ def feature_values(features: list[tuple[str, str | None]]) -> Column:
     return F.array(*[one(c, level) for c, level in features])
 
 
-def packed_trees(nodes: DataFrame, features: list[tuple[str, str | None]]) -> Column:
-    """The nodes of all trees as flat arrays, one value in the plan: ``(place, threshold, left, right, value, roots, weight)``.
+def _numbered_nodes(nodes: DataFrame, features: list[tuple[str, str | None]]) -> DataFrame:
+    """A row per node, numbered ``at`` one tree after the other, so that children are such numbers, too; ``top`` marks roots.
 
-    Trees stand one after the other, so that children are places in the same arrays.  A leaf leads back to itself; ``value`` is
-    multiplied by its tree's weight, and ``weight`` is that of all trees.
+    A leaf leads back to itself; ``value`` is multiplied by its tree's ``weight``.
     """
     names = F.array(*[F.lit(f"{c}={level}" if level is not None else c) for c, level in features])
     name = F.when(F.col("level").isNull(), F.col("feature")).otherwise(F.concat_ws("=", "feature", "level"))
@@ -95,12 +94,21 @@ def packed_trees(nodes: DataFrame, features: list[tuple[str, str | None]]) -> Co
     at, leaf = F.col("_root") + F.col("_at"), F.col("left") < 0
     to = lambda c: F.when(leaf, at).otherwise(F.col("_root") + F.col(c)).alias(c)
     worth = (F.col("_weight") * F.col("value")).alias("value")
-    node = F.struct(at.alias("at"), place.alias("place"), "threshold", to("left"), to("right"), worth)
-    top = F.col("_at") == 0
-    held = placed.agg(
-        F.array_sort(F.collect_list(node)).alias("n"), F.array_sort(F.collect_list(F.when(top, F.col("_root")))).alias("roots"),
-        F.sum(F.when(top, F.col("_weight"))).alias("weight"),
+    found = at.alias("at"), place.alias("place"), "threshold", to("left"), to("right"), worth
+    return placed.select(*found, (F.col("_at") == 0).alias("top"), F.col("_weight").alias("weight"))
+
+
+def _listed(numbered: DataFrame, *more: str) -> DataFrame:
+    """One row ``(n, roots, weight)``: all nodes in order, the places of the roots and the weight of all trees."""
+    return numbered.agg(
+        F.array_sort(F.collect_list(F.struct("at", *_PACKED, *more))).alias("n"), F.array_sort(F.collect_list(F.when(F.col("top"), F.col("at")))).alias("roots"),
+        F.sum(F.when(F.col("top"), F.col("weight"))).alias("weight"),
     )
+
+
+def packed_trees(nodes: DataFrame, features: list[tuple[str, str | None]]) -> Column:
+    """The nodes of all trees as flat arrays, one value in the plan: ``(place, threshold, left, right, value, roots, weight)``."""
+    held = _listed(_numbered_nodes(nodes, features))
     return held.select(F.struct(*[F.col(f"n.{c}").alias(c) for c in _PACKED], "roots", "weight")).scalar()
 
 
@@ -138,6 +146,68 @@ def tree_score(
     return rows.withColumn("_model", packed_trees(nodes, features)).withColumn("score", _held(F.col("_model"), score)).drop("_model")
 
 
+def _boxes(numbered: DataFrame, depth: int) -> DataFrame:
+    """``numbered`` with ``box``: per feature asked on the way to a leaf, the values that take the same turns, above ``low`` up to ``high``."""
+    inner = numbered.where("left != at").select("at", "place", "threshold", "left", "right")
+    none, threshold = F.lit(None).cast("double"), F.col("threshold")
+    ways = numbered.where("top").select("at", F.array().cast("array<struct<place: int, low: double, high: double>>").alias("way"))
+
+    def turn(to: str, low: Column, high: Column) -> Column:
+        limit = F.struct("place", low.alias("low"), high.alias("high"))
+        return F.struct(F.col(to).alias("at"), F.concat("way", F.array(limit)).alias("way"))
+
+    for _ in range(depth):
+        both = F.array(turn("left", none, threshold), turn("right", threshold, none))
+        on = F.when(F.col("left").isNull(), F.array(F.struct("at", "way"))).otherwise(both)
+        ways = ways.join(F.broadcast(inner), "at", "left").select(F.explode(on).alias("to")).select("to.*")  # a row per inner node
+    of = lambda place: F.filter("way", lambda w: w["place"] == place)
+    limits = lambda place: F.struct(
+        place.alias("f"), F.array_max(F.transform(of(place), lambda w: w["low"])).alias("low"), F.array_min(F.transform(of(place), lambda w: w["high"])).alias("high")
+    )
+    boxes = ways.select("at", F.transform(F.array_distinct("way.place"), limits).alias("box"))
+    return numbered.join(boxes, "at", "left")
+
+
+def tree_changes(
+    rows: DataFrame, nodes: DataFrame, features: list[tuple[str, str | None]], depth: int, mean: bool = True
+) -> DataFrame:
+    """What replacing one value of a row adds to its ``tree_score``: ``rows`` without ``own`` and ``swaps``, with ``f``, ``repeats``, ``change``.
+
+    ``own`` has the features as an array of doubles, ``swaps`` for each of them the ``(value, repeats)`` to put in its place.  A tree that
+    does not ask for the feature on the row's way down, or where the value takes the same turns, gives the row the same leaf: only
+    the others are walked again, and values that change no tree have no row.  Other columns and ``repeats`` must tell rows apart.
+    The steps of a walk are columns, so that Spark compiles them; each reads its numbers from the model beside the rows.
+    """
+    numbered = keep(_numbered_nodes(nodes, features), "numbered-nodes")
+    packed = keep(_listed(_boxes(numbered, depth), "box"), "packed-trees").select(
+        *[F.col(f"n.{c}").alias(c) for c in ("place", "threshold", "value", "box")], "roots", "weight",
+        F.flatten(F.transform("n", lambda n: F.array(n["left"], n["right"]))).alias("children"),
+    )
+    of, kept = (lambda c: packed.select(c).scalar()), [F.col(c) for c in rows.columns if c not in ("own", "swaps")]
+
+    def walked(rows: DataFrame, name: str, value: Callable[[Column], Column]) -> DataFrame:
+        """``rows`` with ``name``, the place of the leaf that is reached from ``_root``."""
+        at = F.col("_root")
+        for i in range(depth):
+            rows = rows.withColumn(f"{name}_asks_{i}", F.get(of("place"), at))
+            down = value(F.col(f"{name}_asks_{i}")) <= F.get(of("threshold"), at)
+            # No sum or product of whole numbers: their check for overflow takes longer than the step.
+            rows = rows.withColumn(f"{name}_{i}", F.get(of("children"), F.shiftleft(at, 1).bitwiseOR(F.when(down, 0).otherwise(1))))
+            at = F.col(f"{name}_{i}")
+        return rows.withColumn(name, at)
+
+    was = walked(rows.withColumn("_root", F.explode(of("roots"))), "_leaf", lambda place: F.get("own", place))
+    was = was.select(*kept, "own", "swaps", "_root", F.get(of("value"), F.col("_leaf")).alias("_was"), F.explode(F.get(of("box"), F.col("_leaf"))).alias("_limit"))
+    asked = was.withColumn("_swap", F.explode(F.get("swaps", F.col("_limit.f"))))
+    value = F.col("_swap.value")
+    asked = asked.where((value <= F.col("_limit.low")) | (value > F.col("_limit.high"))).select(
+        *kept, "own", "_root", "_was", F.col("_limit.f").alias("f"), value.alias("_value"), F.col("_swap.repeats").alias("repeats")
+    )
+    new = walked(asked, "_new", lambda place: F.when(place == F.col("f"), F.col("_value")).otherwise(F.get("own", place)))
+    change = F.sum(F.get(of("value"), F.col("_new")) - F.col("_was"))
+    return new.groupBy(*kept, "f", "repeats").agg((change / of("weight") if mean else change).alias("change"))
+
+
 def score_equations(
     rows: DataFrame, weights: DataFrame, numbers: list[str], categories: list[str], label: str, weight: str | None = None,
     penalty: float = 1.0,

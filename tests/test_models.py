@@ -347,6 +347,58 @@ def test_importance_scores_a_borrowed_value_once(planted, metric, monkeypatch):
     assert seen[-1].rdd.getNumPartitions() == -(-rows.count() * 50 // 100)
 
 
+def test_importance_by_nodes_walks_only_trees_that_a_value_changes(spark, planted):
+    values = Study(planted, "customer_id", "v", ("x1", "x2", "x3"), ("kind",))
+    model, seen = train.forest_regressor(values, trees=12, depth=5), []
+    judge = explain.tree_judge(tabular.node_table(spark, model), tabular.places(model), 5, classes=False)
+    counting = replace(judge, decide=lambda vectors: seen.append(vectors) or judge.decide(vectors))
+    by = _scores(explain.permutation_importance(counting, values.test, "customer_id", "v", "r2", repeats=6))
+    told = _scores(explain.permutation_importance(model, values.test, "customer_id", "v", "r2", repeats=6))
+    for column in ("importance_mean", "importance_std"):
+        assert {k: r[column] for k, r in by.items()} == pytest.approx({k: r[column] for k, r in told.items()}, abs=1e-12)
+    assert by["x1"]["importance_mean"] > 1 and by["x3"]["importance_mean"] != 0
+    assert sum(vectors.count() for vectors in seen) == values.test.count()  # whole vectors are the rows' own
+
+
+@pytest.mark.parametrize("mean", [True, False])
+def test_changes_of_trees_equal_whole_scores(spark, mean):
+    """One feature asked several times on a way, values on a threshold, infinite, NaN and null, unequal trees, a tree of one leaf."""
+    nodes = [
+        (0, 0, "a", None, 2.0, 1, 2, None, 1.0), (0, 1, "a", None, 0.0, 3, 4, None, 1.0), (0, 2, "b", None, 1.0, 5, 6, None, 1.0),
+        (0, 3, None, None, None, -1, -1, 0.3, 1.0), (0, 4, "k", "x", 0.5, 7, 8, None, 1.0), (0, 5, "a", None, 3.0, 9, 10, None, 1.0),
+        (0, 6, None, None, None, -1, -1, -4.7, 1.0), (0, 7, None, None, None, -1, -1, 5.1, 1.0), (0, 8, None, None, None, -1, -1, 6.9, 1.0),
+        (0, 9, None, None, None, -1, -1, 0.3, 1.0), (0, 10, None, None, None, -1, -1, 8.2, 1.0),
+        (3, 0, None, None, None, -1, -1, 11.0, 0.25),
+        (4, 0, "b", None, 0.0, 1, 2, None, 0.5), (4, 1, None, None, None, -1, -1, 1.9, 0.5), (4, 2, "a", None, 1.0, 3, 4, None, 0.5),
+        (4, 3, None, None, None, -1, -1, -2.3, 0.5), (4, 4, None, None, None, -1, -1, 0.7, 0.5),
+    ]
+    table, features = spark.createDataFrame(nodes, tabular.NODES), [("a", None), ("b", None), ("k", "x")]
+    numbers = [-1.0, 0.0, 0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 4.0, math.inf, -math.inf, math.nan]
+    own = [list(v) for v in itertools.product([*numbers, None], [-0.5, 0.0, 1.0, 7.0, None], [0.0, 1.0])]
+    values = (numbers, [-3.0, 0.0, 0.5, 1.0, 2.0], [0.0, 1.0])
+    rows = [(i, 1.5, v, [[(x, [p]) for p, x in enumerate(of) if v[f] is not None] for f, of in enumerate(values)]) for i, v in enumerate(own)]
+    frame = spark.createDataFrame(rows, "i int, base double, own array<double>, swaps array<array<struct<value: double, repeats: array<int>>>>")
+    found = tabular.tree_changes(frame, table, features, 4, mean).collect()
+    assert found[0].asDict().keys() == {"i", "base", "f", "repeats", "change"}
+    swapped = [(i, f, p, [*v[:f], x, *v[f + 1 :]]) for i, v in enumerate(own) for f, of in enumerate(values) for p, x in enumerate(of) if v[f] is not None]
+    whole = [(i, -1, -1, v) for i, v in enumerate(own)] + swapped
+    vectors = spark.createDataFrame(whole, "i int, f int, p int, own array<double>")
+    scored = tabular.tree_score(vectors, table, features, 4, mean, F.col("own")).collect()
+    score_of = {(r.i, r.f, r.p): r.score for r in scored}
+    got = {(r.i, r.f, r.repeats[0]): r.change for r in found}
+    assert len(got) == len(found) < len(swapped)
+    for i, f, p, _ in swapped:
+        assert got.get((i, f, p), 0.0) == pytest.approx(score_of[i, f, p] - score_of[i, -1, -1], abs=1e-12)
+
+
+def test_a_zero_of_either_sign_is_borrowed_as_one_value(spark):
+    lent = [(0, [0.0, 2.0]), (1, [-0.0, 1.0]), (2, [3.0, None]), (3, [3.0, math.nan])]
+    frame = spark.createDataFrame([([1.0, 1.0], lent), ([-0.0, None], lent)], "own array<double>, lent array<struct<repeat: int, lent: array<double>>>")
+    found = [[[(v.value, list(v.repeats)) for v in of] for of in r.swaps] for r in frame.select(explain._swaps(2).alias("swaps")).collect()]
+    assert found[0][0] == [(0.0, [0, 1]), (3.0, [2, 3])] and found[0][1][0] == (2.0, [0]) and found[0][1][1][1] == [3]
+    assert found[1] == [[(3.0, [2, 3])], []]
+
+
 def test_importance_from_nodes(spark, forest):
     by_nodes = {(r.feature, r.level): r.value for r in tabular.importance_from_nodes(tabular.node_table(spark, forest)).collect()}
     told = dict(zip(tabular.places(forest), forest.stages[-1].featureImportances.toArray().tolist(), strict=True))
