@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from larkspur.models.tabular import chance, feature_values, tree_changes, tree_score
 from larkspur.models.train import feature_names
 from larkspur.operators.ids import assign_ids
-from larkspur.operators.scale import keep
+from larkspur.operators.scale import dealt, keep
 
 
 # Multipliers of the steps of a shuffle, the fractional digits of two irrational numbers.
@@ -124,7 +124,7 @@ def permutation_importance(
     """
     judge = judge_of(model)
     names = judge.names
-    vectors = judge.encode(rows).select(key, "own", F.col(label).cast("double").alias("y"))
+    vectors = judge.encode(dealt(rows)).select(key, "own", F.col(label).cast("double").alias("y"))
     based = judge.decide(vectors).select(key, "own", "y", F.col("prediction").alias("base"))
     numbered = keep(assign_ids(based, key, "i", start=0), "permutation-rows")
     n = numbered.count()

@@ -347,6 +347,14 @@ def test_importance_scores_a_borrowed_value_once(planted, metric, monkeypatch):
     assert seen[-1].rdd.getNumPartitions() == -(-rows.count() * 50 // 100)
 
 
+def test_importance_deals_the_rows_it_scores_first(planted):
+    rows, seen = planted.where("is_test").select("customer_id", "x1", "y").coalesce(1), []
+    fixed = explain.linear_judge({("x1", None): 1.0}, -0.5)
+    judge = replace(fixed, decide=lambda vectors: seen.append(vectors) or fixed.decide(vectors))
+    explain.permutation_importance(judge, rows, "customer_id", "y", "recall", repeats=2)
+    assert "RoundRobinPartitioning" in seen[0]._jdf.queryExecution().executedPlan().toString()
+
+
 def test_importance_by_nodes_walks_only_trees_that_a_value_changes(spark, planted):
     values = Study(planted, "customer_id", "v", ("x1", "x2", "x3"), ("kind",))
     model, seen = train.forest_regressor(values, trees=12, depth=5), []
